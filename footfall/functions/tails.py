@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def beta_tail(a: float, b: float, x: float) -> float:
@@ -61,11 +62,11 @@ def _nullable(values) -> pd.Series:
     return pd.Series(array).astype(object).where(~np.isnan(array), None)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_two_sided_p(t: pd.Series, df: pd.Series) -> pd.Series:
     return _nullable([t_p(a, b) for a, b in zip(t, df)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_two_sided_p(z: pd.Series) -> pd.Series:
     return _nullable([normal_p(v) for v in z])

@@ -22,7 +22,7 @@ from footfall.session import scratch_path
 from footfall.sources.adapter import load_feed, load_messages
 from footfall.sources.logs import activity, peek
 from footfall.sources.mart_sink import read_mart, write_mart
-from footfall.streaming import quarter_hour
+from footfall.streaming import quarter_hour as live
 
 AS_OF = AsOf(datetime(2024, 1, 31))
 ALERT_AS_OF = AsOf(datetime(2024, 1, 30, 23, 50))
@@ -436,20 +436,17 @@ def experiment_report(spark, folder):
 
 
 @query
-def quarter_hour_slots(spark, folder):
+def quarter_hour(spark, folder):
     return anomaly.quarter_hour_metrics(_activity(spark, folder), ALERT_AS_OF)
 
 
-QUERIES["quarter_hour"] = QUERIES.pop("quarter_hour_slots")
-
-
 @query
 def quarter_hour_filled(spark, folder):
     return anomaly.quarter_hour_metrics(_activity(spark, folder), ALERT_AS_OF, fill_gaps=True)
 
 
 def _series(spark, folder):
-    return anomaly.metric_series(quarter_hour_slots(spark, folder))
+    return anomaly.metric_series(quarter_hour(spark, folder))
 
 
 @query
@@ -482,19 +479,19 @@ def band_breaks(spark, folder):
 
 def _run_stream(spark, folder):
     target = scratch_path(spark, "stream")
-    slots = quarter_hour.stream_slots(quarter_hour.stream_activity(spark, folder))
-    quarter_hour.run_slots(slots, target, trigger={"availableNow": True}).awaitTermination()
+    slots = live.stream_slots(live.stream_activity(spark, folder))
+    live.run_slots(slots, target, trigger={"availableNow": True}).awaitTermination()
     return target
 
 
 @query
 def stream_quarter_hour(spark, folder):
-    return quarter_hour.read_slots(spark, _run_stream(spark, folder))
+    return live.read_slots(spark, _run_stream(spark, folder))
 
 
 @query
 def stream_alerts(spark, folder):
-    return quarter_hour.read_alerts(spark, _run_stream(spark, folder))
+    return live.read_alerts(spark, _run_stream(spark, folder))
 
 
 # --- posts and series ------------------------------------------------------
