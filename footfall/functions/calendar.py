@@ -28,10 +28,6 @@ class AsOf:
     def yesterday(self) -> date:
         return self.days_ago(1)
 
-    @property
-    def monday(self) -> date:
-        return self.today - timedelta(days=self.today.weekday())
-
     @property
     def open_slot(self) -> datetime:
         """Start of the quarter hour that has not ended yet."""
@@ -65,12 +61,6 @@ def day(column: str = "time") -> Column:
     return F.to_date(F.col(column))
 
 
-def week(column: str = "time") -> Column:
-    """Monday of the week, as a date."""
-    date_ = day(column)
-    return F.date_sub(date_, F.weekday(date_))
-
-
 def slot(column: str = "time") -> Column:
     """Start of the 15-minute slot."""
     return F.window(F.col(column), f"{SLOT_MINUTES} minutes").start

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.ratios import likes, ratio, views
@@ -124,12 +124,17 @@ def mean_lifetime(posts: DataFrame) -> DataFrame:
     return posts.agg(F.avg("life_time").alias("avg_life_time_days"))
 
 
+def _correlation(a: str, b: str) -> Column:
+    """Pearson correlation over complete pairs; NULL when either side is constant."""
+    complete = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = (F.when(complete, F.col(c).cast("double")) for c in (a, b))
+    return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlations in long form, both triangles, from one aggregation."""
     pairs = list(combinations_with_replacement(columns, 2))
-    one_row = df.agg(
-        *[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs]
-    )
+    one_row = df.agg(*[_correlation(a, b).alias(f"{a}|{b}") for a, b in pairs])
     entries = []
     for a, b in pairs:
         for x, y in {(a, b), (b, a)}:

@@ -5,7 +5,7 @@ Draws are hashes, so re-run tasks repeat them; nothing is sampled with ``rand()`
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.hashing import poisson1, seeded_hash, seeded_index
@@ -13,9 +13,11 @@ from footfall.functions.ratios import ratio
 from footfall.operators.experiments import GROUP, moments, welch_columns
 from footfall.operators.ranks import positions
 
+_HALF = 2**31
+
 
 def _draw_positions(spark, group: int, size: int, n: int, iterations: int, seed: int) -> DataFrame:
-    """``n`` distinct positions out of ``size`` for every iteration.
+    """``n`` distinct positions out of ``size`` for every iteration, without a shuffle.
 
     A large group draws with repetition and keeps the first ``n`` distinct numbers,
     at a cost that does not depend on the group's size. A group smaller than four
@@ -23,31 +25,25 @@ def _draw_positions(spark, group: int, size: int, n: int, iterations: int, seed:
     """
     if size < n:
         raise ValueError(f"group {group} has {size} users, fewer than the sample of {n}")
-    key = F.lit(group)
+    keys = F.lit(group), F.col("iteration")
     if size < 4 * n:
-        rows = spark.range(iterations * size).select(
-            F.floor(F.col("id") / size).alias("iteration"), (F.col("id") % size).alias("position")
+        # hash and position share one long, so the shuffle is a plain sort of longs
+        keyed = F.transform(
+            F.sequence(F.lit(0), F.lit(size - 1)),
+            lambda p: seeded_hash(seed, *keys, p) * F.lit(_HALF) + p,
         )
-        order = [seeded_hash(seed, key, F.col("iteration"), F.col("position")), F.col("position")]
+        drawn, position = F.sort_array(keyed), F.col("drawn") % F.lit(_HALF)
     else:
-        attempts = 2 * n + 20
-        draws = spark.range(iterations * attempts).select(
-            F.floor(F.col("id") / attempts).alias("iteration"),
-            (F.col("id") % attempts).alias("attempt"),
-        )
-        rows = (
-            draws.withColumn(
-                "position", seeded_index(seed, size, key, F.col("iteration"), F.col("attempt"))
-            )
-            .groupBy("iteration", "position")
-            .agg(F.min("attempt").alias("attempt"))
+        attempts = F.sequence(F.lit(0), F.lit(2 * n + 19))
+        drawn = F.array_distinct(
+            F.transform(attempts, lambda j: seeded_index(seed, size, *keys, j))
         )
-        order = [F.col("attempt")]
-    rank = F.row_number().over(Window.partitionBy("iteration").orderBy(*order))
+        position = F.col("drawn")
     return (
-        rows.withColumn("_rank", rank)
-        .where(F.col("_rank") <= n)
-        .select(F.lit(group).cast("int").alias(GROUP), "iteration", "position")
+        spark.range(iterations)
+        .withColumnRenamed("id", "iteration")
+        .select("iteration", F.explode(F.slice(drawn, 1, n)).alias("drawn"))
+        .select("iteration", position.alias("position"))
     )
 
 
@@ -78,21 +74,26 @@ def aa_simulation(
         GROUP, "user_id", metric
     )
     numbered = positions(pool, [GROUP], "user_id", "position", "aa-users")
-    sizes = {r[GROUP]: r["size"] for r in numbered.groupBy(GROUP).agg(F.count("*").alias("size")).collect()}
-    draws = [
-        _draw_positions(spark, g, sizes.get(g, 0), n, iterations, seed) for g in (a, b)
-    ]
-    picked = draws[0].unionByName(draws[1]).join(numbered, [GROUP, "position"])
-    stats = picked.groupBy("iteration").agg(
-        *moments(metric, F.col(GROUP) == a, "a"), *moments(metric, F.col(GROUP) == b, "b")
-    )
-    short = (F.col("n_a") < n) | (F.col("n_b") < n)
-    checked = stats.withColumn(
-        "n_a",
-        F.when(short, F.raise_error(F.lit("an iteration drew too few distinct users")).cast("bigint"))
-        .otherwise(F.col("n_a")),
-    )
-    return welch_columns(checked)
+    counted = numbered.groupBy(GROUP).agg(F.count("*").alias("size"))
+    sizes = {row[GROUP]: row["size"] for row in counted.collect()}  # two rows
+    sampled = []
+    for side, group in (("a", a), ("b", b)):
+        draws = _draw_positions(spark, group, sizes.get(group, 0), n, iterations, seed)
+        members = numbered.where(F.col(GROUP) == group).select("position", metric)
+        sampled.append(
+            draws.join(members, "position")
+            .groupBy("iteration")
+            .agg(*moments(metric, F.lit(True), side))
+            .withColumn(f"n_{side}", _complete(F.col(f"n_{side}"), n))
+        )
+    # both sides are already partitioned by iteration
+    return welch_columns(sampled[0].join(sampled[1], "iteration"))
+
+
+def _complete(drawn: Column, n: int) -> Column:
+    """The number drawn, or an error if an iteration found too few distinct users."""
+    error = F.raise_error(F.lit("an iteration drew too few distinct users")).cast("bigint")
+    return F.when(drawn < n, error).otherwise(drawn)
 
 
 def false_positive_rate(tests: DataFrame, level: float = 0.05) -> DataFrame:

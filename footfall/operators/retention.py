@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions.calendar import day, week, within_days
+from footfall.functions.bitsets import collect_bits, has_bit, members
+from footfall.functions.calendar import day, within, within_days
 from footfall.functions.ratios import ratio
 
 
@@ -20,28 +21,27 @@ def first_seen(log: DataFrame, since: date) -> DataFrame:
     )
 
 
-def _cohort_days(log: DataFrame, since: date, by: list[str]) -> DataFrame:
-    """Per recent user the start day and the set of active days.
+def cohort_retention(
+    log: DataFrame, since: date, until: date, by: list[str] | None = None
+) -> DataFrame:
+    """Active users per cohort start day and day, for users first seen on or after ``since``.
 
-    Days before ``since`` are not collected: a user who has one is not in a
-    recent cohort. The set is bounded by the days in the horizon.
+    The first day comes from the whole history; active days are kept up to ``until``.
+    ``by`` keeps separate cohorts per value. One shuffle moves one small row per user.
     """
-    active = day()
-    recent = F.when(active >= F.lit(since), active)
-    return (
+    by = by or []
+    days = (until - since).days + 1
+    users = (
         log.groupBy("user_id", *by)
-        .agg(F.min(active).alias("start_date"), F.collect_set(recent).alias("days"))
+        .agg(
+            F.min(day()).alias("start_date"),
+            *collect_bits(F.datediff(day(), F.lit(since)), days),
+        )
         .where(F.col("start_date") >= F.lit(since))
     )
-
-
-def cohort_retention(log: DataFrame, since: date, by: list[str] | None = None) -> DataFrame:
-    """Active users per cohort start day and day; ``by`` keeps separate cohorts per value."""
-    by = by or []
     return (
-        _cohort_days(log, since, by)
-        .select(*by, "start_date", F.explode("days").alias("date"))
-        .groupBy(*by, "start_date", "date")
+        users.select(*by, "start_date", F.explode(members(days)).alias("offset"))
+        .groupBy(*by, "start_date", F.date_add(F.lit(since), F.col("offset")).alias("date"))
         .agg(F.count("*").alias("active_users"))
     )
 
@@ -57,9 +57,9 @@ def cohort_matrix(retention: DataFrame, dates: list[date]) -> DataFrame:
     )
 
 
-def retention_by(log: DataFrame, dim: str, since: date) -> DataFrame:
+def retention_by(log: DataFrame, dim: str, since: date, until: date) -> DataFrame:
     """Cohort counts with day number, cohort size and rate for each value of ``dim``."""
-    cells = cohort_retention(log, since, [dim]).withColumn(
+    cells = cohort_retention(log, since, until, [dim]).withColumn(
         "day_number", F.datediff("date", "start_date")
     )
     # Every member of a cohort is active on day 0, so that cell is the cohort size.
@@ -78,16 +78,21 @@ def retention_mean(rates: DataFrame, dim: str) -> DataFrame:
 
 
 def new_user_return(log: DataFrame, dim: str = "source") -> DataFrame:
-    """New users per day and source, and how many of them came back the next day."""
+    """New users per day and source, and how many of them came back the next day.
+
+    The first even and the first odd day of a user are enough: the earlier one is
+    the start, and the next day was active exactly if the other one is that day.
+    """
+    number = F.unix_date(day())
+    first_even = F.min(F.when(number % 2 == 0, number))
+    first_odd = F.min(F.when(number % 2 != 0, number))
     return (
         log.groupBy("user_id", dim)
-        .agg(F.min(day()).alias("start_date"), F.collect_set(day()).alias("days"))
-        .groupBy("start_date", dim)
+        .agg(first_even.alias("even"), first_odd.alias("odd"))
+        .groupBy(F.date_from_unix_date(F.least("even", "odd")).alias("start_date"), dim)
         .agg(
             F.count("*").alias("new_users"),
-            F.count_if(F.array_contains("days", F.date_add("start_date", 1))).alias(
-                "returned_next_day"
-            ),
+            F.count_if(F.abs(F.col("even") - F.col("odd")) == 1).alias("returned_next_day"),
         )
         .withColumn("return_rate", ratio(F.col("returned_next_day"), F.col("new_users")))
     )
@@ -125,39 +130,41 @@ def dau_change_by(log: DataFrame, on: date, dims: list[str]) -> DataFrame:
     )
 
 
-def weekly_audience(log: DataFrame, as_of_monday: date) -> DataFrame:
-    """New, retained and lost users per week; lost users count negative.
+def weekly_audience(log: DataFrame, first: date, as_of: date) -> DataFrame:
+    """New, retained and lost users per week from the week of ``first`` to that of ``as_of``.
 
     A user is new in a week if absent the week before, and lost in the week after
-    the last of consecutive active weeks. The week that has not started is left out.
-    The set of weeks per user is bounded by the weeks of history.
+    the last of consecutive active weeks; lost users count negative. The week after
+    ``as_of`` has not started and is left out. Each user occurs once per week and
+    status, so counts need no distinct.
     """
-    weeks = F.col("weeks")
+    origin = first - timedelta(days=first.weekday())
+    weeks = (as_of - origin).days // 7 + 1
+    index = F.floor(F.datediff(day(), F.lit(origin)) / 7).cast("int")
+    users = within(log, origin, None).groupBy("user_id").agg(*collect_bits(index, weeks))
+
+    def entry(week_number: Column, status: Column, sign: int) -> Column:
+        return F.struct(
+            F.date_add(F.lit(origin), (week_number * 7).cast("int")).alias("this_week"),
+            status.alias("status"),
+            F.lit(sign).alias("sign"),
+        )
+
+    def was_active(week_number: Column) -> Column:
+        return F.coalesce((week_number >= 0) & has_bit(week_number, weeks), F.lit(False))
+
+    active = members(weeks)
     seen = F.transform(
-        weeks,
-        lambda w: F.struct(
-            w.alias("this_week"),
-            F.when(F.array_contains(weeks, F.date_sub(w, 7)), "retained")
-            .otherwise("new")
-            .alias("status"),
-            F.lit(1).alias("sign"),
-        ),
+        active,
+        lambda w: entry(w, F.when(was_active(w - 1), "retained").otherwise("new"), 1),
     )
     left = F.transform(
-        F.filter(weeks, lambda w: ~F.array_contains(weeks, F.date_add(w, 7))),
-        lambda w: F.struct(
-            F.date_add(w, 7).alias("this_week"),
-            F.lit("lost").alias("status"),
-            F.lit(-1).alias("sign"),
-        ),
+        F.filter(active, lambda w: (w < weeks - 1) & ~was_active(w + 1)),
+        lambda w: entry(w + 1, F.lit("lost"), -1),
     )
-    upcoming = as_of_monday + timedelta(days=7)
     return (
-        log.groupBy("user_id")
-        .agg(F.collect_set(week()).alias("weeks"))
-        .select(F.explode(F.concat(seen, left)).alias("entry"))
+        users.select(F.explode(F.concat(seen, left)).alias("entry"))
         .select("entry.*")
-        .where(F.col("this_week") != F.lit(upcoming))
         .groupBy("this_week", "status")
         .agg(F.sum("sign").alias("num_users"))
         .select(

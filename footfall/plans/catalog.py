@@ -161,7 +161,7 @@ def feed_report(spark, folder):
 @query
 def app_report(spark, folder):
     feed, messages = load_feed(spark, folder), load_messages(spark, folder)
-    return reports.app_report(feed, messages, AS_OF)["text"]
+    return reports.app_report(feed, messages, AS_OF, FIRST_DAY)["text"]
 
 
 @query
@@ -184,12 +184,12 @@ def first_seen(spark, folder):
 
 @query
 def retention_feed(spark, folder):
-    return retention.cohort_retention(load_feed(spark, folder), SINCE)
+    return retention.cohort_retention(load_feed(spark, folder), SINCE, AS_OF.today)
 
 
 @query
 def retention_messenger(spark, folder):
-    return retention.cohort_retention(load_messages(spark, folder), SINCE)
+    return retention.cohort_retention(load_messages(spark, folder), SINCE, AS_OF.today)
 
 
 @query
@@ -200,7 +200,7 @@ def retention_matrix(spark, folder):
 
 @query
 def retention_by_source(spark, folder):
-    return retention.retention_by(load_feed(spark, folder), "source", SINCE)
+    return retention.retention_by(load_feed(spark, folder), "source", SINCE, AS_OF.today)
 
 
 @query
@@ -221,12 +221,12 @@ def dau_change_by_dim(spark, folder):
 
 @query
 def weekly_audience_feed(spark, folder):
-    return retention.weekly_audience(load_feed(spark, folder), AS_OF.monday)
+    return retention.weekly_audience(load_feed(spark, folder), FIRST_DAY, AS_OF.today)
 
 
 @query
 def weekly_audience_messenger(spark, folder):
-    return retention.weekly_audience(load_messages(spark, folder), AS_OF.monday)
+    return retention.weekly_audience(load_messages(spark, folder), FIRST_DAY, AS_OF.today)
 
 
 @query

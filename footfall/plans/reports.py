@@ -42,18 +42,23 @@ def feed_report(feed: DataFrame, as_of: AsOf) -> dict[str, DataFrame]:
     return {"text": daily.feed_report(yesterday), "week": week.orderBy("date")}
 
 
-def app_report(feed: DataFrame, messages: DataFrame, as_of: AsOf) -> dict[str, DataFrame]:
-    """Text for yesterday and the tables behind the six charts."""
+def app_report(
+    feed: DataFrame, messages: DataFrame, as_of: AsOf, history_start: date
+) -> dict[str, DataFrame]:
+    """Text for yesterday and the tables behind the six charts.
+
+    ``history_start`` is the first day of the weekly audience chart.
+    """
     both = activity(feed, messages)
     yesterday, since = as_of.yesterday, as_of.days_ago(RETENTION_DAYS)
     week_ago, today = as_of.days_ago(7), as_of.today
     dates = [since + timedelta(days=i) for i in range(RETENTION_DAYS + 1)]
 
     def cohorts(log: DataFrame) -> DataFrame:
-        return retention.cohort_matrix(retention.cohort_retention(log, since), dates)
+        return retention.cohort_matrix(retention.cohort_retention(log, since, today), dates)
 
     def weeks(log: DataFrame) -> DataFrame:
-        return retention.status_matrix(retention.weekly_audience(log, as_of.monday))
+        return retention.status_matrix(retention.weekly_audience(log, history_start, today))
 
     return {
         "text": daily.app_report(
