@@ -1,0 +1,97 @@
+from datetime import date, datetime
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from footfall.functions.calendar import AsOf, within_days
+from footfall.schema import FEED, conform
+from footfall.sources.adapter import feed_from_events, messages_from_events
+from footfall.sources.logs import activity, feed_actions, message_actions, peek
+from footfall.sources.mart_sink import read_mart, write_mart
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    data = [
+        (i, datetime(2024, 1, 1 + i % 30, i % 24), i % 7,
+         ["view", "click", "error", "signup", "purchase"][i % 5], 1.0, f'{{"k": {i % 100}}}')
+        for i in range(600)
+    ]
+    return spark.createDataFrame(
+        data, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    )
+
+
+def test_adapter_keeps_every_event(events):
+    feed, messages = feed_from_events(events), messages_from_events(events)
+    assert feed.count() + messages.count() == events.count()
+    assert feed.where("action = 'like'").count() == events.where("event_type = 'click'").count()
+
+
+def test_adapter_profile_is_constant_per_user(events):
+    feed = feed_from_events(events)
+    spread = feed.groupBy("user_id").agg(
+        *[F.count_distinct(c).alias(c) for c in ("age", "os", "gender", "source", "exp_group")]
+    )
+    assert spread.where("age > 1 or os > 1 or gender > 1 or source > 1 or exp_group > 1").count() == 0
+
+
+def test_reader_range_reaches_the_scan(spark, make_feed, tmp_path):
+    path = str(tmp_path / "feed")
+    make_feed([(1, "2024-01-01 10:00:00", "view"), (1, "2024-01-02 00:00:00", "like")]).write.parquet(path)
+    df = feed_actions(spark, path, date(2024, 1, 2), date(2024, 1, 3))
+    assert rows(df, "user_id", "action") == [(1, "like")]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(time" in plan and "LessThan(time" in plan
+
+
+def test_message_reader(spark, make_messages, tmp_path):
+    path = str(tmp_path / "messages")
+    make_messages([(1, 2, "2024-01-01 10:00:00")]).write.parquet(path)
+    assert rows(message_actions(spark, path), "user_id", "receiver_id") == [(1, 2)]
+
+
+def test_conform_names_the_missing_column(make_feed):
+    with pytest.raises(ValueError, match="post_id"):
+        conform(make_feed([(1, "2024-01-01 10:00:00", "view")]).drop("post_id"), FEED)
+
+
+def test_activity_labels_messages(make_feed, make_messages):
+    both = activity(
+        make_feed([(1, "2024-01-01 10:00:00", "view")]),
+        make_messages([(2, 3, "2024-01-01 11:00:00")]),
+    )
+    assert rows(both, "user_id", "action") == [(1, "view"), (2, "message")]
+
+
+def test_peek_is_stable(make_feed):
+    feed = make_feed([(u, "2024-01-01 10:00:00", "view") for u in (5, 3, 9)])
+    assert [r.user_id for r in peek(feed, 2, ["user_id"]).collect()] == [3, 5]
+
+
+def test_day_ranges_include_both_ends(make_feed):
+    feed = make_feed([(u, f"2024-01-0{u} 23:59:59", "view") for u in (1, 2, 3)])
+    assert rows(within_days(feed, date(2024, 1, 2), date(2024, 1, 3)), "user_id") == [(2,), (3,)]
+
+
+def test_as_of():
+    as_of = AsOf(datetime(2024, 1, 30, 23, 50, 12))
+    assert as_of.yesterday == date(2024, 1, 29)
+    assert as_of.open_slot == datetime(2024, 1, 30, 23, 45)
+
+
+def test_mart_rerun_replaces_only_its_day(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    columns = (
+        "event_date date, dimension string, dimension_value string, views long, likes long, "
+        "messages_received long, messages_sent long, users_received long, users_sent long"
+    )
+
+    def day(d, views):
+        return spark.createDataFrame([(d, "os", "iOS", views, 0, 0, 0, 0, 0)], columns)
+
+    write_mart(day(date(2024, 1, 1), 5), path)
+    write_mart(day(date(2024, 1, 2), 6), path)
+    write_mart(day(date(2024, 1, 2), 7), path)
+    assert rows(read_mart(spark, path), "event_date", "views") == [("2024-01-01", 5), ("2024-01-02", 7)]
