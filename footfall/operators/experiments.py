@@ -149,9 +149,10 @@ def linearized(users: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
     control_of = {g: control for control, test in pairs for g in (control, test)}
     if len(control_of) != 2 * len(pairs):
         raise ValueError("a group may occur in one pair only")
-    # Totalled over every listed group, so both sides read the same shuffle of users.
-    overall = overall_ctr(users, list(control_of)).select(
-        F.col(GROUP).alias("control"), F.col("overall_ctr").alias("control_ctr")
+    # One entry per listed group. Totalled over all of them, so that this reads the
+    # same shuffle of users as the rows below.
+    overall = overall_ctr(users, list(control_of)).agg(
+        F.map_from_entries(F.collect_list(F.struct(GROUP, "overall_ctr")))
     )
     control = F.lit(None).cast("int")
     for g, c in control_of.items():
@@ -159,7 +160,7 @@ def linearized(users: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
     return (
         pick_groups(users, list(control_of))
         .withColumn("control", control)
-        .join(F.broadcast(overall), "control")  # one row per listed group
+        .withColumn("control_ctr", F.try_element_at(overall.scalar(), F.col("control")))
         .withColumn("linearized_likes", F.col("likes") - F.col("control_ctr") * F.col("views"))
     )
 

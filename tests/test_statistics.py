@@ -1,0 +1,209 @@
+"""Tail functions, rank tests, quantiles and running totals against brute force."""
+
+import math
+import random
+from statistics import mean, variance
+
+import numpy as np
+import pytest
+from conftest import rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from footfall.functions.tails import normal_p, t_p
+from footfall.operators import experiments
+from footfall.operators.ranks import histogram, positions, quantiles, running_totals
+
+
+def test_textbook_values():
+    assert t_p(2.086, 20) == pytest.approx(0.05, abs=1e-4)
+    assert t_p(12.706, 1) == pytest.approx(0.05, abs=1e-4)
+    assert normal_p(1.959964) == pytest.approx(0.05, abs=1e-6)
+    assert t_p(0.0, 5) == pytest.approx(1.0)
+    assert math.isnan(t_p(math.nan, 5)) and math.isnan(normal_p(math.nan))
+
+
+@settings(max_examples=60, deadline=None)
+@given(t=st.floats(0.01, 30), dof=st.floats(1, 500))
+def test_t_tail_against_integration(t, dof):
+    angle = np.linspace(0, math.atan(t / math.sqrt(dof)), 20001)
+    y = np.cos(angle) ** (dof - 1)
+    step = angle[1]
+    area = step / 3 * (y[0] + y[-1] + 4 * y[1:-1:2].sum() + 2 * y[2:-1:2].sum())
+    whole = math.sqrt(math.pi) / 2 * math.exp(math.lgamma(dof / 2) - math.lgamma((dof + 1) / 2))
+    assert t_p(t, dof) == pytest.approx(1 - area / whole, abs=1e-8)
+
+
+@settings(max_examples=60, deadline=None)
+@given(t=st.floats(0, 50), dof=st.floats(1, 500))
+def test_t_tail_is_a_probability_and_falls(t, dof):
+    assert 0 <= t_p(t + 1, dof) <= t_p(t, dof) <= 1
+
+
+@pytest.fixture(scope="module")
+def users(spark):
+    random.seed(3)
+    data = [
+        (u % 3, u, random.randint(0, 6), random.randint(0, 9)) for u in range(300)
+    ]
+    return spark.createDataFrame(data, "exp_group int, user_id long, likes long, views long").withColumn(
+        "ctr", F.try_divide(F.col("likes").cast("double"), F.col("views").cast("double"))
+    )
+
+
+def by_group(users, g, column="ctr"):
+    return [r[column] for r in users.collect() if r.exp_group == g and r[column] is not None]
+
+
+def test_welch_by_hand(users):
+    result = experiments.welch(users, "ctr", 2, 1).first()
+    a, b = by_group(users, 2), by_group(users, 1)
+    va, vb = variance(a) / len(a), variance(b) / len(b)
+    t = (mean(a) - mean(b)) / math.sqrt(va + vb)
+    dof = (va + vb) ** 2 / (va**2 / (len(a) - 1) + vb**2 / (len(b) - 1))
+    assert result["t"] == pytest.approx(t)
+    assert result["dof"] == pytest.approx(dof)
+    assert result["p_value"] == pytest.approx(t_p(t, dof))
+    assert result["n_excluded"] == sum(
+        1 for r in users.collect() if r.ctr is None and r.exp_group in (1, 2)
+    )
+
+
+def test_welch_of_tiny_and_constant_groups_is_null(spark):
+    tiny = spark.createDataFrame([(1, 0.5), (2, 0.1), (2, 0.3)], "exp_group int, ctr double")
+    constant = spark.createDataFrame([(1, 0.5), (1, 0.5), (2, 0.5), (2, 0.5)], "exp_group int, ctr double")
+    for df in (tiny, constant):
+        row = experiments.welch(df, "ctr", 1, 2).first()
+        assert row["t"] is None and row["p_value"] is None
+
+
+def mann_whitney_by_pairs(a, b):
+    u = sum((x > y) + 0.5 * (x == y) for x in a for y in b)
+    pooled = a + b
+    n = len(pooled)
+    ties = sum(c**3 - c for c in (pooled.count(v) for v in set(pooled)))
+    sd = math.sqrt(len(a) * len(b) / 12 * (n + 1 - ties / (n * (n - 1))))
+    z = (max(u, len(a) * len(b) - u) - len(a) * len(b) / 2 - 0.5) / sd
+    return u, z
+
+
+def test_mann_whitney_by_pairs(users):
+    u, z = mann_whitney_by_pairs(by_group(users, 2), by_group(users, 1))
+    row = experiments.mann_whitney(users, "ctr", 2, 1).first()
+    other = experiments.mann_whitney(users, "ctr", 1, 2).first()
+    assert row["u"] == pytest.approx(u)
+    assert row["z"] == pytest.approx(z)
+    assert row["p_value"] == pytest.approx(normal_p(z))
+    assert row["u"] + other["u"] == row["n_a"] * row["n_b"]
+
+
+def test_mann_whitney_edge_groups(spark):
+    schema = "exp_group int, ctr double"
+    one_each = spark.createDataFrame([(1, 0.5), (2, 0.1)], schema)
+    assert experiments.mann_whitney(one_each, "ctr", 1, 2).first()["u"] == 1.0
+    only_a = spark.createDataFrame([(1, 0.5)], schema)
+    row = experiments.mann_whitney(only_a, "ctr", 1, 2).first()
+    assert row["z"] is None and row["p_value"] is None
+    same = spark.createDataFrame([(1, 0.5), (1, 0.5), (2, 0.5)], schema)
+    assert experiments.mann_whitney(same, "ctr", 1, 2).first()["z"] is None
+
+
+def test_smoothing_and_linearisation(users):
+    smoothed = {r.user_id: r.smoothed_ctr for r in experiments.smoothed_ctr(users, [1, 2]).collect()}
+    totals = {}
+    for g in (1, 2):
+        rs = [r for r in users.collect() if r.exp_group == g]
+        totals[g] = sum(r.likes for r in rs) / sum(r.views for r in rs)
+        for r in rs:
+            assert smoothed[r.user_id] == pytest.approx((r.likes + 5 * totals[g]) / (r.views + 5))
+    linear = experiments.linearized(users, [(1, 2)]).collect()
+    assert len(linear) == 200
+    for r in linear:
+        assert r.linearized_likes == pytest.approx(r.likes - totals[1] * r.views)
+    assert sum(r.linearized_likes for r in linear if r.exp_group == 1) == pytest.approx(0, abs=1e-9)
+
+
+def test_a_group_belongs_to_one_pair(users):
+    with pytest.raises(ValueError):
+        experiments.linearized(users, [(0, 1), (1, 2)])
+
+
+def test_linearized_pairs_in_one_pass(users):
+    both = experiments.welch_linearized(users, [(1, 2)]).first()
+    single = experiments.welch(experiments.linearized(users, [(1, 2)]), "linearized_likes", 1, 2).first()
+    assert (both["control_group"], both["test_group"]) == (1, 2)
+    assert both["t"] == pytest.approx(single["t"])
+
+
+def test_split_and_buckets_are_repeatable_and_complete(users):
+    split = experiments.assign_group(users, "salt", 4)
+    again = experiments.assign_group(users.repartition(3), "salt", 4)
+    assert rows(split, "user_id", "split_group") == rows(again, "user_id", "split_group")
+    assert rows(split, "split_group") != rows(experiments.assign_group(users, "other", 4), "split_group")
+    buckets = experiments.bucketize(users, 10)
+    assert sum(r.users for r in buckets.collect()) == 300
+
+
+def test_bucket_quantile_by_index(users):
+    placed = {}
+    for r in experiments.assign_group(users, "bucket", 5, "bucket").collect():
+        if r.ctr is not None:
+            placed.setdefault((r.exp_group, r.bucket), []).append(r.ctr)
+    for r in experiments.bucketize(users, 5).collect():
+        values = sorted(placed[r.exp_group, r.bucket])
+        assert r.ctr9 == values[min(math.floor(0.9 * len(values)), len(values) - 1)]
+
+
+def test_index_quantile_is_not_nearest_rank(spark):
+    ten = spark.range(10).select(F.col("id").cast("double").alias("x"))
+    assert quantiles(ten, [], "x", [0.9], "index").first()["quantile"] == 9.0
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_quantiles_against_numpy(spark, seed):
+    rng = np.random.default_rng(seed)
+    # one group holds most rows, with many ties
+    values = [("hot", float(v)) for v in rng.integers(0, 40, 2000)] + [
+        ("cold", float(v)) for v in rng.normal(size=17)
+    ] + [("one", 4.5), ("none", None)]
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    df = spark.createDataFrame(values, "g string, x double")
+    got = {(r.g, r.prob): r.quantile for r in quantiles(df, ["g"], "x", probs).collect()}
+    for g in ("hot", "cold", "one"):
+        data = [v for k, v in values if k == g]
+        for p in probs:
+            assert got[g, p] == pytest.approx(np.quantile(data, p))
+    assert not any(g == "none" for g, _ in got)
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_running_totals_across_ranges(spark, partitions):
+    random.seed(partitions)
+    data = [(g, v, random.randint(0, 5)) for g in ("a", "b") for v in random.sample(range(5000), 700)]
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.createDataFrame(data, "g string, v int, w long")
+        got = running_totals(df, ["g"], ["v"], {"before": "w"}, "test", whole={"all": "w"}).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert len(got) == len(data)
+    for r in got:
+        assert r["before"] == sum(w for g, v, w in data if g == r.g and v < r.v)
+        assert r["all"] == sum(w for g, _, w in data if g == r.g)
+
+
+def test_positions_are_dense(spark):
+    df = spark.createDataFrame([(i % 2, 10 * i) for i in range(101)], "g int, u long")
+    got = positions(df, ["g"], "u", "position", "test").collect()
+    for g in (0, 1):
+        ordered = sorted((r for r in got if r.g == g), key=lambda r: r.u)
+        assert [r.position for r in ordered] == list(range(len(ordered)))
+
+
+def test_histogram_counts_every_value(spark):
+    df = spark.createDataFrame([("a", float(v)) for v in range(11)] + [("b", 10.0), ("b", None)], "g string, x double")
+    got = rows(histogram(df, "x", 5, ["g"]), "g", "bin", "n")
+    assert got == [("a", 0, 2), ("a", 1, 2), ("a", 2, 2), ("a", 3, 2), ("a", 4, 3), ("b", 4, 1)]
+    constant = spark.createDataFrame([(3.0,), (3.0,)], "x double")
+    assert rows(histogram(constant, "x", 5), "bin", "n") == [(0, 2)]
