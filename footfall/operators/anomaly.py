@@ -54,7 +54,7 @@ def quarter_hour_metrics(activity: DataFrame, as_of: AsOf, fill_gaps: bool = Fal
     """
     recent = slot_metrics(within(activity, as_of.yesterday, as_of.open_slot))
     if not fill_gaps:
-        return recent.orderBy("ts")
+        return recent
     first = F.lit(f"{as_of.yesterday} 00:00:00").cast("timestamp_ntz")
     final = F.lit(str(as_of.open_slot - timedelta(minutes=SLOT_MINUTES))).cast("timestamp_ntz")
     spine = activity.sparkSession.range(1).select(
@@ -71,7 +71,6 @@ def quarter_hour_metrics(activity: DataFrame, as_of: AsOf, fill_gaps: bool = Fal
                 for m in METRICS
             ],
         )
-        .orderBy("ts")
     )
 
 

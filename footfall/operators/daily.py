@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.calendar import AsOf, day, slot, within, within_days
@@ -40,29 +40,45 @@ def posts_viewed_daily(feed: DataFrame) -> DataFrame:
 
 
 def feed_by_slice(feed: DataFrame, dims: list[str]) -> DataFrame:
-    """Daily feed metrics cut by each dimension in turn, in long form.
-
-    Rows are reduced to user-days first, so only the reduced rows are repeated
-    once per dimension.
-    """
-    user_days = feed.groupBy(day().alias("date"), "user_id", *dims).agg(
+    """Daily feed metrics cut by each dimension in turn, in long form."""
+    combined = feed.groupBy(day().alias("date"), "user_id", *dims).agg(
         views().alias("views"), likes().alias("likes")
     )
-    long = _unpivot_dims(user_days, ["date", "user_id", "views", "likes"], dims)
-    return (
-        long.groupBy("date", "dimension", "dimension_value")
-        .agg(
-            F.count_distinct("user_id").alias("dau"),
-            F.sum("views").alias("views"),
-            F.sum("likes").alias("likes"),
-        )
-        .withColumn("ctr", ratio(F.col("likes"), F.col("views")))
+    counted = count_by_value(
+        combined.withColumn("dau", F.lit(1)), ["date"], dims, ["dau"], ["views", "likes"]
     )
+    return counted.withColumn("ctr", ratio(F.col("likes"), F.col("views")))
 
 
-def _unpivot_dims(df: DataFrame, ids: list[str], dims: list[str]) -> DataFrame:
-    return df.select(*ids, *[F.col(d).cast("string").alias(d) for d in dims]).unpivot(
-        ids, dims, "dimension", "dimension_value"
+def count_by_value(
+    combined: DataFrame, keys: list[str], dims: list[str], flags: list[str], counts: list[str]
+) -> DataFrame:
+    """Per value of each dimension: users with each 0/1 flag set, and sums of the counts.
+
+    Takes rows already reduced to keys, user and all dimensions. A user with one such
+    row (nearly all of them) needs no further distinct and is summed straight into the
+    few result groups; only users whose dimensions changed are kept apart by id.
+    """
+    rows_of_user = F.count("*").over(Window.partitionBy(*keys, "user_id"))
+    apart = "_user"
+    ids = [*keys, apart, *flags, *counts]
+    long = (
+        combined.withColumn(apart, F.when(rows_of_user > 1, F.col("user_id")))
+        .select(*ids, *[F.col(d).cast("string").alias(d) for d in dims])
+        .unpivot(ids, dims, "dimension", "dimension_value")
+    )
+    groups = [*keys, "dimension", "dimension_value"]
+    merged = long.groupBy(*groups, apart).agg(
+        *[F.sum(c).alias(c) for c in [*flags, *counts]]
+    )
+    once = [
+        F.when(F.col(apart).isNull(), F.col(f)).otherwise(F.least(F.col(f), F.lit(1))).alias(f)
+        for f in flags
+    ]
+    return (
+        merged.select(*groups, *once, *counts)
+        .groupBy(*groups)
+        .agg(*[F.sum(c).alias(c) for c in [*flags, *counts]])
     )
 
 

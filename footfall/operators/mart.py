@@ -26,12 +26,14 @@ def feed_user_day(feed: DataFrame) -> DataFrame:
 
     Events are first counted per distinct profile. That pass needs no maximum of
     a text column, which Spark can only compute by sorting, so every event goes
-    through hash aggregation and only user-days are sorted.
+    through hash aggregation and only user-days are sorted, once, after they have
+    been placed by user and day.
     """
     counted = feed.groupBy("user_id", day().alias("event_date"), *PROFILE).agg(
         views().alias("views"), likes().alias("likes")
     )
-    return counted.groupBy("user_id", "event_date").agg(
+    placed = counted.repartition("user_id", "event_date")
+    return placed.groupBy("user_id", "event_date").agg(
         F.sum("views").alias("views"), F.sum("likes").alias("likes"), *_profile()
     )
 
@@ -76,17 +78,20 @@ def messenger_user_day(sent: DataFrame, received: DataFrame) -> DataFrame:
     return _merge([sent, received], counts, _profile())
 
 
-def user_day(feed_days: DataFrame, messenger_days: DataFrame) -> DataFrame:
+def user_day(*sides: DataFrame) -> DataFrame:
     """All six metrics per user and day, zero where a service was not used.
 
-    The profile comes from the user's own rows, the feed's first; without any it is NULL.
+    Takes the feed's user-days first, then the messenger's (merged or as sent and
+    received). The profile comes from the user's own rows on the first side that has
+    it; without any it is NULL.
     """
-    sides = []
-    for rank, side in enumerate([feed_days, messenger_days]):
-        known = [F.when(F.col(c).isNotNull(), F.struct(F.lit(rank), c)).alias(c) for c in PROFILE]
-        sides.append(side.select(*[c for c in side.columns if c not in PROFILE], *known))
+    ranked = []
+    for rank, side in enumerate(sides):
+        own = [c for c in PROFILE if c in side.columns]
+        known = [F.when(F.col(c).isNotNull(), F.struct(F.lit(rank), c)).alias(c) for c in own]
+        ranked.append(side.select(*[c for c in side.columns if c not in own], *known))
     preferred = [F.min(c).getField(c).alias(c) for c in PROFILE]
-    merged = _merge(sides, MART_COUNTS, preferred)
+    merged = _merge(ranked, MART_COUNTS, preferred)
     gender = F.when(F.col("gender") == 1, "male").when(F.col("gender") == 0, "female")
     return merged.select(
         "user_id", "event_date", gender.alias("gender"), "age", "os", *MART_COUNTS

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from footfall.functions.bitsets import collect_bits, has_bit, members
 from footfall.functions.calendar import day, within, within_days
 from footfall.functions.ratios import ratio
+from footfall.operators.daily import count_by_value
 
 
 def first_seen(log: DataFrame, since: date) -> DataFrame:
@@ -106,22 +107,19 @@ def dau_change_by(log: DataFrame, on: date, dims: list[str]) -> DataFrame:
     """
     before = on - timedelta(days=1)
     rows = within_days(log, before, on).select(
-        day().alias("date"),
         "user_id",
         F.lit("all").alias("all"),
         *[F.col(d).cast("string").alias(d) for d in dims],
+        (day() == F.lit(before)).cast("int").alias("users_before"),
+        (day() == F.lit(on)).cast("int").alias("users_on"),
     )
-    counts = (
-        rows.unpivot(["date", "user_id"], ["all", *dims], "dimension", "dimension_value")
-        .distinct()
-        .groupBy("dimension", "dimension_value")
-        .agg(
-            F.count_if(F.col("date") == F.lit(before)).alias("users_before"),
-            F.count_if(F.col("date") == F.lit(on)).alias("users_on"),
-        )
-        .withColumn("change", F.col("users_on") - F.col("users_before"))
+    flags = ["users_before", "users_on"]
+    combined = rows.groupBy("user_id", "all", *dims).agg(*[F.max(f).alias(f) for f in flags])
+    counts = count_by_value(combined, [], ["all", *dims], flags, []).withColumn(
+        "change", F.col("users_on") - F.col("users_before")
     )
-    total = counts.where(F.col("dimension") == "all").select("change").scalar()
+    # not a filter: that would be pushed down and cost a second scan
+    total = counts.agg(F.max(F.when(F.col("dimension") == "all", F.col("change")))).scalar()
     largest_drop = Window.partitionBy("dimension").orderBy("change", "dimension_value")
     return (
         counts.withColumn("share_of_change", ratio(F.col("change"), total))

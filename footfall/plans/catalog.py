@@ -90,7 +90,7 @@ def activity_union(spark, folder):
 def mart_roundtrip(spark, folder):
     path = scratch_path(spark, "mart")
     feed, messages = load_feed(spark, folder), load_messages(spark, folder)
-    write_mart(mart.daily_mart(reports.user_days(feed, messages, FIRST_DAY, LAST_DAY)), path)
+    write_mart(mart.daily_mart(_all_user_days(spark, folder)), path)
     reports.mart_job(feed, messages, AS_OF, path)  # a retried day must not count twice
     return read_mart(spark, path)
 
@@ -262,24 +262,29 @@ def user_day(spark, folder):
     return mart.user_day(feed_user_day(spark, folder), messenger_user_day(spark, folder))
 
 
+def _all_user_days(spark, folder):
+    feed, messages = load_feed(spark, folder), load_messages(spark, folder)
+    return reports.user_days(feed, messages, FIRST_DAY, LAST_DAY)
+
+
 @query
 def mart_gender(spark, folder):
-    return mart.mart_cut(user_day(spark, folder), "gender")
+    return mart.mart_cut(_all_user_days(spark, folder), "gender")
 
 
 @query
 def mart_age(spark, folder):
-    return mart.mart_cut(user_day(spark, folder), "age")
+    return mart.mart_cut(_all_user_days(spark, folder), "age")
 
 
 @query
 def mart_os(spark, folder):
-    return mart.mart_cut(user_day(spark, folder), "os")
+    return mart.mart_cut(_all_user_days(spark, folder), "os")
 
 
 @query
 def daily_mart(spark, folder):
-    return mart.daily_mart(user_day(spark, folder))
+    return mart.daily_mart(_all_user_days(spark, folder))
 
 
 # --- experiments -----------------------------------------------------------
@@ -437,16 +442,19 @@ def experiment_report(spark, folder):
 
 @query
 def quarter_hour(spark, folder):
-    return anomaly.quarter_hour_metrics(_activity(spark, folder), ALERT_AS_OF)
+    return anomaly.quarter_hour_metrics(_activity(spark, folder), ALERT_AS_OF).orderBy("ts")
 
 
 @query
 def quarter_hour_filled(spark, folder):
-    return anomaly.quarter_hour_metrics(_activity(spark, folder), ALERT_AS_OF, fill_gaps=True)
+    slots = anomaly.quarter_hour_metrics(_activity(spark, folder), ALERT_AS_OF, fill_gaps=True)
+    return slots.orderBy("ts")
 
 
 def _series(spark, folder):
-    return anomaly.metric_series(quarter_hour(spark, folder))
+    return anomaly.metric_series(
+        anomaly.quarter_hour_metrics(_activity(spark, folder), ALERT_AS_OF)
+    )
 
 
 @query

@@ -24,8 +24,7 @@ def user_days(feed: DataFrame, messages: DataFrame, first: date, last: date) ->
     """Mart metrics per user and day for a range of days."""
     feed, messages = within_days(feed, first, last), within_days(messages, first, last)
     return mart.user_day(
-        mart.feed_user_day(feed),
-        mart.messenger_user_day(mart.sent_user_day(messages), mart.received_user_day(messages)),
+        mart.feed_user_day(feed), mart.sent_user_day(messages), mart.received_user_day(messages)
     )
 
 
