@@ -5,6 +5,10 @@ Draws are hashes, so re-run tasks repeat them; nothing is sampled with ``rand()`
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +38,9 @@ def _draw_positions(spark, group: int, size: int, n: int, iterations: int, seed:
         )
         drawn, position = F.sort_array(keyed), F.col("drawn") % F.lit(_HALF)
     else:
-        attempts = F.sequence(F.lit(0), F.lit(2 * n + 19))
+        # repeats are about n² / 2·size; the spare draws are many deviations above that
+        spare = 2 * math.ceil(n * n / size) + 20
+        attempts = F.sequence(F.lit(0), F.lit(n + spare - 1))
         drawn = F.array_distinct(
             F.transform(attempts, lambda j: seeded_index(seed, size, *keys, j))
         )
@@ -129,6 +135,44 @@ def poisson_bootstrap(users: DataFrame, n: int = 2000, seed: int = 23) -> DataFr
     )
 
 
+def pooled_bootstrap(users: DataFrame, n: int = 2000, seed: int = 23) -> DataFrame:
+    """The same bootstrap for large populations.
+
+    Users of a group with equal likes and views are pooled: the sum of their
+    independent Poisson(1) weights is one Poisson draw with their number as the mean,
+    so the replicates have exactly the same distribution, while the work grows with
+    the distinct (likes, views) pairs instead of the users. Every pooled row seeds its
+    own generator, which makes the result independent of how rows are placed.
+    """
+    pooled = (
+        users.groupBy(GROUP, "likes", "views")
+        .agg(F.count("*").alias("members"))
+        .withColumn("key", F.xxhash64(GROUP, "likes", "views"))
+    )
+
+    def weigh(batches):
+        for batch in batches:
+            for group, rows in batch.groupby(GROUP):
+                likes, views = np.zeros(n, "int64"), np.zeros(n, "int64")
+                for row in rows.itertuples(index=False):
+                    bits = np.random.Philox(key=[seed, row.key & (2**64 - 1)])
+                    weight = np.random.Generator(bits).poisson(row.members, n)
+                    likes += weight * row.likes
+                    views += weight * row.views
+                yield pd.DataFrame(
+                    {GROUP: group, "replicate": np.arange(n), "likes": likes, "views": views}
+                )
+
+    partial = pooled.mapInPandas(
+        weigh, f"{GROUP} int, replicate int, likes bigint, views bigint"
+    )
+    return (
+        partial.groupBy(GROUP, "replicate")
+        .agg(F.sum("likes").alias("likes"), F.sum("views").alias("views"))
+        .withColumn("replicate_ctr", ratio(F.col("likes"), F.col("views")))
+    )
+
+
 def bootstrap_diff(replicates: DataFrame, a: int, b: int) -> DataFrame:
     """Spread of the replicate differences (a − b) and whether they leave out zero.
 

@@ -36,6 +36,7 @@ ALL_GROUPS = [0, 1, 2, 3]
 SLICES = ["os", "gender", "age", "country", "city", "source"]
 BUCKETS = 50
 AA_ITERATIONS = 10_000
+AA_SAMPLE = 500  # smaller where the groups are
 AA_SEED = 11
 BOOTSTRAP_SEED = 23
 REPLICATES = 2_000
@@ -304,7 +305,7 @@ def _buckets(spark, folder):
 
 def _aa_tests(spark, folder, share):
     users = _aa_users(spark, folder)
-    n = max(2, resampling.smallest_group(users, [2, 3]) // share)
+    n = max(2, min(AA_SAMPLE, resampling.smallest_group(users, [2, 3]) // share))
     return resampling.aa_simulation(users, 2, 3, AA_ITERATIONS, n, AA_SEED)
 
 
@@ -391,6 +392,11 @@ def poisson_bootstrap(spark, folder):
     return resampling.poisson_bootstrap(_ab_users(spark, folder), REPLICATES, BOOTSTRAP_SEED)
 
 
+@query
+def poisson_bootstrap_pooled(spark, folder):
+    return resampling.pooled_bootstrap(_ab_users(spark, folder), REPLICATES, BOOTSTRAP_SEED)
+
+
 @query
 def bootstrap_diff(spark, folder):
     return resampling.bootstrap_diff(poisson_bootstrap(spark, folder), 2, 1)

@@ -4,7 +4,8 @@ The event table has no likes, no user profile and users who are active nearly
 every day, which makes retention trivial. Each event user therefore stands for
 two accounts: one is active on the days before a hashed start day and in hashed
 gap weeks, the other on all remaining days. Every event row is kept, and both
-accounts have staggered starts and weeks without activity.
+accounts have staggered starts and weeks without activity. Posts and receivers are
+numbered within blocks of users, so their number grows with the users.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from footfall.functions.hashing import seeded_hash
 from footfall.schema import FEED, MESSAGES, conform
 
 EPOCH = "2024-01-01"
+BLOCK = 150  # users who share a set of posts
 
 # One hash seed per derived column.
 SEEDS = {
@@ -46,6 +48,7 @@ def _profiled(events: DataFrame, nation: DataFrame | None) -> DataFrame:
         "event_type",
         F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("k"),
         days.alias("d"),
+        F.floor(raw / BLOCK).alias("block"),
     )
     user = F.col("user_id")
     base = base.select(
@@ -81,17 +84,22 @@ def feed_from_events(events: DataFrame, nation: DataFrame | None = None) -> Data
     """
     rows = _profiled(events.where(F.col("event_type") != "purchase"), nation)
     return conform(
-        rows.withColumn("post_id", F.col("k") * 10 + F.floor(F.col("d") / 3)).withColumn(
-            "action", F.when(F.col("event_type") == "click", "like").otherwise("view")
+        rows.withColumns(
+            {
+                "post_id": F.col("block") * 1000 + F.col("k") * 10 + F.floor(F.col("d") / 3),
+                "action": F.when(F.col("event_type") == "click", "like").otherwise("view"),
+            }
         ),
         FEED,
     )
 
 
 def messages_from_events(events: DataFrame, nation: DataFrame | None = None) -> DataFrame:
-    """Message log: each purchase is a message to the user numbered in its properties."""
+    """Message log: each purchase is a message to the account numbered in its properties."""
     rows = _profiled(events.where(F.col("event_type") == "purchase"), nation)
-    return conform(rows.withColumnRenamed("k", "receiver_id"), MESSAGES)
+    return conform(
+        rows.withColumn("receiver_id", F.col("block") * 2 * BLOCK + F.col("k")), MESSAGES
+    )
 
 
 def load_events(spark: SparkSession, folder: str) -> DataFrame:

@@ -31,7 +31,7 @@ raw AS (
 day_keys AS ({_keys([("start", "raw_id"), ("gap", "raw_id * 4096 + d // 7")], "raw")}),
 day_hash AS ({hashed("day_keys", ["x"], "seed")}),
 account AS (
-  SELECT raw.time, raw.event_type, raw.k, raw.d,
+  SELECT raw.time, raw.event_type, raw.k, raw.d, raw_id // 150 AS block,
          raw_id * 2 + CASE WHEN raw.d >= s.h % 20 AND g.h % 3 <> 0 THEN 1 ELSE 0 END AS user_id
   FROM raw
   JOIN day_hash s ON s.kind = 'start' AND s.x = raw_id
@@ -50,11 +50,11 @@ profile AS (
          CAST(exp_group % 4 AS INTEGER) AS exp_group
   FROM user_draw LEFT JOIN nation ON n_nationkey = CAST(nation % 25 AS BIGINT)),
 feed AS (
-  SELECT a.user_id, a.k * 10 + a.d // 3 AS post_id, a.time, CAST(a.time AS DATE) AS date,
+  SELECT a.user_id, a.block * 1000 + a.k * 10 + a.d // 3 AS post_id, a.time, CAST(a.time AS DATE) AS date,
          CASE WHEN event_type = 'click' THEN 'like' ELSE 'view' END AS action, {_COLUMNS}
   FROM account a JOIN profile USING (user_id) WHERE event_type <> 'purchase'),
 msg AS (
-  SELECT a.user_id, a.k AS receiver_id, a.time, CAST(a.time AS DATE) AS date, {_COLUMNS}
+  SELECT a.user_id, a.block * 300 + a.k AS receiver_id, a.time, CAST(a.time AS DATE) AS date, {_COLUMNS}
   FROM account a JOIN profile USING (user_id) WHERE event_type = 'purchase'),
 act AS (
   SELECT user_id, time, date, {_COLUMNS}, action FROM feed

@@ -445,8 +445,8 @@ def _aa(share: int) -> str:
     return f"""
 pool AS (SELECT exp_group, row_number() OVER (PARTITION BY exp_group ORDER BY user_id) - 1 AS position, ctr
   FROM u WHERE ctr IS NOT NULL),
-sizes AS (SELECT exp_group AS grp, count(*) AS size, greatest(2, (SELECT min(c) FROM
-  (SELECT count(*) AS c FROM pool GROUP BY exp_group)) // {share}) AS n FROM pool GROUP BY exp_group),
+sizes AS (SELECT exp_group AS grp, count(*) AS size, greatest(2, least(500, (SELECT min(c) FROM
+  (SELECT count(*) AS c FROM pool GROUP BY exp_group)) // {share})) AS n FROM pool GROUP BY exp_group),
 attempts AS (SELECT grp, size, n, i.iteration, a.attempt
   FROM sizes, range(10000) i(iteration), range(0, (SELECT max(2 * n + 20) FROM sizes)) a(attempt) WHERE size >= 4 * n),
 high AS ({high}),

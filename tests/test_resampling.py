@@ -95,6 +95,25 @@ def test_bootstrap_replicates(users):
         assert abs(r["m"] - r["r"]) < 5 * r["s"] / math.sqrt(400)
 
 
+def test_pooled_bootstrap_has_the_same_distribution(users):
+    each = resampling.poisson_bootstrap(users, n=1500, seed=1)
+    pooled = resampling.pooled_bootstrap(users, n=1500, seed=1)
+    again = resampling.pooled_bootstrap(users.repartition(7), n=1500, seed=1)
+    assert rows(pooled) == rows(again)
+
+    def spread(df):
+        stats = df.groupBy("exp_group").agg(
+            F.avg("replicate_ctr").alias("m"), F.stddev("replicate_ctr").alias("s"), F.avg("views").alias("v")
+        )
+        return {r.exp_group: r for r in stats.collect()}
+
+    a, b = spread(each), spread(pooled)
+    for g in (2, 3):
+        assert abs(a[g].m - b[g].m) < 5 * a[g].s / math.sqrt(750)
+        assert 0.85 < a[g].s / b[g].s < 1.15
+        assert a[g].v == pytest.approx(b[g].v, rel=0.02)
+
+
 def test_bootstrap_difference(spark):
     data = [(1, i, 0.2) for i in range(4)] + [(2, i, 0.3 + 0.1 * i) for i in range(4)]
     row = resampling.bootstrap_diff(
