@@ -48,9 +48,10 @@ def running_totals(
     inside = (
         Window.partitionBy(*by, _PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    # Ranges are contiguous in (by, order), so there are at most
-    # (ranges + groups) offset rows whatever the size of the data.
-    joined = spread.join(F.broadcast(offsets), [*by, _PART])
+    # Ranges are contiguous in (by, order), so there are at most (ranges + groups)
+    # offset rows. Spark broadcasts them if they measure small; if not, both sides
+    # meet in the partitioning that the window below needs anyway.
+    joined = spread.join(offsets, [*by, _PART])
     return joined.select(
         *df.columns,
         *whole,

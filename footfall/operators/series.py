@@ -88,7 +88,8 @@ def classical_decompose(series: DataFrame, period: int = 24) -> DataFrame:
     detrended = filled.withColumn("trend", F.when(full, total / period)).withColumn(
         "detrended", F.col("actions") - F.col("trend")
     )
-    position = F.pmod(F.floor(F.unix_seconds(F.col("day_h").cast("timestamp")) / 3600), F.lit(period))
+    hours = F.unix_date(F.to_date("day_h")) * 24 + F.hour("day_h")
+    position = F.pmod(hours, F.lit(period))
     detrended = detrended.withColumn("position", position)
     seasons = (
         detrended.groupBy(SERIES, "position")

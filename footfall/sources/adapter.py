@@ -12,10 +12,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from footfall.functions.hashing import seeded_hash
 from footfall.schema import FEED, MESSAGES, conform
 
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
 EPOCH = "2024-01-01"
 BLOCK = 150  # users who share a set of posts
 
@@ -103,7 +115,7 @@ def messages_from_events(events: DataFrame, nation: DataFrame | None = None) ->
 
 
 def load_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
 
 
 def load_feed(spark: SparkSession, folder: str, located: bool = False) -> DataFrame:

@@ -12,27 +12,14 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.functions.calendar import SLOT_MINUTES
 from footfall.functions.ratios import likes, messages, ratio, views
 from footfall.operators.anomaly import iqr_bands, metric_series, outside
-from footfall.sources.adapter import feed_from_events, messages_from_events
+from footfall.sources.adapter import EVENTS, feed_from_events, messages_from_events
 from footfall.sources.logs import activity
 
-EVENTS = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("props", T.StringType()),
-    ]
-)
-
-
 def stream_activity(spark: SparkSession, folder: str, pattern: str = "events*.parquet") -> DataFrame:
     """Both logs as one stream over event files that arrive in ``folder``."""
     events = (
