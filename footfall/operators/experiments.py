@@ -11,7 +11,7 @@ from footfall.functions.calendar import within_days
 from footfall.functions.hashing import salted_hash
 from footfall.functions.ratios import likes, ratio, views
 from footfall.functions.tails import normal_two_sided_p, t_two_sided_p
-from footfall.operators.ranks import quantiles, running_totals
+from footfall.operators.ranks import quantiles_of, running_totals, value_table
 
 GROUP = "exp_group"
 
@@ -185,11 +185,15 @@ def bucketize(users: DataFrame, n: int = 50, salt: str = "bucket", prob: float =
     """
     placed = users.withColumn("bucket", (salted_hash(salt, F.col("user_id")) % n).cast("int"))
     keys = [GROUP, "bucket"]
-    totals = placed.groupBy(*keys).agg(
-        F.count("*").alias("users"),
-        ratio(F.sum("likes"), F.sum("views")).alias("bucket_ctr"),
+    values = value_table(
+        placed,
+        keys,
+        "ctr",
+        {"users": F.count("*"), "likes": F.sum("likes"), "views": F.sum("views")},
     )
-    top = quantiles(placed, keys, "ctr", [prob], "index").select(
-        *keys, F.col("quantile").alias("ctr9")
+    totals = values.groupBy(*keys).agg(
+        F.sum("users").alias("users"),
+        ratio(F.sum("likes"), F.sum("views")).alias("bucket_ctr"),
     )
+    top = quantiles_of(values, keys, [prob], "index").select(*keys, F.col("quantile").alias("ctr9"))
     return totals.join(top, keys, "left")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.ratios import likes, ratio, views
-from footfall.operators.ranks import quantiles
+from footfall.operators.ranks import quantiles, quantiles_of, value_table
 
 QUARTILES = {0.25: "q25", 0.5: "median", 0.75: "q75"}
 
@@ -28,17 +28,22 @@ def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def _power_sum(power: int) -> Column:
+    """Sum of the powered deviations from the group's mean, over a value table."""
+    return F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), F.lit(power)))
+
+
 def describe(df: DataFrame, columns: list[str], digits: int = 2) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum; missing counts as 0."""
-    long = long_form(df.na.fill(0, columns), columns)
-    basics = long.groupBy("variable").agg(
-        F.count("value").alias("count"),
-        F.round(F.avg("value"), digits).alias("mean"),
-        F.round(F.stddev_samp("value"), digits).alias("std"),
+    values = value_table(long_form(df.na.fill(0, columns), columns), ["variable"], "value")
+    basics = values.groupBy("variable").agg(
+        F.sum("n").alias("count"),
+        F.round(F.max("mean"), digits).alias("mean"),
+        F.round(F.sqrt(ratio(_power_sum(2), F.sum("n") - 1)), digits).alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quarters = quantiles(long, ["variable"], "value", list(QUARTILES))
+    quarters = quantiles_of(values, ["variable"], list(QUARTILES))
     wide = quarters.groupBy("variable").agg(
         *[
             F.round(F.max(F.when(F.col("prob") == p, F.col("quantile"))), digits).alias(name)
@@ -51,28 +56,24 @@ def describe(df: DataFrame, columns: list[str], digits: int = 2) -> DataFrame:
 
 
 def shape(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Skewness, mode, mean and median per column, and the side of the longer tail."""
-    long = long_form(df, columns).where(F.col("value").isNotNull())
-    basics = long.groupBy("variable").agg(
-        F.skewness("value").alias("skewness"), F.avg("value").alias("mean")
-    )
-    # The most frequent value, the smallest one on a tie.
-    peak = (
-        long.groupBy("variable", "value")
-        .agg(F.count("*").alias("n"))
-        .groupBy("variable")
-        .agg(F.max(F.struct("n", (-F.col("value")).alias("negated"))).alias("top"))
-        .select("variable", (-F.col("top.negated")).alias("mode"))
+    """Skewness, mode, mean and median per column, and the side of the longer tail.
+
+    The mode is the smallest of the most frequent values; skewness is the population form.
+    """
+    values = value_table(long_form(df, columns), ["variable"], "value").where(F.col("n") > 0)
+    second, third = _power_sum(2) / F.sum("n"), _power_sum(3) / F.sum("n")
+    basics = values.groupBy("variable").agg(
+        ratio(third, F.pow(second, F.lit(1.5))).alias("skewness"),
+        F.max("mean").alias("mean"),
+        (-F.max(F.struct("n", (-F.col("value")).alias("negated")))["negated"]).alias("mode"),
     )
-    median = quantiles(long, ["variable"], "value", [0.5]).select(
+    median = quantiles_of(values, ["variable"], [0.5]).select(
         "variable", F.col("quantile").alias("median")
     )
     tail = (
         F.when(F.col("skewness") > 0, "right").when(F.col("skewness") < 0, "left").otherwise("none")
     )
-    return (
-        basics.join(peak, "variable").join(median, "variable").withColumn("longer_tail", tail)
-    )
+    return basics.join(median, "variable").withColumn("longer_tail", tail)
 
 
 def zscore(df: DataFrame, columns: list[str]) -> DataFrame:

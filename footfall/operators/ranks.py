@@ -69,24 +69,44 @@ def positions(df: DataFrame, by: list[str], order: str, name: str, label: str) -
     return numbered.drop(one)
 
 
+def value_table(
+    df: DataFrame, by: list[str], column: str, sums: dict[str, Column] | None = None
+) -> DataFrame:
+    """The distinct values of a column per group, ranked and written once.
+
+    Columns: ``value``, ``n`` rows with it, ``below`` rows with a smaller one, and the
+    group's ``size`` and ``mean``. Any exact statistic of the group follows from this
+    table without reading the data again. Rows without a value are kept under NULL
+    with ``n = 0``, so ``sums`` (further aggregates) cover all rows.
+    """
+    counts = (
+        df.groupBy(*by, F.col(column).cast("double").alias("value"))
+        .agg(F.count(column).alias("n"), *[c.alias(name) for name, c in (sums or {}).items()])
+        .withColumn("total", F.col("n") * F.coalesce("value", F.lit(0.0)))
+    )
+    ranked = running_totals(
+        counts, by, ["value"], {"below": "n"}, "values", {"size": "n", "mean": "total"}
+    )
+    return ranked.drop("total").withColumn("mean", ratio(F.col("mean"), F.col("size")))
+
+
 def quantiles(
     df: DataFrame, by: list[str], column: str, probs: list[float], method: str = "linear"
 ) -> DataFrame:
-    """Exact quantiles per group, one row per group and probability.
+    """Exact quantiles per group, one row per group and probability."""
+    return quantiles_of(value_table(df, by, column), by, probs, method)
+
+
+def quantiles_of(
+    values: DataFrame, by: list[str], probs: list[float], method: str = "linear"
+) -> DataFrame:
+    """Exact quantiles from a ``value_table``.
 
     ``linear`` interpolates between neighbours; ``index`` takes the sorted element
-    at ``floor(p * n)``. Rows are first reduced to distinct values with counts.
+    at ``floor(p * n)``.
     """
     if method not in ("linear", "index"):
         raise ValueError("method must be 'linear' or 'index'")
-    counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(*by, F.col(column).cast("double").alias("value"))
-        .agg(F.count("*").alias("n"))
-    )
-    ranked = running_totals(
-        counts, by, ["value"], {"below": "n"}, "quantiles", whole={"size": "n"}
-    )
     size = F.col("size")
 
     def wanted(p: float) -> Column:
@@ -105,7 +125,7 @@ def quantiles(
     def holds(position: Column) -> Column:
         return (position >= F.col("below")) & (position < F.col("below") + F.col("n"))
 
-    hits = ranked.select(
+    hits = values.where(F.col("n") > 0).select(
         *by, "value", "below", "n", F.explode(F.array(*[wanted(p) for p in probs])).alias("q")
     ).where(holds(F.col("q.low")) | holds(F.col("q.high")))
     neighbours = hits.groupBy(*by, F.col("q.prob").alias("prob")).agg(

@@ -53,14 +53,6 @@ def _draw_positions(spark, group: int, size: int, n: int, iterations: int, seed:
     )
 
 
-def smallest_group(users: DataFrame, groups: list[int], metric: str = "ctr") -> int:
-    """Users with a defined metric in the smallest of the groups."""
-    counts = users.where(F.col(metric).isNotNull()).agg(
-        F.least(*[F.count_if(F.col(GROUP) == g) for g in groups]).alias("n")
-    )
-    return counts.first()["n"]
-
-
 def aa_simulation(
     users: DataFrame,
     a: int,
@@ -69,11 +61,13 @@ def aa_simulation(
     n: int = 500,
     seed: int = 11,
     metric: str = "ctr",
+    share: int | None = None,
 ) -> DataFrame:
     """Repeated t-tests between samples without replacement from two equal groups.
 
     One row per iteration with the moments of both samples, t, degrees of freedom
-    and p. Users with an undefined metric are not sampled.
+    and p. Users with an undefined metric are not sampled. ``share`` lowers ``n`` to
+    that part of the smaller group (4 for a quarter) where the groups are small.
     """
     spark = users.sparkSession
     pool = users.where(F.col(GROUP).isin([a, b]) & F.col(metric).isNotNull()).select(
@@ -82,6 +76,8 @@ def aa_simulation(
     numbered = positions(pool, [GROUP], "user_id", "position", "aa-users")
     counted = numbered.groupBy(GROUP).agg(F.count("*").alias("size"))
     sizes = {row[GROUP]: row["size"] for row in counted.collect()}  # two rows
+    if share is not None:
+        n = max(2, min(n, min(sizes.get(g, 0) for g in (a, b)) // share))
     sampled = []
     for side, group in (("a", a), ("b", b)):
         draws = _draw_positions(spark, group, sizes.get(group, 0), n, iterations, seed)

@@ -305,8 +305,9 @@ def _buckets(spark, folder):
 
 def _aa_tests(spark, folder, share):
     users = _aa_users(spark, folder)
-    n = max(2, min(AA_SAMPLE, resampling.smallest_group(users, [2, 3]) // share))
-    return resampling.aa_simulation(users, 2, 3, AA_ITERATIONS, n, AA_SEED)
+    return resampling.aa_simulation(
+        users, 2, 3, AA_ITERATIONS, AA_SAMPLE, AA_SEED, share=share
+    )
 
 
 @query

@@ -68,3 +68,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables, once their results have been stored."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

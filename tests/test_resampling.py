@@ -48,6 +48,11 @@ def test_too_large_a_sample_is_an_error(users):
         resampling.aa_simulation(users, 2, 3, 10, 500)
 
 
+def test_share_lowers_the_sample(users):
+    tests = resampling.aa_simulation(users, 2, 3, iterations=5, n=500, share=4)
+    assert {r.n_a for r in tests.collect()} == {30}
+
+
 def test_simulation_is_repeatable_and_calibrated(users):
     tests = resampling.aa_simulation(users, 2, 3, iterations=1500, n=20, seed=5)
     again = resampling.aa_simulation(users.repartition(5), 2, 3, iterations=1500, n=20, seed=5)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.tails import normal_p, t_p
 from footfall.operators import experiments
-from footfall.operators.ranks import histogram, positions, quantiles, running_totals
+from footfall.operators.ranks import histogram, positions, quantiles, running_totals, value_table
 
 
 def test_textbook_values():
@@ -193,6 +193,25 @@ def test_running_totals_across_ranges(spark, partitions):
         assert r["all"] == sum(w for g, _, w in data if g == r.g)
 
 
+def test_running_totals_without_a_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    try:
+        df = spark.range(1000).select((F.col("id") % 3).alias("g"), "id", F.lit(2).alias("w"))
+        ranked = running_totals(df, ["g"], ["id"], {"before": "w"}, "test")
+        wrong = ranked.where(F.col("before") != F.floor(F.col("id") / 3) * 2)
+        assert ranked.count() == 1000 and wrong.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_value_table_keeps_rows_without_a_value(spark):
+    df = spark.createDataFrame([(1.0, 3), (1.0, 4), (None, 5)], "x double, w long")
+    table = value_table(df, [], "x", {"w": F.sum("w")})
+    assert rows(table, "value", "n", "size", "mean", "w") == [(1.0, 2, 2, 1.0, 7), (None, 0, 2, 1.0, 5)]
+
+
 def test_positions_are_dense(spark):
     df = spark.createDataFrame([(i % 2, 10 * i) for i in range(101)], "g int, u long")
     got = positions(df, ["g"], "u", "position", "test").collect()
