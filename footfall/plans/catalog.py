@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from footfall.functions.calendar import AsOf
 from footfall.operators import anomaly, daily, experiments, mart, posts, resampling, retention, series
 from footfall.operators.ranks import histogram
 from footfall.plans import reports
-from footfall.session import scratch_path
+from footfall.session import materialise, scratch_path
 from footfall.sources.adapter import load_feed, load_messages
 from footfall.sources.logs import activity, peek
 from footfall.sources.mart_sink import read_mart, write_mart
@@ -360,6 +361,14 @@ def aa_fpr(spark, folder):
     return resampling.false_positive_rate(_aa_tests(spark, folder, 3))
 
 
+def _histograms(df, columns, by=()):
+    """One histogram per column, each over its own range."""
+    parts = [
+        histogram(df, c, BINS, list(by)).select(F.lit(c).alias("variable"), "*") for c in columns
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def ctr_histogram(spark, folder):
     return histogram(_ab_users(spark, folder), "ctr", BINS, ["exp_group"])
@@ -373,6 +382,28 @@ def linearized_histogram(spark, folder):
     )
 
 
+@query
+def smoothed_histogram(spark, folder):
+    return histogram(smoothed_ctr(spark, folder), "smoothed_ctr", BINS, ["exp_group"])
+
+
+@query
+def pvalue_histogram(spark, folder):
+    return histogram(materialise(aa_pvalues(spark, folder), "p-values"), "p_value", BINS)
+
+
+@query
+def bootstrap_histogram(spark, folder):
+    replicates = materialise(poisson_bootstrap(spark, folder), "replicates")
+    return histogram(replicates, "replicate_ctr", BINS, ["exp_group"])
+
+
+@query
+def bucket_histograms(spark, folder):
+    buckets = materialise(_buckets(spark, folder), "buckets")
+    return _histograms(buckets, ["bucket_ctr", "ctr9"], ["exp_group"])
+
+
 @query
 def smoothed_ctr(spark, folder):
     return experiments.smoothed_ctr(_ab_users(spark, folder), [1, 2])
@@ -528,6 +559,12 @@ def post_skew(spark, folder):
     return posts.shape(with_ctr, ["like", "view", "ctr"])
 
 
+@query
+def post_histograms(spark, folder):
+    with_ctr = materialise(posts.post_ctr(post_actions(spark, folder)), "posts")
+    return _histograms(with_ctr, ["like", "view", "ctr"])
+
+
 @query
 def post_zscore(spark, folder):
     return posts.zscore(post_actions(spark, folder), ["like", "view"])

@@ -418,14 +418,19 @@ add(
 )
 
 
-def _histogram(table: str, column: str) -> str:
-    return f"""SELECT exp_group, CAST(bin AS INTEGER) AS bin, count(*) AS n,
+def _histogram(table: str, column: str, by: str = "exp_group") -> str:
+    lead = f"{by}, " if by else ""
+    return f"""SELECT {lead}CAST(bin AS INTEGER) AS bin, count(*) AS n,
         low + bin * width AS bin_start, low + (bin + 1) * width AS bin_end
-      FROM (SELECT exp_group, low, width, least(coalesce(floor((v - low) / nullif(width, 0)), 0), 19) AS bin
-        FROM (SELECT exp_group, {column} AS v, s.low, (s.high - s.low) / 20.0::DOUBLE AS width
-          FROM {table}, (SELECT min({column}) AS low, max({column}) AS high FROM {table}) s
+      FROM (SELECT {lead}low, width, least(coalesce(floor((v - low) / nullif(width, 0)), 0), 19) AS bin
+        FROM (SELECT {lead}CAST({column} AS DOUBLE) AS v, s.low, (s.high - s.low) / 20.0::DOUBLE AS width
+          FROM {table}, (SELECT min({column})::DOUBLE AS low, max({column})::DOUBLE AS high FROM {table}) s
           WHERE {column} IS NOT NULL))
-      GROUP BY exp_group, bin, low, width"""
+      GROUP BY {lead}bin, low, width"""
+
+
+def _labelled(variable: str, sql: str) -> str:
+    return f"SELECT '{variable}' AS variable, * FROM ({sql})"
 
 
 add("ctr_histogram", _histogram("u", "ctr"), "bin_start bin_end", ctes=_AB_USERS)
@@ -437,6 +442,15 @@ add(
 )
 
 
+add("smoothed_histogram", _histogram("sm", "smoothed_ctr"), "bin_start bin_end", ctes=_AB_SMOOTH)
+add(
+    "bucket_histograms",
+    " UNION ALL ".join(_labelled(c, _histogram("bk", c)) for c in ["bucket_ctr", "ctr9"]),
+    "bin_start bin_end",
+    ctes=_AB_BUCKET,
+)
+
+
 def _aa(share: int) -> str:
     """Both drawing rules over row numbers; the rule applies by the size of each group."""
     high = hashed("attempts", ["grp", "iteration", "attempt"], str(hash_int(11)))
@@ -476,6 +490,12 @@ add(
 )
 _AA_P = f"SELECT tests.iteration, p.p_value FROM tests LEFT JOIN ({_p_of_t('tests', 'iteration')}) p USING (iteration)"
 add("aa_pvalues", _AA_P, "p_value", ctes=_AA_TESTS)
+add(
+    "pvalue_histogram",
+    _histogram("pv", "p_value", ""),
+    "bin_start bin_end",
+    ctes=f"{_AA_TESTS}, pv AS ({_AA_P})",
+)
 add(
     "aa_fpr",
     f"""SELECT count(p_value) AS tests,
@@ -508,6 +528,7 @@ boot AS (SELECT exp_group, CAST(replicate AS INTEGER) AS replicate, CAST(sum(w *
   CAST(sum(w * views) AS BIGINT) AS views, {div('sum(w * likes)', 'sum(w * views)')} AS replicate_ctr
   FROM (SELECT *, {_poisson_case()} AS w FROM boot_hash) GROUP BY exp_group, replicate)"""
 _AB_BOOT = f"{_AB_USERS}, {_BOOT}"
+add("bootstrap_histogram", _histogram("boot", "replicate_ctr"), "bin_start bin_end", ctes=_AB_BOOT)
 add("poisson_bootstrap", "SELECT * FROM boot", "replicate_ctr", ctes=_AB_BOOT)
 add(
     "bootstrap_diff",
@@ -665,6 +686,15 @@ add(
     "skewness mean mode median",
     ctes=_POSTS,
 )
+add(
+    "post_histograms",
+    " UNION ALL ".join(
+        _labelled(name, _histogram("pc", column, ""))
+        for name, column in [("like", '"like"'), ("view", '"view"'), ("ctr", "ctr")]
+    ),
+    "bin_start bin_end",
+    ctes=f"""{_POSTS}, pc AS (SELECT *, {div('"like"', '"view"')} AS ctr FROM pa)""",
+)
 _Z = """z AS (SELECT post_id, ("like" - (SELECT avg("like") FROM pa)) / (SELECT stddev_samp("like") FROM pa) AS "like",
   ("view" - (SELECT avg("view") FROM pa)) / (SELECT stddev_samp("view") FROM pa) AS "view" FROM pa)"""
 add(
