@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from footfall.functions.ratios import ratio
 from footfall.session import materialise
 
-_PART = "_range"
+_PART, _GROUP = "_range", "_group"
 
 
 def running_totals(
@@ -35,23 +35,27 @@ def running_totals(
     spread = materialise(
         df.repartitionByRange(*by, *order).withColumn(_PART, F.spark_partition_id()), label
     )
-    sums = spread.groupBy(*by, _PART).agg(
+    # As one struct, a group with a NULL key still equals itself in the join below.
+    keys = [_GROUP] if by else []
+    if by:
+        spread = spread.withColumn(_GROUP, F.struct(*by))
+    sums = spread.groupBy(*keys, _PART).agg(
         *[F.sum(c).alias(n) for n, c in {**before, **whole}.items()]
     )
-    earlier = Window.partitionBy(*by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        *by,
+        *keys,
         _PART,
         *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_{n}") for n in before],
-        *[F.sum(n).over(Window.partitionBy(*by)).alias(n) for n in whole],
+        *[F.sum(n).over(Window.partitionBy(*keys)).alias(n) for n in whole],
     )
     inside = (
-        Window.partitionBy(*by, _PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys, _PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
     # Ranges are contiguous in (by, order), so there are at most (ranges + groups)
     # offset rows. Spark broadcasts them if they measure small; if not, both sides
     # meet in the partitioning that the window below needs anyway.
-    joined = spread.join(offsets, [*by, _PART])
+    joined = spread.join(offsets, [*keys, _PART])
     return joined.select(
         *df.columns,
         *whole,

@@ -206,6 +206,19 @@ def test_running_totals_without_a_broadcast(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("threshold", [-1, 10_000_000])
+def test_a_group_without_a_name_is_kept(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        df = spark.createDataFrame(
+            [(g, float(v)) for g in ("a", None) for v in range(5)], "g string, x double"
+        )
+        got = rows(quantiles(df, ["g"], "x", [0.5]), "g", "quantile")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [("a", 2.0), (None, 2.0)]
+
+
 def test_value_table_keeps_rows_without_a_value(spark):
     df = spark.createDataFrame([(1.0, 3), (1.0, 4), (None, 5)], "x double, w long")
     table = value_table(df, [], "x", {"w": F.sum("w")})
