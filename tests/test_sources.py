@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.calendar import AsOf, within_days
 from footfall.schema import FEED, conform
+from footfall.session import drop_scratch, materialise, scratch_root
 from footfall.sources.adapter import feed_from_events, messages_from_events
 from footfall.sources.logs import activity, feed_actions, message_actions, peek
 from footfall.sources.mart_sink import read_mart, write_mart
@@ -95,3 +97,12 @@ def test_mart_rerun_replaces_only_its_day(spark, tmp_path):
     write_mart(day(date(2024, 1, 2), 6), path)
     write_mart(day(date(2024, 1, 2), 7), path)
     assert rows(read_mart(spark, path), "event_date", "views") == [("2024-01-01", 5), ("2024-01-02", 7)]
+
+
+def test_scratch_lies_in_the_shared_folder_and_can_be_dropped(spark):
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    table = materialise(spark.range(3), "sample")
+    assert table.count() == 3
+    assert all(name.startswith(f"file://{shared}") for name in table.inputFiles())
+    drop_scratch(spark)
+    assert not Path(scratch_root(spark)).exists()
