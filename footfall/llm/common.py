@@ -21,7 +21,10 @@ SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    """A table of ``folder``, in at least as many partitions as the session has cores."""
+    found = spark.read.parquet(f"{folder}/{table}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return found if found.rdd.getNumPartitions() >= cores else found.repartition(cores)
 
 
 def texts_of(column: pa.Array) -> list[str]:

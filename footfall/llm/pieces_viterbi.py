@@ -22,7 +22,6 @@ import math
 import re
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from footfall.llm.common import crc_of_ids, map_texts, segments
@@ -183,8 +182,7 @@ def encode(vocabulary: Pieces, texts: list[str], known: Known | None = None, lim
         known.clear()
     found = [vocabulary.segment.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
     sizes = np.array([len(f) for f in found], dtype=np.int64)
-    codes, different = pd.factorize(np.array([s for f in found for s in f], dtype=object))
-    new = [s for s in different if s not in known.place]
+    new = sorted({s for f in found for s in f if s not in known.place})
     lengths = np.array([len(s) for s in new], dtype=np.int64)
     order = np.argsort(lengths, kind="stable")
     words, flat, counts = [], [], []
@@ -202,7 +200,7 @@ def encode(vocabulary: Pieces, texts: list[str], known: Known | None = None, lim
             flat.append(ids)
             counts.append(times)
     known.add(words, flat, counts)
-    place = np.array([known.place[s] for s in different], dtype=np.int64)[codes] if len(codes) else codes
+    place = np.fromiter((known.place[s] for f in found for s in f), np.int64, int(sizes.sum()))
     times, starts = known.counts[place], segments(known.counts)[:-1]
     out = segments(times)
     everything = known.flat[np.repeat(starts[place] - out[:-1], times) + np.arange(out[-1])]

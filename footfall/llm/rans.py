@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -156,11 +157,11 @@ class Words:
     looks for its special tokens first: words without ``<|`` are lower-cased before they are kept.
     """
 
-    def __init__(self, path: str, most: int = 1 << 20):
+    def __init__(self, definition: str, most: int = 1 << 20):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer, self.most = Tokenizer.from_str(definition), most
         self.clear()
 
     def clear(self):
@@ -192,12 +193,16 @@ class Words:
 
 
 def tokenize(docs: DataFrame, key: Column, text: Column, path: str, end: int) -> DataFrame:
-    """``doc_id`` and ``ids``, as little-endian unsigned 32-bit integers."""
+    """``doc_id`` and ``ids``, as little-endian unsigned 32-bit integers.
+
+    The driver reads the tokenizer's file; tasks get its text, whose size the file fixes.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
     held: list[Words] = []
 
     def run(texts, rows):
         if not held:
-            held.append(Words(path))
+            held.append(Words(shared.value))
         return {"doc_id": rows.column(1), "ids": [i.astype("<u4").tobytes() for i in held[0].encode(texts, end)]}
 
     return map_texts(docs, [text, key.cast("long").alias("doc_id")], run, "doc_id long, ids binary")
