@@ -1,0 +1,29 @@
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+from text_cases import CLASHING, prose
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """Documents from ``(doc_id, text)`` pairs, with clashing further columns."""
+
+    def build(rows):
+        table = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, n_chars long")
+        return table.select("*", *[F.lit("x").alias(c) for c in CLASHING]).repartition(3)
+
+    return build
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    """Null and empty texts, a null key, a repeated row, a very long text and unusual characters."""
+    return [
+        (1, None), (2, ""), (3, " \n\t "), (4, "one"), (None, prose(5)), (6, prose(6)), (6, prose(6)),
+        (7, " ".join(prose(i, 200) for i in range(60))), (8, "é 你好 \U0001F600\x00 a b ﬁ ▁x"), (9, prose(6)),
+    ]
