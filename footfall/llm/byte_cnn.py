@@ -5,7 +5,7 @@ learned value per (place in the filter, byte). Responses are max-pooled over ove
 ``CHUNK`` bytes (one every ``STRIDE``; together they cover every byte), rectified, and combined by
 their mean and their maximum over the chunks and a logistic layer into one probability.
 
-The network is fitted on at most ``sample`` labelled rows, the first by hash of their key, whose
+The network is fitted on about ``sample`` labelled rows at most, chosen by hash of their key, whose
 texts have at most ``longest`` characters. Only texts enter a score. Gradients flow through the
 maxima, so a step touches one place per chunk and filter.
 
@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import map_texts
+from footfall.llm.common import hash_share, map_texts
 
 WIDTH = 5
 FILTERS = 16
@@ -138,7 +138,7 @@ def train(docs: DataFrame, key: Column, text: Column, labels: DataFrame, label_k
     ``labels`` are the rows that may be learned from.
     """
     rows = labels.select(label_key.alias("k"), label.cast("double").alias("y")).where("k is not null and y is not null")
-    chosen = rows.orderBy(F.xxhash64("k"), "k", "y").limit(sample)  # at most ``sample`` rows to broadcast
+    chosen = hash_share(rows, F.col("k"), sample, rows.count())  # about ``sample`` rows to broadcast
     texts = docs.select(key.alias("k"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
     found = texts.where(F.length("text") <= longest).join(F.broadcast(chosen), "k").collect()
     found.sort(key=lambda r: (r.k, r.y, r.text))

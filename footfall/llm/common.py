@@ -89,6 +89,14 @@ def crc_fold(key: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def hash_share(rows: DataFrame, key: Column, n: int, total: int) -> DataFrame:
+    """About ``n`` of ``total`` rows, chosen by hash of ``key`` (all, if there are no more).
+
+    The number is ``n`` give or take a few of its square roots; no task or driver gets more.
+    """
+    return rows if total <= n else rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int(n / total * (1 << 40)))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import map_texts
+from footfall.llm.common import hash_share, map_texts
 
 #: Fixed values of the contract: the three kinds, in the order they are listed.
 KINDS = ("assign", "access", "hex", "crf")
@@ -333,18 +333,20 @@ def spans(texts: list[str], model) -> list[tuple[list, list]]:
 def train(docs: DataFrame, key: Column, text: Column, sample: int = 2000, longest: int = 20_000):
     """The fitted model, or None without any secret.
 
-    The sample takes the first documents by hash of key and text; texts of over ``longest``
-    characters are not fitted on (they are scanned like any other).
+    The sample holds about ``sample`` documents, half with a match of the patterns, chosen by hash
+    of key and text; texts of over ``longest`` characters are not fitted on (they are scanned like
+    any other).
     """
     rows = docs.select(key.cast("string").alias("k"), text.cast("string").alias("text"))
     rows = rows.where((F.length("text") <= longest) & (F.length("text") > 0))
-    rows = rows.withColumn("h", F.xxhash64("k", "text"))
     marked = F.col("text").rlike("[0-9a-f]{24}|AKIA[A-Z0-9]{16}") | F.col("text").rlike(
         "(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?[A-Za-z0-9+/_.=-]{6}"
     )
-    rows = rows.select("h", "text", marked.alias("marked"))
-    parts = [rows.where(F.col("marked") == m).orderBy("h", "text").limit(sample // 2) for m in (True, False)]
-    return fit([r.text for part in parts for r in part.select("text").collect()])
+    rows = rows.select(F.struct("k", "text").alias("row"), "text", marked.alias("marked"))
+    totals = {r.marked: r["count"] for r in rows.groupBy("marked").count().collect()}
+    parts = [hash_share(rows.where(F.col("marked") == m), F.col("row"), sample // 2, n) for m, n in totals.items()]
+    found = sorted(r.text for part in parts for r in part.select("text").collect())
+    return fit(found)
 
 
 def scan(docs: DataFrame, key: Column, text: Column, sample: int = 2000) -> DataFrame:
