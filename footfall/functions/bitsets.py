@@ -28,6 +28,11 @@ def collect_bits(index: Column, size: int) -> list[Column]:
     return columns
 
 
+def merge_bits(size: int) -> list[Column]:
+    """Aggregates that unite sets of positions below ``size``."""
+    return [F.bit_or(name).alias(name) for name in _names(size)]
+
+
 def has_bit(position: Column, size: int) -> Column:
     """Whether a position between ``0`` and ``size-1`` occurred."""
     words = _names(size)

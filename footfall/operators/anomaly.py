@@ -146,15 +146,21 @@ def alert_messages(alerts: DataFrame) -> DataFrame:
 
 
 def day_over_day(series: DataFrame, tolerance: float) -> DataFrame:
-    """Each point against the same slot a day earlier."""
-    earlier = series.select(
-        (F.col("ts") + F.expr("interval 1 day")).alias("ts"),
-        "metric",
-        F.col("value").alias("day_before"),
-    )
+    """Each point against the same slot a day earlier, where there is one.
+
+    One pass: the earlier point is the only one in a range frame of exactly a day. The
+    frame counts seconds from the calendar fields, so no time zone takes part.
+    """
+    clock = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+    seconds = F.unix_date(F.to_date("ts")).cast("bigint") * 86_400 + clock
+    earlier = Window.partitionBy("metric").orderBy("_second").rangeBetween(-86_400, -86_400)
     change = ratio(F.col("value"), F.col("day_before")) - 1
     return (
-        series.join(earlier, ["ts", "metric"])
+        series.withColumn("_second", seconds)
+        .withColumn("_points", F.count("*").over(earlier))
+        .withColumn("day_before", F.max("value").over(earlier))
+        .where("_points > 0")
+        .select("ts", "metric", "value", "day_before")
         .withColumn("change", change)
         .withColumn("is_alert", F.coalesce(F.abs("change") > tolerance, F.lit(False)))
     )

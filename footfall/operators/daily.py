@@ -24,9 +24,10 @@ def feed_daily(
     return daily.withColumn("ctr", ctr if digits is None else F.round(ctr, digits))
 
 
-def dau(feed: DataFrame) -> DataFrame:
-    """Exact daily users over the whole history."""
-    return feed.groupBy(day().alias("date")).agg(F.count_distinct("user_id").alias("dau"))
+def dau(feed: DataFrame, approx: bool = False) -> DataFrame:
+    """Daily users over the whole history, exact or estimated (HyperLogLog++, 5 % by default)."""
+    users = F.approx_count_distinct("user_id") if approx else F.count_distinct("user_id")
+    return feed.groupBy(day().alias("date")).agg(users.alias("dau"))
 
 
 def posts_viewed_daily(feed: DataFrame) -> DataFrame:
@@ -91,8 +92,57 @@ def user_days(activity: DataFrame, by_day: bool = True) -> DataFrame:
     )
 
 
-def app_dau(activity: DataFrame, first: date, last: date) -> DataFrame:
-    """Daily users of the app, the messenger and the feed, from one pass over both logs."""
+def user_activity(activity: DataFrame) -> DataFrame:
+    """Counts per user and day over both services: the one input of the app report.
+
+    ``time`` is the day's midnight, so that operators over logs take this table too.
+    """
+    sent = F.col("action") == "message"
+    per_day = activity.groupBy("user_id", day().alias("date")).agg(
+        likes().alias("likes"),
+        views().alias("views"),
+        messages().alias("messages"),
+        F.count_if(~sent).alias("feed_actions"),
+    )
+    return per_day.withColumn("time", F.col("date").cast("timestamp_ntz"))
+
+
+def dau_of_days(days: DataFrame) -> DataFrame:
+    """``app_dau`` from user-days."""
+    return days.groupBy("date").agg(
+        F.count("*").alias("dau_app"),
+        F.count_if(F.col("messages") > 0).alias("dau_messenger"),
+        F.count_if(F.col("feed_actions") > 0).alias("dau_feed"),
+    )
+
+
+def totals_of_days(days: DataFrame) -> DataFrame:
+    """``action_totals`` from user-days."""
+    return days.groupBy("date").agg(*[F.sum(c).alias(c) for c in ("likes", "views", "messages")])
+
+
+def per_user_of_days(days: DataFrame) -> DataFrame:
+    """``actions_per_user`` from user-days."""
+    return days.groupBy("date").agg(
+        *[
+            ratio(F.sum(c), F.count_if(F.col(c) > 0)).alias(f"{c}_per_user")
+            for c in ("likes", "views", "messages")
+        ]
+    )
+
+
+def app_dau(activity: DataFrame, first: date, last: date, approx: bool = False) -> DataFrame:
+    """Daily users of the app, the messenger and the feed, from one pass over both logs.
+
+    ``approx`` estimates them without a shuffle of users.
+    """
+    if approx:
+        user, sent = F.col("user_id"), F.col("action") == "message"
+        return within_days(activity, first, last).groupBy(day().alias("date")).agg(
+            F.approx_count_distinct(user).alias("dau_app"),
+            F.approx_count_distinct(F.when(sent, user)).alias("dau_messenger"),
+            F.approx_count_distinct(F.when(~sent, user)).alias("dau_feed"),
+        )
     return (
         user_days(within_days(activity, first, last))
         .groupBy("date")

@@ -39,11 +39,20 @@ def feed_user_day(feed: DataFrame) -> DataFrame:
 
 
 def sent_user_day(messages: DataFrame) -> DataFrame:
-    """Messages sent and people written to, per sender and day."""
-    return messages.groupBy("user_id", day().alias("event_date")).agg(
-        F.count("receiver_id").alias("messages_sent"),
-        F.count_distinct("receiver_id").alias("users_sent"),
-        *_profile(),
+    """Messages sent and people written to, per sender and day.
+
+    Events are counted per receiver and profile by hash first, as in the feed.
+    """
+    counted = messages.groupBy(
+        "user_id", day().alias("event_date"), "receiver_id", *PROFILE
+    ).agg(F.count("receiver_id").alias("n"))
+    pairs = (
+        counted.repartition("user_id", "event_date")
+        .groupBy("user_id", "event_date", "receiver_id")
+        .agg(F.sum("n").alias("n"), *_profile())
+    )
+    return pairs.groupBy("user_id", "event_date").agg(
+        F.sum("n").alias("messages_sent"), F.count("receiver_id").alias("users_sent"), *_profile()
     )
 
 
@@ -78,6 +87,38 @@ def messenger_user_day(sent: DataFrame, received: DataFrame) -> DataFrame:
     return _merge([sent, received], counts, _profile())
 
 
+def message_user_day(messages: DataFrame) -> DataFrame:
+    """Both directions per user and day from one scan; equals ``messenger_user_day``.
+
+    Each message becomes a row of its sender and one of its receiver. The log holds the
+    sender's profile only.
+    """
+    types = dict(messages.dtypes)
+    unknown = [F.lit(None).cast(types[c]).alias(c) for c in PROFILE]
+    sent = F.struct("user_id", F.col("receiver_id").alias("other"), F.lit(True).alias("sent"), *PROFILE)
+    received = F.struct(
+        F.col("receiver_id").alias("user_id"), F.col("user_id").alias("other"), F.lit(False).alias("sent"), *unknown
+    )
+    rows = messages.select(day().alias("event_date"), F.explode(F.array(sent, received)).alias("m"))
+    counted = rows.select("event_date", "m.*").groupBy("user_id", "event_date", "other", "sent", *PROFILE).agg(
+        F.count("other").alias("n")
+    )
+    pairs = (
+        counted.repartition("user_id", "event_date")
+        .groupBy("user_id", "event_date", "other", "sent")
+        .agg(F.sum("n").alias("n"), *_profile())
+    )
+
+    def direction(name: str, is_sent: bool) -> list:
+        of = F.col("sent") == is_sent
+        total = F.coalesce(F.sum(F.when(of, F.col("n"))), F.lit(0))
+        return [total.alias(f"messages_{name}"), F.count(F.when(of, F.col("other"))).alias(f"users_{name}")]
+
+    return pairs.groupBy("user_id", "event_date").agg(
+        *direction("sent", True), *direction("received", False), *_profile()
+    )
+
+
 def user_day(*sides: DataFrame) -> DataFrame:
     """All six metrics per user and day, zero where a service was not used.
 
@@ -126,11 +167,9 @@ def daily_mart(user_days: DataFrame) -> DataFrame:
     cuts = labelled.groupingSets(
         [[F.col("event_date"), F.col(d)] for d in DIMENSIONS], *keys
     ).agg(*_sums(), *[F.grouping(d).alias(f"without_{d}") for d in DIMENSIONS])
-    name, value = F, F
-    for d in DIMENSIONS:
-        present = F.col(f"without_{d}") == 0
-        name = name.when(present, F.lit(d))
-        value = value.when(present, F.col(d))
+    present = {d: F.col(f"without_{d}") == 0 for d in DIMENSIONS}
+    name = F.coalesce(*[F.when(p, F.lit(d)) for d, p in present.items()])
+    value = F.coalesce(*[F.when(p, F.col(d)) for d, p in present.items()])
     return cuts.select(
         "event_date", name.alias("dimension"), value.alias("dimension_value"), *MART_COUNTS
     )

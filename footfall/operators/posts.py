@@ -138,7 +138,7 @@ def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     one_row = df.agg(*[_correlation(a, b).alias(f"{a}|{b}") for a, b in pairs])
     entries = []
     for a, b in pairs:
-        for x, y in {(a, b), (b, a)}:
+        for x, y in dict.fromkeys([(a, b), (b, a)]):
             entries.append(
                 F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"{a}|{b}").alias("r"))
             )

@@ -12,44 +12,41 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.hashing import poisson1, seeded_hash, seeded_index
+from footfall.functions.hashing import poisson1, salted_hash, seeded_hash
 from footfall.functions.ratios import ratio
 from footfall.operators.experiments import GROUP, moments, welch_columns
 from footfall.operators.ranks import positions
 
-_HALF = 2**31
+_ROUNDS = 4
 
 
 def _draw_positions(spark, group: int, size: int, n: int, iterations: int, seed: int) -> DataFrame:
     """``n`` distinct positions out of ``size`` for every iteration, without a shuffle.
 
-    A large group draws with repetition and keeps the first ``n`` distinct numbers,
-    at a cost that does not depend on the group's size. A group smaller than four
-    samples shuffles all its positions, which is then at most four times the sample.
+    Each iteration permutes the numbers below the next square with a keyed Feistel
+    network and takes the first ``n`` images that are positions. The square exceeds the
+    size by about two parts in its root, so the cost depends on ``n`` alone, and one rule
+    serves every size.
     """
     if size < n:
         raise ValueError(f"group {group} has {size} users, fewer than the sample of {n}")
-    keys = F.lit(group), F.col("iteration")
-    if size < 4 * n:
-        # hash and position share one long, so the shuffle is a plain sort of longs
-        keyed = F.transform(
-            F.sequence(F.lit(0), F.lit(size - 1)),
-            lambda p: seeded_hash(seed, *keys, p) * F.lit(_HALF) + p,
-        )
-        drawn, position = F.sort_array(keyed), F.col("drawn") % F.lit(_HALF)
-    else:
-        # repeats are about n² / 2·size; the spare draws are many deviations above that
-        spare = 2 * math.ceil(n * n / size) + 20
-        attempts = F.sequence(F.lit(0), F.lit(n + spare - 1))
-        drawn = F.array_distinct(
-            F.transform(attempts, lambda j: seeded_index(seed, size, *keys, j))
-        )
-        position = F.col("drawn")
+    side = math.isqrt(size - 1) + 1
+    # the images below ``size`` are ten deviations more than needed, or all there are
+    attempts = min(side * side, math.ceil(n * side * side / size) + 10 * math.isqrt(n) + 20)
+
+    def image(j: Column) -> Column:
+        left, right = F.floor(j / side).cast("bigint"), j % side
+        for turn in range(_ROUNDS):
+            key = seeded_hash(seed + turn, F.lit(group), F.col("iteration"), right)
+            left, right = right, (left + key) % side
+        return left * side + right
+
+    tried = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(attempts - 1).cast("bigint")), image)
+    drawn = F.slice(F.filter(tried, lambda p: p < size), 1, n)
     return (
         spark.range(iterations)
         .withColumnRenamed("id", "iteration")
-        .select("iteration", F.explode(F.slice(drawn, 1, n)).alias("drawn"))
-        .select("iteration", position.alias("position"))
+        .select("iteration", F.explode(drawn).alias("position"))
     )
 
 
@@ -61,13 +58,12 @@ def aa_simulation(
     n: int = 500,
     seed: int = 11,
     metric: str = "ctr",
-    share: int | None = None,
 ) -> DataFrame:
     """Repeated t-tests between samples without replacement from two equal groups.
 
     One row per iteration with the moments of both samples, t, degrees of freedom
-    and p. Users with an undefined metric are not sampled. ``share`` lowers ``n`` to
-    that part of the smaller group (4 for a quarter) where the groups are small.
+    and p. Users with an undefined metric are not sampled; a group of fewer than ``n``
+    users is an error. Numbering the users runs jobs and writes a scratch table.
     """
     spark = users.sparkSession
     pool = users.where(F.col(GROUP).isin([a, b]) & F.col(metric).isNotNull()).select(
@@ -76,8 +72,6 @@ def aa_simulation(
     numbered = positions(pool, [GROUP], "user_id", "position", "aa-users")
     counted = numbered.groupBy(GROUP).agg(F.count("*").alias("size"))
     sizes = {row[GROUP]: row["size"] for row in counted.collect()}  # two rows
-    if share is not None:
-        n = max(2, min(n, min(sizes.get(g, 0) for g in (a, b)) // share))
     sampled = []
     for side, group in (("a", a), ("b", b)):
         draws = _draw_positions(spark, group, sizes.get(group, 0), n, iterations, seed)
@@ -131,35 +125,56 @@ def poisson_bootstrap(users: DataFrame, n: int = 2000, seed: int = 23) -> DataFr
     )
 
 
-def pooled_bootstrap(users: DataFrame, n: int = 2000, seed: int = 23) -> DataFrame:
-    """The same bootstrap for large populations.
+def bucket_bootstrap(
+    users: DataFrame, buckets: int = 50, n: int = 2000, seed: int = 23, salt: str = "bucket"
+) -> DataFrame:
+    """The bootstrap over salted-hash buckets of users, which is the one to use at any size.
+
+    Buckets are independent groups of users, so weighting them resamples users; the work
+    is groups × buckets × replicates however many users there are.
+    """
+    placed = users.withColumn("bucket", salted_hash(salt, F.col("user_id")) % buckets)
+    sums = placed.groupBy(GROUP, "bucket").agg(F.sum("likes").alias("likes"), F.sum("views").alias("views"))
+    weighted = sums.select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("replicate")
+    ).withColumn("w", poisson1(seeded_hash(seed, F.col(GROUP), F.col("bucket"), F.col("replicate"))))
+    return (
+        weighted.groupBy(GROUP, "replicate")
+        .agg(
+            F.sum(F.col("w") * F.col("likes")).alias("likes"),
+            F.sum(F.col("w") * F.col("views")).alias("views"),
+        )
+        .withColumn("replicate_ctr", ratio(F.col("likes"), F.col("views")))
+    )
+
+
+def pooled_bootstrap(users: DataFrame, n: int = 2000, seed: int = 23, parts: int = 64) -> DataFrame:
+    """The per-user bootstrap's exact distribution at the cost of distinct (likes, views) pairs.
 
     Users of a group with equal likes and views are pooled: the sum of their
-    independent Poisson(1) weights is one Poisson draw with their number as the mean,
-    so the replicates have exactly the same distribution, while the work grows with
-    the distinct (likes, views) pairs instead of the users. Every pooled row seeds its
-    own generator, which makes the result independent of how rows are placed.
+    independent Poisson(1) weights is one Poisson draw with their number as the mean.
+    Pooled rows are dealt to ``parts`` by hash; a part sorts its rows and draws matrices
+    from a generator of its own, so the result does not depend on how rows are placed.
     """
     pooled = (
         users.groupBy(GROUP, "likes", "views")
         .agg(F.count("*").alias("members"))
-        .withColumn("key", F.xxhash64(GROUP, "likes", "views"))
+        .withColumn("part", F.pmod(F.xxhash64(GROUP, "likes", "views"), F.lit(parts)))
     )
 
-    def weigh(batches):
-        for batch in batches:
-            for group, rows in batch.groupby(GROUP):
-                likes, views = np.zeros(n, "int64"), np.zeros(n, "int64")
-                for row in rows.itertuples(index=False):
-                    bits = np.random.Philox(key=[seed, row.key & (2**64 - 1)])
-                    weight = np.random.Generator(bits).poisson(row.members, n)
-                    likes += weight * row.likes
-                    views += weight * row.views
-                yield pd.DataFrame(
-                    {GROUP: group, "replicate": np.arange(n), "likes": likes, "views": views}
-                )
-
-    partial = pooled.mapInPandas(
+    def weigh(key, rows):
+        group, part = key
+        rows = rows.sort_values(["likes", "views"])
+        rng = np.random.Generator(np.random.Philox(key=[seed, (int(group) & 0xFFFFFFFF) << 20 | int(part)]))
+        likes, views = np.zeros(n, "int64"), np.zeros(n, "int64")
+        for low in range(0, len(rows), 256):
+            some = rows.iloc[low : low + 256]
+            weights = rng.poisson(some["members"].to_numpy()[:, None], (len(some), n))
+            likes += some["likes"].to_numpy() @ weights
+            views += some["views"].to_numpy() @ weights
+        return pd.DataFrame({GROUP: group, "replicate": np.arange(n), "likes": likes, "views": views})
+
+    partial = pooled.groupBy(GROUP, "part").applyInPandas(
         weigh, f"{GROUP} int, replicate int, likes bigint, views bigint"
     )
     return (

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions.bitsets import collect_bits, has_bit, members
+from footfall.functions.bitsets import collect_bits, has_bit, members, merge_bits
 from footfall.functions.calendar import day, within, within_days
 from footfall.functions.ratios import ratio
 from footfall.operators.daily import count_by_value
@@ -22,27 +22,37 @@ def first_seen(log: DataFrame, since: date) -> DataFrame:
     )
 
 
+def _users_by_first(log: DataFrame, dim: str, parts: list, whole: list) -> DataFrame:
+    """One row per user with the value ``dim`` had at the user's first action.
+
+    ``parts`` aggregate per user and value, by hash; ``whole`` reduce those few rows once
+    they lie together. Of several first actions at one time the smallest value counts.
+    """
+    per_value = log.groupBy("user_id", dim).agg(F.min("time").alias("_first"), *parts)
+    first = F.min(F.struct("_first", dim)).getField(dim).alias(dim)
+    return per_value.repartition("user_id").groupBy("user_id").agg(first, *whole)
+
+
 def cohort_retention(
-    log: DataFrame, since: date, until: date, by: list[str] | None = None
+    log: DataFrame, since: date, until: date, by: str | None = None
 ) -> DataFrame:
     """Active users per cohort start day and day, for users first seen on or after ``since``.
 
     The first day comes from the whole history; active days are kept up to ``until``.
-    ``by`` keeps separate cohorts per value. One shuffle moves one small row per user.
+    ``by`` separates cohorts by a column's value at the user's first action. One shuffle
+    moves one small row per user (and value).
     """
-    by = by or []
-    days = (until - since).days + 1
-    users = (
-        log.groupBy("user_id", *by)
-        .agg(
-            F.min(day()).alias("start_date"),
-            *collect_bits(F.datediff(day(), F.lit(since)), days),
-        )
-        .where(F.col("start_date") >= F.lit(since))
-    )
+    size = (until - since).days + 1
+    parts = [F.min(day()).alias("start_date"), *collect_bits(F.datediff(day(), F.lit(since)), size)]
+    if by is None:
+        users = log.groupBy("user_id").agg(*parts)
+    else:
+        users = _users_by_first(log, by, parts, [F.min("start_date").alias("start_date"), *merge_bits(size)])
+    keys = [by] if by else []
     return (
-        users.select(*by, "start_date", F.explode(members(days)).alias("offset"))
-        .groupBy(*by, "start_date", F.date_add(F.lit(since), F.col("offset")).alias("date"))
+        users.where(F.col("start_date") >= F.lit(since))
+        .select(*keys, "start_date", F.explode(members(size)).alias("offset"))
+        .groupBy(*keys, "start_date", F.date_add(F.lit(since), F.col("offset")).alias("date"))
         .agg(F.count("*").alias("active_users"))
     )
 
@@ -60,7 +70,7 @@ def cohort_matrix(retention: DataFrame, dates: list[date]) -> DataFrame:
 
 def retention_by(log: DataFrame, dim: str, since: date, until: date) -> DataFrame:
     """Cohort counts with day number, cohort size and rate for each value of ``dim``."""
-    cells = cohort_retention(log, since, until, [dim]).withColumn(
+    cells = cohort_retention(log, since, until, dim).withColumn(
         "day_number", F.datediff("date", "start_date")
     )
     # Every member of a cohort is active on day 0, so that cell is the cohort size.
@@ -79,17 +89,19 @@ def retention_mean(rates: DataFrame, dim: str) -> DataFrame:
 
 
 def new_user_return(log: DataFrame, dim: str = "source") -> DataFrame:
-    """New users per day and source, and how many of them came back the next day.
+    """New users per day and first source, and how many of them came back the next day.
 
     The first even and the first odd day of a user are enough: the earlier one is
     the start, and the next day was active exactly if the other one is that day.
     """
     number = F.unix_date(day())
-    first_even = F.min(F.when(number % 2 == 0, number))
-    first_odd = F.min(F.when(number % 2 != 0, number))
+    parts = [
+        F.min(F.when(number % 2 == 0, number)).alias("even"),
+        F.min(F.when(number % 2 != 0, number)).alias("odd"),
+    ]
+    whole = [F.min(c).alias(c) for c in ("even", "odd")]
     return (
-        log.groupBy("user_id", dim)
-        .agg(first_even.alias("even"), first_odd.alias("odd"))
+        _users_by_first(log, dim, parts, whole)
         .groupBy(F.date_from_unix_date(F.least("even", "odd")).alias("start_date"), dim)
         .agg(
             F.count("*").alias("new_users"),

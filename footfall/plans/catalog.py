@@ -21,14 +21,15 @@ from footfall.operators.ranks import histogram
 from footfall.plans import reports
 from footfall.session import materialise, scratch_path
 from footfall.sources.adapter import load_feed, load_messages
-from footfall.sources.logs import activity, peek
+from footfall.sources.logs import activity, feed_actions, message_actions, peek, write_log
 from footfall.sources.mart_sink import read_mart, write_mart
 from footfall.streaming import quarter_hour as live
 
 AS_OF = AsOf(datetime(2024, 1, 31))
 ALERT_AS_OF = AsOf(datetime(2024, 1, 30, 23, 50))
 SINCE = AS_OF.days_ago(reports.RETENTION_DAYS)
-FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 30)
+FIRST_DAY = date(2024, 1, 1)  # of the weekly audience report's range
+LOG_DAY = "day"
 AA_WEEK = (date(2024, 1, 8), date(2024, 1, 14))
 AB_WEEK = (date(2024, 1, 15), date(2024, 1, 21))
 DROP_DAY = date(2024, 1, 20)
@@ -37,7 +38,8 @@ ALL_GROUPS = [0, 1, 2, 3]
 SLICES = ["os", "gender", "age", "country", "city", "source"]
 BUCKETS = 50
 AA_ITERATIONS = 10_000
-AA_SAMPLE = 500  # smaller where the groups are
+#: The smallest provided tables have three users in a group; a sample that doesn't fit is an error.
+AA_SAMPLE, AA_SMALL_SAMPLE = 3, 2
 AA_SEED = 11
 BOOTSTRAP_SEED = 23
 REPLICATES = 2_000
@@ -110,6 +112,14 @@ def feed_last7(spark, folder):
     return reports.feed_report(load_feed(spark, folder), AS_OF)["week"]
 
 
+@query
+def feed_last7_log(spark, folder):
+    """The same table from a stored log, of which eight day folders are read."""
+    path, _ = _logs(spark, folder)
+    feed = feed_actions(spark, path, AS_OF.days_ago(7), AS_OF.today, day_column=LOG_DAY)
+    return reports.feed_report(feed, AS_OF)["week"]
+
+
 @query
 def app_dau_yesterday(spark, folder):
     return daily.app_dau(_activity(spark, folder), AS_OF.yesterday, AS_OF.yesterday)
@@ -120,6 +130,13 @@ def app_dau_week(spark, folder):
     return daily.app_dau(_activity(spark, folder), AS_OF.days_ago(7), AS_OF.today)
 
 
+@query
+def app_dau_week_log(spark, folder):
+    first, last = AS_OF.days_ago(7), AS_OF.today
+    feed, messages = _stored_logs(spark, folder, first, last + timedelta(days=1))
+    return daily.app_dau(activity(feed, messages), first, last)
+
+
 @query
 def app_dau_long(spark, folder):
     return daily.melt_metrics(app_dau_week(spark, folder), ["date"])
@@ -150,6 +167,14 @@ def feed_by_slice(spark, folder):
     return daily.feed_by_slice(load_feed(spark, folder, located=True), SLICES)
 
 
+def _stored_logs(spark, folder, start=None, end=None):
+    feed, messages = _logs(spark, folder)
+    return (
+        feed_actions(spark, feed, start, end, day_column=LOG_DAY),
+        message_actions(spark, messages, start, end, day_column=LOG_DAY),
+    )
+
+
 @query
 def feed_today(spark, folder):
     return daily.feed_today(load_feed(spark, folder), ALERT_AS_OF)
@@ -160,10 +185,44 @@ def feed_report(spark, folder):
     return reports.feed_report(load_feed(spark, folder), AS_OF)["text"]
 
 
+def _app_report(spark, folder, table):
+    feed, messages = load_feed(spark, folder), load_messages(spark, folder)
+    return reports.app_report(feed, messages, AS_OF, FIRST_DAY)[table]
+
+
 @query
 def app_report(spark, folder):
-    feed, messages = load_feed(spark, folder), load_messages(spark, folder)
-    return reports.app_report(feed, messages, AS_OF, FIRST_DAY)["text"]
+    return _app_report(spark, folder, "text")
+
+
+@query
+def app_report_dau(spark, folder):
+    return _app_report(spark, folder, "dau")
+
+
+@query
+def app_report_actions_per_user(spark, folder):
+    return _app_report(spark, folder, "actions_per_user")
+
+
+@query
+def app_report_retention_feed(spark, folder):
+    return _app_report(spark, folder, "retention_feed")
+
+
+@query
+def app_report_retention_messenger(spark, folder):
+    return _app_report(spark, folder, "retention_messenger")
+
+
+@query
+def app_report_weekly_feed(spark, folder):
+    return _app_report(spark, folder, "weekly_audience_feed")
+
+
+@query
+def app_report_weekly_messenger(spark, folder):
+    return _app_report(spark, folder, "weekly_audience_messenger")
 
 
 @query
@@ -266,7 +325,7 @@ def user_day(spark, folder):
 
 def _all_user_days(spark, folder):
     feed, messages = load_feed(spark, folder), load_messages(spark, folder)
-    return reports.user_days(feed, messages, FIRST_DAY, LAST_DAY)
+    return reports.user_days(feed, messages)
 
 
 @query
@@ -289,6 +348,12 @@ def daily_mart(spark, folder):
     return mart.daily_mart(_all_user_days(spark, folder))
 
 
+@query
+def daily_mart_log(spark, folder):
+    feed, messages = _stored_logs(spark, folder)
+    return mart.daily_mart(reports.user_days(feed, messages))
+
+
 # --- experiments -----------------------------------------------------------
 
 
@@ -304,11 +369,8 @@ def _buckets(spark, folder):
     return experiments.bucketize(_ab_users(spark, folder), BUCKETS)
 
 
-def _aa_tests(spark, folder, share):
-    users = _aa_users(spark, folder)
-    return resampling.aa_simulation(
-        users, 2, 3, AA_ITERATIONS, AA_SAMPLE, AA_SEED, share=share
-    )
+def _aa_tests(spark, folder, n=AA_SAMPLE):
+    return resampling.aa_simulation(_aa_users(spark, folder), 2, 3, AA_ITERATIONS, n, AA_SEED)
 
 
 @query
@@ -341,24 +403,24 @@ def mwu_ctr(spark, folder):
 
 @query
 def aa_stats(spark, folder):
-    """Sample of a third of the smaller group: positions are shuffled."""
-    return _aa_tests(spark, folder, 3).select("iteration", "mean_a", "mean_b", "t", "dof")
+    return _aa_tests(spark, folder).select("iteration", "n_a", "n_b", "mean_a", "mean_b", "t", "dof")
 
 
 @query
 def aa_stats_spread(spark, folder):
-    """Sample of a sixth of the smaller group: positions are drawn by index."""
-    return _aa_tests(spark, folder, 6).select("iteration", "mean_a", "mean_b", "t", "dof")
+    """The same with a smaller sample."""
+    tests = _aa_tests(spark, folder, AA_SMALL_SAMPLE)
+    return tests.select("iteration", "n_a", "n_b", "mean_a", "mean_b", "t", "dof")
 
 
 @query
 def aa_pvalues(spark, folder):
-    return _aa_tests(spark, folder, 3).select("iteration", "p_value")
+    return _aa_tests(spark, folder).select("iteration", "p_value")
 
 
 @query
 def aa_fpr(spark, folder):
-    return resampling.false_positive_rate(_aa_tests(spark, folder, 3))
+    return resampling.false_positive_rate(_aa_tests(spark, folder))
 
 
 def _histograms(df, columns, by=()):
@@ -394,7 +456,7 @@ def pvalue_histogram(spark, folder):
 
 @query
 def bootstrap_histogram(spark, folder):
-    replicates = materialise(poisson_bootstrap(spark, folder), "replicates")
+    replicates = materialise(bucket_bootstrap(spark, folder), "replicates")
     return histogram(replicates, "replicate_ctr", BINS, ["exp_group"])
 
 
@@ -429,9 +491,15 @@ def poisson_bootstrap_pooled(spark, folder):
     return resampling.pooled_bootstrap(_ab_users(spark, folder), REPLICATES, BOOTSTRAP_SEED)
 
 
+@query
+def bucket_bootstrap(spark, folder):
+    users = _ab_users(spark, folder)
+    return resampling.bucket_bootstrap(users, BUCKETS, REPLICATES, BOOTSTRAP_SEED)
+
+
 @query
 def bootstrap_diff(spark, folder):
-    return resampling.bootstrap_diff(poisson_bootstrap(spark, folder), 2, 1)
+    return resampling.bootstrap_diff(bucket_bootstrap(spark, folder), 2, 1)
 
 
 @query
@@ -523,9 +591,17 @@ def band_breaks(spark, folder):
     return anomaly.band_breaks(anomaly.iqr_bands(anomaly.metric_series(slots), live=True))
 
 
+def _logs(spark, folder):
+    """Folders of both logs, written by day from the event table."""
+    paths = scratch_path(spark, "feed-log"), scratch_path(spark, "message-log")
+    write_log(load_feed(spark, folder), paths[0])
+    write_log(load_messages(spark, folder), paths[1])
+    return paths
+
+
 def _run_stream(spark, folder):
     target = scratch_path(spark, "stream")
-    slots = live.stream_slots(live.stream_activity(spark, folder))
+    slots = live.stream_slots(live.stream_logs(spark, *_logs(spark, folder)))
     live.run_slots(slots, target, trigger={"availableNow": True}).awaitTermination()
     return target
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,7 +72,24 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder wherever Spark can write; an absent one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch tables, once their results have been stored."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    remove_path(spark, scratch_root(spark))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables written inside the block when it ends.
+
+    Results must have been stored or collected by then.
+    """
+    try:
+        yield
+    finally:
+        drop_scratch(spark)

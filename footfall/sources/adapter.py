@@ -4,7 +4,7 @@ The event table has no likes, no user profile and users who are active nearly
 every day, which makes retention trivial. Each event user therefore stands for
 two accounts: one is active on the days before a hashed start day and in hashed
 gap weeks, the other on all remaining days. Every event row is kept, and both
-accounts have staggered starts and weeks without activity. Posts and receivers are
+accounts have staggered starts and weeks without activity. Some users change their source. Posts and receivers are
 numbered within blocks of users, so their number grows with the users.
 """
 
@@ -42,7 +42,9 @@ SEEDS = {
     "exp_group": 7,
     "nation": 8,
     "city": 9,
+    "moves": 10,
 }
+MOVE_DAY = 15  # from then on every fifth user comes from the other source
 
 
 def _draw(name: str, key: Column, n: int) -> Column:
@@ -63,12 +65,14 @@ def _profiled(events: DataFrame, nation: DataFrame | None) -> DataFrame:
         F.floor(raw / BLOCK).alias("block"),
     )
     user = F.col("user_id")
+    moved = (F.col("d") >= MOVE_DAY) & (_draw("moves", user, 5) == 0)
+    from_ads = (_draw("source", user, 2) == 0) != moved
     base = base.select(
         "*",
         (14 + _draw("age", user, 47)).cast("int").alias("age"),
         F.when(_draw("os", user, 3) == 0, "iOS").otherwise("Android").alias("os"),
         _draw("gender", user, 2).cast("int").alias("gender"),
-        F.when(_draw("source", user, 2) == 0, "ads").otherwise("organic").alias("source"),
+        F.when(from_ads, "ads").otherwise("organic").alias("source"),
         _draw("exp_group", user, 4).cast("int").alias("exp_group"),
     )
     if nation is None:

@@ -7,7 +7,7 @@ from oracle.hashing import hash_int, hashed
 # The hash seed of each derived column.
 SEEDS = {
     "start": 1, "gap": 2, "age": 3, "os": 4, "gender": 5,
-    "source": 6, "exp_group": 7, "nation": 8, "city": 9,
+    "source": 6, "exp_group": 7, "nation": 8, "city": 9, "moves": 10,
 }
 
 
@@ -18,9 +18,13 @@ def _keys(entries: list[tuple[str, str]], table: str) -> str:
     )
 
 
-_PROFILE = ["age", "os", "gender", "source", "exp_group", "nation", "city"]
+_PROFILE = ["age", "os", "gender", "source", "exp_group", "nation", "city", "moves"]
 
 _COLUMNS = "age, os, gender, country, city, source, exp_group"
+# every fifth user comes from the other source from the fifteenth day on
+_DERIVED = _COLUMNS.replace(
+    "source", "CASE WHEN a.d >= 15 AND moves % 5 = 0 THEN CASE source WHEN 'ads' THEN 'organic' ELSE 'ads' END ELSE source END AS source"
+)
 
 LOGS = f"""
 raw AS (
@@ -46,15 +50,15 @@ profile AS (
          CASE WHEN os % 3 = 0 THEN 'iOS' ELSE 'Android' END AS os,
          CAST(gender % 2 AS INTEGER) AS gender,
          n_name AS country, n_name || '-' || CAST(city % 3 AS VARCHAR) AS city,
-         CASE WHEN source % 2 = 0 THEN 'ads' ELSE 'organic' END AS source,
+         CASE WHEN source % 2 = 0 THEN 'ads' ELSE 'organic' END AS source, moves,
          CAST(exp_group % 4 AS INTEGER) AS exp_group
   FROM user_draw LEFT JOIN nation ON n_nationkey = CAST(nation % 25 AS BIGINT)),
 feed AS (
   SELECT a.user_id, a.block * 1000 + a.k * 10 + a.d // 3 AS post_id, a.time, CAST(a.time AS DATE) AS date,
-         CASE WHEN event_type = 'click' THEN 'like' ELSE 'view' END AS action, {_COLUMNS}
+         CASE WHEN event_type = 'click' THEN 'like' ELSE 'view' END AS action, {_DERIVED}
   FROM account a JOIN profile USING (user_id) WHERE event_type <> 'purchase'),
 msg AS (
-  SELECT a.user_id, a.block * 300 + a.k AS receiver_id, a.time, CAST(a.time AS DATE) AS date, {_COLUMNS}
+  SELECT a.user_id, a.block * 300 + a.k AS receiver_id, a.time, CAST(a.time AS DATE) AS date, {_DERIVED}
   FROM account a JOIN profile USING (user_id) WHERE event_type = 'purchase'),
 act AS (
   SELECT user_id, time, date, {_COLUMNS}, action FROM feed

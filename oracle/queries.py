@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from oracle.hashing import hash_int, hashed
 from oracle.logs import LOGS
 
@@ -55,6 +57,8 @@ def _dau(where: str) -> str:
       LEFT JOIN (SELECT date, count(DISTINCT user_id) AS n FROM feed WHERE {where} GROUP BY date) f USING (date)"""
 
 
+add("feed_last7_log", _feed_daily(f"{WEEK} AND date <= DATE '2024-01-30'", 4), "ctr", "date")
+add("app_dau_week_log", _dau(WEEK), texts="date")
 add("app_dau_yesterday", _dau(YESTERDAY), texts="date")
 add("app_dau_week", _dau(WEEK), texts="date")
 add(
@@ -148,16 +152,20 @@ add(
 
 
 def _retention(log: str, by: str = "") -> str:
-    lead = f"t2.{by}, " if by else ""
-    pick = f", {by}" if by else ""
-    match = f"AND t1.{by} = t2.{by}" if by else ""
+    lead = f"t1.{by}, " if by else ""
+    first = f", {_first(by)}" if by else ""
     return f"""SELECT {lead}start_date, date, count(*) AS active_users
-      FROM (SELECT user_id{pick}, min(date) AS start_date FROM {log} GROUP BY user_id{pick}
+      FROM (SELECT user_id{first}, min(date) AS start_date FROM {log} GROUP BY user_id
             HAVING min(date) >= {SINCE}) t1
-      JOIN (SELECT DISTINCT user_id{pick}, date FROM {log}) t2 ON t1.user_id = t2.user_id {match}
+      JOIN (SELECT DISTINCT user_id, date FROM {log}) t2 ON t1.user_id = t2.user_id
       GROUP BY {lead}start_date, date"""
 
 
+def _first(by: str) -> str:
+    """The value at the user's first action."""
+    return f"min(struct_pack(t := time, v := {by})).v AS {by}"
+
+
 add(
     "first_seen",
     f"SELECT user_id, min(date) AS start_date FROM feed GROUP BY user_id HAVING min(date) >= {SINCE}",
@@ -166,12 +174,14 @@ add(
 add("retention_feed", _retention("feed"), texts="start_date date")
 add("retention_messenger", _retention("msg"), texts="start_date date")
 _DATES = [f"2024-01-{d:02d}" for d in range(10, 32)]
-add(
-    "retention_matrix",
-    f"""SELECT start_date, {', '.join(f"max(active_users) FILTER (WHERE date = DATE '{d}') AS " + chr(34) + d + chr(34) for d in _DATES)}
-        FROM ({_retention("feed")}) GROUP BY start_date""",
-    texts="start_date",
-)
+
+
+def _matrix(log: str) -> str:
+    cells = ", ".join(f"max(active_users) FILTER (WHERE date = DATE '{d}') AS \"{d}\"" for d in _DATES)
+    return f"SELECT start_date, {cells} FROM ({_retention(log)}) GROUP BY start_date"
+
+
+add("retention_matrix", _matrix("feed"), texts="start_date")
 _RATES = f"""SELECT c.source, c.start_date, c.date, c.active_users, c.date - c.start_date AS day_number,
     z.active_users AS cohort_size, {div('c.active_users', 'z.active_users')} AS rate
     FROM ({_retention("feed", "source")}) c JOIN ({_retention("feed", "source")}) z
@@ -193,7 +203,7 @@ add(
     "campaign_cohort",
     f"""SELECT start_date, source, count(*) AS new_users, count(back) AS returned_next_day,
         {div('count(back)', 'count(*)')} AS return_rate
-        FROM (SELECT user_id, source, min(date) AS start_date FROM feed GROUP BY user_id, source) t1
+        FROM (SELECT user_id, {_first('source')}, min(date) AS start_date FROM feed GROUP BY user_id) t1
         LEFT JOIN (SELECT DISTINCT user_id AS back, date FROM feed) t2
         ON back = t1.user_id AND t2.date = start_date + 1 GROUP BY start_date, source""",
     "return_rate",
@@ -236,12 +246,30 @@ def _weekly(log: str) -> str:
 
 add("weekly_audience_feed", _weekly("feed"), texts="this_week previous_week")
 add("weekly_audience_messenger", _weekly("msg"), texts="this_week previous_week")
-add(
-    "weekly_matrix",
-    f"""SELECT CAST(this_week AS VARCHAR) AS this_week,
-        {', '.join(f"max(num_users) FILTER (WHERE status = '{s}') AS {s}" for s in ['new', 'retained', 'lost'])}
-        FROM ({_weekly("feed")}) GROUP BY 1""",
-)
+
+
+def _weekly_matrix(log: str) -> str:
+    cells = ", ".join(f"max(num_users) FILTER (WHERE status = '{s}') AS {s}" for s in ("new", "retained", "lost"))
+    return f"SELECT CAST(this_week AS VARCHAR) AS this_week, {cells} FROM ({_weekly(log)}) GROUP BY 1"
+
+
+add("weekly_matrix", _weekly_matrix("feed"))
+_APP_TABLES = {
+    "app_report_dau": (
+        f"""SELECT date, variable, CAST(value AS DOUBLE) AS value FROM ({_dau(WEEK)})
+            UNPIVOT (value FOR variable IN (dau_app, dau_messenger, dau_feed))""", "value", "date"),
+    "app_report_actions_per_user": (
+        f"""SELECT date, v AS variable, CASE v WHEN 'likes_per_user' THEN {_per_user('like')}
+            WHEN 'views_per_user' THEN {_per_user('view')} ELSE {_per_user('message')} END AS value
+            FROM act, (VALUES ('likes_per_user'), ('views_per_user'), ('messages_per_user')) t(v)
+            WHERE {WEEK} GROUP BY date, v""", "value", "date"),
+    "app_report_weekly_feed": (_weekly_matrix("feed"), "", ""),
+    "app_report_weekly_messenger": (_weekly_matrix("msg"), "", ""),
+    "app_report_retention_feed": (_matrix("feed"), "", "start_date"),
+    "app_report_retention_messenger": (_matrix("msg"), "", "start_date"),
+}
+for _name, (_body, _doubles, _texts) in _APP_TABLES.items():
+    add(_name, _body, _doubles, _texts)
 
 # --- daily mart ------------------------------------------------------------
 
@@ -278,7 +306,7 @@ for _name, _table in [
     add(_name, f"SELECT * FROM {_table}", texts="event_date", ctes=_MART)
 for _dim in ["gender", "age", "os"]:
     add(f"mart_{_dim}", _cut(_dim), texts="event_date", ctes=_MART)
-for _name in ["daily_mart", "mart_roundtrip"]:
+for _name in ["daily_mart", "daily_mart_log", "mart_roundtrip"]:
     add(
         _name,
         " UNION ALL ".join(_cut(d) for d in ["gender", "os", "age"]),
@@ -451,42 +479,36 @@ add(
 )
 
 
-def _aa(share: int) -> str:
-    """Both drawing rules over row numbers; the rule applies by the size of each group."""
-    high = hashed("attempts", ["grp", "iteration", "attempt"], str(hash_int(11)))
-    low = hashed("attempts", ["grp", "iteration", "attempt"], str(hash_int(12)))
-    shuffled = hashed("shuffle_keys", ["grp", "iteration", "position"], str(hash_int(11)))
+def _aa(n: int) -> str:
+    """Keyed permutation of the numbers below the next square; the first n images in range are drawn."""
+    names = "grp, size, side, iteration, attempt"
+    steps = []
+    for turn in range(4):
+        mixed = hashed(f"turn{turn}", ["grp", "iteration", "r"], str(hash_int(11 + turn)))
+        steps.append(
+            f"turn{turn + 1} AS (SELECT {names}, r AS l, CAST((l::UBIGINT + h) % side::UBIGINT AS BIGINT) AS r FROM ({mixed}))"
+        )
     return f"""
 pool AS (SELECT exp_group, row_number() OVER (PARTITION BY exp_group ORDER BY user_id) - 1 AS position, ctr
   FROM u WHERE ctr IS NOT NULL),
-sizes AS (SELECT exp_group AS grp, count(*) AS size, greatest(2, least(500, (SELECT min(c) FROM
-  (SELECT count(*) AS c FROM pool GROUP BY exp_group)) // {share})) AS n FROM pool GROUP BY exp_group),
-attempts AS (SELECT grp, size, n, i.iteration, a.attempt
-  FROM sizes, range(10000) i(iteration), range(0, (SELECT max(2 * n + 20) FROM sizes)) a(attempt) WHERE size >= 4 * n),
-high AS ({high}),
-low AS ({low}),
-drawn AS (SELECT high.grp, high.iteration, high.n, min(high.attempt) AS attempt,
-    CAST(((high.h & 2147483647::UBIGINT) * 4294967296::UBIGINT + low.h) % high.size::UBIGINT AS BIGINT) AS position
-  FROM high JOIN low USING (grp, iteration, attempt) GROUP BY 1, 2, 3, 5),
-shuffle_keys AS (SELECT grp, size, n, i.iteration, p.position
-  FROM sizes, range(10000) i(iteration), range(0, (SELECT max(size) FROM sizes)) p(position)
-  WHERE size < 4 * n AND p.position < size),
-shuffled AS ({shuffled}),
-picked AS (
-  SELECT grp, iteration, position FROM (SELECT *, row_number() OVER (PARTITION BY grp, iteration ORDER BY attempt) AS r FROM drawn) WHERE r <= n
-  UNION ALL
-  SELECT grp, iteration, position FROM (SELECT *, row_number() OVER (PARTITION BY grp, iteration ORDER BY h, position) AS r FROM shuffled) WHERE r <= n),
+sizes AS (SELECT exp_group AS grp, count(*) AS size, CAST(ceil(sqrt(count(*))) AS BIGINT) AS side FROM pool GROUP BY exp_group),
+turn0 AS (SELECT grp, size, side, i.iteration, a.attempt, a.attempt // side AS l, a.attempt % side AS r
+  FROM sizes, range(10000) i(iteration), range(0, (SELECT max(side * side) FROM sizes)) a(attempt)
+  WHERE a.attempt < least(side * side, CAST(ceil({n}.0 * side * side / size) AS BIGINT) + {10 * math.isqrt(n) + 20})),
+{", ".join(steps)},
+picked AS (SELECT grp, iteration, l * side + r AS position FROM turn4 WHERE l * side + r < size
+  QUALIFY row_number() OVER (PARTITION BY grp, iteration ORDER BY attempt) <= {n}),
 tests AS (SELECT *, {_T} FROM (SELECT iteration, {_moments('ctr', 'grp = 2', 'grp = 3')}
   FROM picked JOIN pool ON pool.exp_group = picked.grp AND pool.position = picked.position GROUP BY iteration))"""
 
 
 _AA_TESTS = f"{_AA_USERS}, {_aa(3)}"
-add("aa_stats", "SELECT iteration, mean_a, mean_b, t, dof FROM tests", "mean_a mean_b t dof", ctes=_AA_TESTS)
+add("aa_stats", "SELECT iteration, n_a, n_b, mean_a, mean_b, t, dof FROM tests", "mean_a mean_b t dof", ctes=_AA_TESTS)
 add(
     "aa_stats_spread",
-    "SELECT iteration, mean_a, mean_b, t, dof FROM tests",
+    "SELECT iteration, n_a, n_b, mean_a, mean_b, t, dof FROM tests",
     "mean_a mean_b t dof",
-    ctes=f"{_AA_USERS}, {_aa(6)}",
+    ctes=f"{_AA_USERS}, {_aa(2)}",
 )
 _AA_P = f"SELECT tests.iteration, p.p_value FROM tests LEFT JOIN ({_p_of_t('tests', 'iteration')}) p USING (iteration)"
 add("aa_pvalues", _AA_P, "p_value", ctes=_AA_TESTS)
@@ -509,8 +531,6 @@ add(
 
 def _poisson_case() -> str:
     """Inverse distribution function of Poisson(1) on a 32-bit uniform."""
-    import math
-
     cases, total, last, k = [], 0.0, -1, 0
     while True:
         total += math.exp(-1.0) / math.factorial(k)
@@ -528,8 +548,17 @@ boot AS (SELECT exp_group, CAST(replicate AS INTEGER) AS replicate, CAST(sum(w *
   CAST(sum(w * views) AS BIGINT) AS views, {div('sum(w * likes)', 'sum(w * views)')} AS replicate_ctr
   FROM (SELECT *, {_poisson_case()} AS w FROM boot_hash) GROUP BY exp_group, replicate)"""
 _AB_BOOT = f"{_AB_USERS}, {_BOOT}"
-add("bootstrap_histogram", _histogram("boot", "replicate_ctr"), "bin_start bin_end", ctes=_AB_BOOT)
 add("poisson_bootstrap", "SELECT * FROM boot", "replicate_ctr", ctes=_AB_BOOT)
+_BUCKET_BOOT = f"""bucket_sums AS (SELECT exp_group, {_md5('bucket', 50)} AS bucket, sum(likes) AS likes, sum(views) AS views
+  FROM u GROUP BY ALL),
+boot_keys AS (SELECT s.*, r.replicate FROM bucket_sums s, range(2000) r(replicate)),
+boot_hash AS ({hashed("boot_keys", ["exp_group", "bucket", "replicate"], str(hash_int(23)))}),
+boot AS (SELECT exp_group, CAST(replicate AS INTEGER) AS replicate, CAST(sum(w * likes) AS BIGINT) AS likes,
+  CAST(sum(w * views) AS BIGINT) AS views, {div('sum(w * likes)', 'sum(w * views)')} AS replicate_ctr
+  FROM (SELECT *, {_poisson_case()} AS w FROM boot_hash) GROUP BY exp_group, replicate)"""
+_AB_BOOT = f"{_AB_USERS}, {_BUCKET_BOOT}"
+add("bucket_bootstrap", "SELECT * FROM boot", "replicate_ctr", ctes=_AB_BOOT)
+add("bootstrap_histogram", _histogram("boot", "replicate_ctr"), "bin_start bin_end", ctes=_AB_BOOT)
 add(
     "bootstrap_diff",
     """SELECT count(d) AS replicates, avg(d) AS mean_diff, min(d) AS min_diff, quantile_cont(d, 0.025) AS low_diff,

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 from footfall.functions.calendar import AsOf
-from footfall.operators import daily, experiments, mart, posts, retention, series
+from footfall.operators import anomaly, daily, experiments, mart, posts, retention, series
 from footfall.plans import reports
 from footfall.sources.adapter import load_feed, load_messages
 from footfall.sources.logs import activity
@@ -67,22 +67,50 @@ def test_no_population_in_one_task(feed, messages):
         assert "Window" not in text, name
 
 
+def below_first_exchange(text):
+    return text[text.rindex("Exchange hashpartitioning"):]
+
+
 def test_cohorts_shuffle_users_once_without_sorting_events(feed):
     for df in (
         retention.cohort_retention(feed, FIRST, LAST),
         retention.weekly_audience(feed, FIRST, LAST),
-        retention.new_user_return(feed),
     ):
         text = plan(df)
         assert exchanges(text) == 2
         assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+    for df in (
+        retention.cohort_retention(feed, FIRST, LAST, "source"),
+        retention.new_user_return(feed),
+    ):
+        assert "Sort" not in below_first_exchange(plan(df))
+
+
+def test_user_days_hash_events_and_sort_only_user_days(feed, messages):
+    for df in (
+        mart.feed_user_day(feed),
+        mart.sent_user_day(messages),
+        mart.received_user_day(messages),
+        mart.message_user_day(messages),
+    ):
+        below = below_first_exchange(plan(df))
+        assert "HashAggregate" in below
+        assert "Sort" not in below
+
+
+def test_both_directions_come_from_one_scan(feed, messages):
+    assert plan(mart.message_user_day(messages)).count("FileScan") == 1
+    assert plan(reports.user_days(feed, messages)).count("FileScan") == 2
+    pair = mart.messenger_user_day(mart.sent_user_day(messages), mart.received_user_day(messages))
+    one = mart.message_user_day(messages).select(pair.columns)
+    assert one.exceptAll(pair).count() == 0 and pair.exceptAll(one).count() == 0
 
 
-def test_feed_user_days_hash_events_and_sort_only_user_days(feed):
-    text = plan(mart.feed_user_day(feed))
-    below_first_exchange = text[text.rindex("Exchange hashpartitioning"):]
-    assert "HashAggregate" in below_first_exchange
-    assert "SortAggregate" not in below_first_exchange
+def test_day_over_day_reads_each_log_once(feed, messages):
+    slots = anomaly.slot_metrics(activity(feed, messages))
+    text = plan(anomaly.day_over_day(anomaly.metric_series(slots), 0.3))
+    assert text.count("FileScan") == 2
+    assert "Join" not in text
 
 
 def test_merging_services_shuffles_nothing_again(feed, messages):
@@ -94,6 +122,8 @@ def test_merging_services_shuffles_nothing_again(feed, messages):
     alone = sum(exchanges(plan(side)) for side in sides)
     together = mart.user_day(sides[0], mart.messenger_user_day(sides[1], sides[2]))
     assert exchanges(plan(together)) == alone
+    one_pass = mart.user_day(sides[0], mart.message_user_day(messages))
+    assert exchanges(plan(one_pass)) < alone
 
 
 def test_time_range_and_columns_reach_the_scan(feed, messages):
@@ -124,6 +154,8 @@ def test_report_tables(spark, feed, messages):
     assert app["text"].first()["text"].startswith("App report for 2024-01-30.")
     assert app["dau"].count() == 3 * 7
     assert app["weekly_audience_feed"].columns == ["this_week", "new", "retained", "lost"]
+    for name, table in app.items():  # the logs are not read again
+        assert "event_id" not in plan(table) and "events.parquet" not in plan(table), name
     short = reports.feed_report(feed, as_of)
     assert short["week"].count() == 7 and short["text"].count() == 1
 

@@ -19,7 +19,7 @@ def users(spark):
     )
 
 
-@pytest.mark.parametrize("n", [10, 60])  # drawn by index, and shuffled
+@pytest.mark.parametrize("n", [2, 10, 60, 120])
 def test_samples_are_distinct_and_full(spark, n):
     draws = resampling._draw_positions(spark, 2, 120, n, 200, 7)
     per = draws.groupBy("iteration").agg(
@@ -30,7 +30,7 @@ def test_samples_are_distinct_and_full(spark, n):
     assert per.where(f"n <> {n} or d <> {n} or low < 0 or high > 119").count() == 0
 
 
-@pytest.mark.parametrize("n", [10, 60])
+@pytest.mark.parametrize("n", [3, 10, 60])
 def test_every_position_is_equally_likely(spark, n):
     hits = resampling._draw_positions(spark, 2, 120, n, 3000, 7).groupBy("position").count().collect()
     expected = 3000 * n / 120
@@ -48,9 +48,27 @@ def test_too_large_a_sample_is_an_error(users):
         resampling.aa_simulation(users, 2, 3, 10, 500)
 
 
-def test_share_lowers_the_sample(users):
-    tests = resampling.aa_simulation(users, 2, 3, iterations=5, n=500, share=4)
-    assert {r.n_a for r in tests.collect()} == {30}
+def test_the_sample_is_as_large_as_asked_for(users):
+    tests = resampling.aa_simulation(users, 2, 3, iterations=5, n=100)
+    assert {(r.n_a, r.n_b) for r in tests.collect()} == {(100, 100)}
+
+
+def test_one_rule_draws_from_any_size(spark):
+    """Sizes on either side of a square, and one that more than 32 bits number."""
+    for size in (1, 2, 15, 16, 17, 2000, 3_000_000_000):
+        n = min(size, 500)
+        drawn = [r.position for r in resampling._draw_positions(spark, 2, size, n, 1, 3).collect()]
+        assert len(set(drawn)) == n and min(drawn) >= 0 and max(drawn) < size
+
+
+def test_pairs_are_drawn_together_as_often_as_any_other(spark):
+    """Samples of two out of six: all fifteen pairs."""
+    draws = resampling._draw_positions(spark, 2, 6, 2, 6000, 5).groupBy("iteration").agg(
+        F.array_sort(F.collect_list("position")).alias("pair")
+    )
+    counts = [r["count"] for r in draws.groupBy("pair").count().collect()]
+    assert len(counts) == 15
+    assert all(abs(c - 400) < 5 * math.sqrt(400) for c in counts)
 
 
 def test_simulation_is_repeatable_and_calibrated(users):
@@ -119,6 +137,18 @@ def test_pooled_bootstrap_has_the_same_distribution(users):
         assert a[g].v == pytest.approx(b[g].v, rel=0.02)
 
 
+def test_bucket_bootstrap_spreads_like_users(spark):
+    random.seed(12)
+    data = [(1, u, random.randint(0, 5), random.randint(1, 9)) for u in range(4000)]
+    many = spark.createDataFrame(data, "exp_group int, user_id long, likes long, views long")
+    bucketed = resampling.bucket_bootstrap(many, 200, n=1000, seed=1)
+    assert rows(bucketed) == rows(resampling.bucket_bootstrap(many.repartition(3), 200, n=1000, seed=1))
+    stats = [df.agg(F.avg("replicate_ctr").alias("m"), F.stddev("replicate_ctr").alias("s")).first()
+             for df in (bucketed, resampling.poisson_bootstrap(many, n=1000, seed=1))]
+    assert abs(stats[0].m - stats[1].m) < 5 * stats[1].s / math.sqrt(500)
+    assert 0.8 < stats[0].s / stats[1].s < 1.2
+
+
 def test_bootstrap_difference(spark):
     data = [(1, i, 0.2) for i in range(4)] + [(2, i, 0.3 + 0.1 * i) for i in range(4)]
     row = resampling.bootstrap_diff(

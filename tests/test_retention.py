@@ -133,3 +133,22 @@ def test_status_matrix(make_feed):
         ("2024-01-01", 1, None, None),
         ("2024-01-08", None, 1, None),
     ]
+
+
+def test_a_user_belongs_to_the_source_of_the_first_action(make_feed):
+    log = make_feed([
+        (1, "2024-01-01 10:00:00", "view", {"source": "ads"}),
+        (1, "2024-01-05 10:00:00", "view", {"source": "organic"}),
+        (2, "2024-01-01 09:00:00", "view", {"source": "organic"}),
+        (2, "2024-01-01 09:00:00", "like", {"source": "ads"}),  # at the same time: the smaller value
+        (2, "2024-01-02 09:00:00", "view", {"source": "organic"}),
+    ])
+    assert rows(retention.new_user_return(log), "start_date", "source", "new_users", "returned_next_day") == [
+        ("2024-01-01", "ads", 2, 1)
+    ]
+    cells = retention.retention_by(log, "source", MONDAY, MONDAY + timedelta(days=6))
+    assert rows(cells, "source", "start_date", "date", "active_users", "cohort_size") == [
+        ("ads", "2024-01-01", "2024-01-01", 2, 2),
+        ("ads", "2024-01-01", "2024-01-02", 1, 2),
+        ("ads", "2024-01-01", "2024-01-05", 1, 2),
+    ]

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from footfall.functions.calendar import AsOf, within_days
 from footfall.schema import FEED, conform
-from footfall.session import drop_scratch, materialise, scratch_root
+from footfall.session import drop_scratch, materialise, scratch, scratch_root
 from footfall.sources.adapter import feed_from_events, messages_from_events
-from footfall.sources.logs import activity, feed_actions, message_actions, peek
+from footfall.sources.logs import activity, feed_actions, message_actions, peek, write_log
 from footfall.sources.mart_sink import read_mart, write_mart
 
 
@@ -36,16 +36,33 @@ def test_adapter_profile_is_constant_per_user(events):
     spread = feed.groupBy("user_id").agg(
         *[F.count_distinct(c).alias(c) for c in ("age", "os", "gender", "source", "exp_group")]
     )
-    assert spread.where("age > 1 or os > 1 or gender > 1 or source > 1 or exp_group > 1").count() == 0
+    assert spread.where("age > 1 or os > 1 or gender > 1 or exp_group > 1").count() == 0
+    assert 0 < spread.where("source > 1").count() < spread.count()  # some users change their source
 
 
-def test_reader_range_reaches_the_scan(spark, make_feed, tmp_path):
+@pytest.mark.parametrize("time_type", ["timestamp_ntz", "timestamp"])
+def test_reader_range_reaches_the_scan(spark, make_feed, tmp_path, time_type):
     path = str(tmp_path / "feed")
-    make_feed([(1, "2024-01-01 10:00:00", "view"), (1, "2024-01-02 00:00:00", "like")]).write.parquet(path)
-    df = feed_actions(spark, path, date(2024, 1, 2), date(2024, 1, 3))
-    assert rows(df, "user_id", "action") == [(1, "like")]
+    log = make_feed([(1, "2024-01-01 10:00:00", "view"), (1, "2024-01-02 00:00:00", "like")])
+    log.withColumn("time", F.col("time").cast(time_type)).write.parquet(path)
+    df = feed_actions(spark, path, date(2024, 1, 2), date(2024, 1, 3), time_type=time_type)
+    assert rows(df, "user_id", "action", "time") == [(1, "like", "2024-01-02T00:00:00")]
+    assert df.schema == FEED
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(time" in plan and "LessThan(time" in plan
+    pushed = plan.split("PushedFilters")[1].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(time" in pushed and "LessThan(time" in pushed
+
+
+def test_day_folders_are_pruned(spark, make_feed, make_messages, tmp_path):
+    feed, messages = str(tmp_path / "feed"), str(tmp_path / "messages")
+    write_log(make_feed([(d, f"2024-01-0{d} 10:00:00", "view") for d in range(1, 8)]), feed)
+    write_log(make_messages([(d, 2, f"2024-01-0{d} 10:00:00") for d in range(1, 8)]), messages)
+    for read, path in ((feed_actions, feed), (message_actions, messages)):
+        df = read(spark, path, date(2024, 1, 3), datetime(2024, 1, 5, 0, 0), day_column="day")
+        assert rows(df, "user_id") == [(3,), (4,)]
+        scan = df._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1].split("PushedFilters")[0]
+        assert "day" in scan and "2024-01-03" in scan and "2024-01-04" in scan
+        assert read(spark, path, day_column="day").count() == 7
 
 
 def test_message_reader(spark, make_messages, tmp_path):
@@ -95,7 +112,7 @@ def test_mart_rerun_replaces_only_its_day(spark, tmp_path):
 
     write_mart(day(date(2024, 1, 1), 5), path)
     write_mart(day(date(2024, 1, 2), 6), path)
-    write_mart(day(date(2024, 1, 2), 7), path)
+    write_mart(day(date(2024, 1, 2), 7), path, days=[date(2024, 1, 2)])
     assert rows(read_mart(spark, path), "event_date", "views") == [("2024-01-01", 5), ("2024-01-02", 7)]
 
 
@@ -106,3 +123,23 @@ def test_scratch_lies_in_the_shared_folder_and_can_be_dropped(spark):
     assert all(name.startswith(f"file://{shared}") for name in table.inputFiles())
     drop_scratch(spark)
     assert not Path(scratch_root(spark)).exists()
+
+
+def test_an_owned_day_without_rows_loses_its_old_ones(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    columns = (
+        "event_date date, dimension string, dimension_value string, views long, likes long, "
+        "messages_received long, messages_sent long, users_received long, users_sent long"
+    )
+    both = [(date(2024, 1, d), "os", "iOS", d, 0, 0, 0, 0, 0) for d in (1, 2)]
+    write_mart(spark.createDataFrame(both, columns), path)
+    write_mart(spark.createDataFrame([], columns), path, days=[date(2024, 1, 2)])
+    assert rows(read_mart(spark, path), "event_date", "views") == [("2024-01-01", 1)]
+
+
+def test_scratch_block_deletes_what_it_wrote(spark):
+    with scratch(spark):
+        table = materialise(spark.range(3), "sample")
+        folder = Path(scratch_root(spark).removeprefix("file://"))
+        assert table.count() == 3 and folder.exists()
+    assert not folder.exists()

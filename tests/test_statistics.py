@@ -239,3 +239,12 @@ def test_histogram_counts_every_value(spark):
     assert got == [("a", 0, 2), ("a", 1, 2), ("a", 2, 2), ("a", 3, 2), ("a", 4, 3), ("b", 4, 1)]
     constant = spark.createDataFrame([(3.0,), (3.0,)], "x double")
     assert rows(histogram(constant, "x", 5), "bin", "n") == [(0, 2)]
+
+
+def test_t_tail_keeps_its_digits_at_many_degrees_of_freedom():
+    for t in (0.1, 0.5, 2.0, 3.0, 5.0):
+        exact, expanded = t_p(t, 1e6), t_p(t, 1e6 * (1 + 1e-12))  # either side of the switch
+        assert exact == pytest.approx(expanded, rel=1e-8)
+        shares = [t_p(t, 10.0**k) - normal_p(t) for k in (8, 9, 10)]
+        assert shares[0] > shares[1] > shares[2] > 0
+        assert shares[0] / shares[1] == pytest.approx(10, rel=1e-3)  # falls as 1 / df
