@@ -238,8 +238,8 @@ def find_items(
     benchmark: DataFrame,
     item: Column,
     item_text: Column,
-    error: float = 0.05,
-    rounds: int = 6,
+    error: float = 0.1,
+    rounds: int = 12,
     samples: int = 10,
     seed: int = 7,
     block_chars: int = 2 << 20,
@@ -267,8 +267,8 @@ def drop_contaminated(
     text: str = "text",
     item: str = "item_id",
     item_text: str = "text",
-    error: float = 0.05,
-    rounds: int = 6,
+    error: float = 0.1,
+    rounds: int = 12,
     samples: int = 10,
     seed: int = 7,
     block_chars: int = 2 << 20,
