@@ -87,3 +87,22 @@ def test_posts_viewed_largest_first(make_feed):
          (1, "2024-01-02 11:00:00", "view", {"post_id": 2}), (1, "2024-01-01 11:00:00", "like", {"post_id": 3})]
     )
     assert [r.posts for r in daily.posts_viewed_daily(feed).collect()] == [2, 1]
+
+
+def test_estimates_are_exact_for_few_users(make_feed, make_messages):
+    feed = make_feed([(u, f"2024-01-0{1 + u % 3} 10:00:00", "view") for u in range(40)])
+    messages = make_messages([(u, 1, "2024-01-02 11:00:00") for u in range(30, 60)])
+    assert rows(daily.dau(feed, approx=True)) == rows(daily.dau(feed))
+    span = (date(2024, 1, 1), date(2024, 1, 3))
+    both = activity(feed, messages)
+    assert rows(daily.app_dau(both, *span, approx=True)) == rows(daily.app_dau(both, *span))
+
+
+def test_the_report_table_gives_what_the_logs_give(make_feed, make_messages):
+    feed = make_feed([(u, f"2024-01-0{1 + u % 3} 1{u % 9}:00:00", ["view", "like"][u % 2]) for u in range(40)])
+    messages = make_messages([(u, 1, "2024-01-02 11:00:00") for u in range(30, 60)])
+    both, span = activity(feed, messages), (date(2024, 1, 1), date(2024, 1, 3))
+    days = daily.user_activity(both)
+    assert rows(daily.dau_of_days(days)) == rows(daily.app_dau(both, *span))
+    assert rows(daily.totals_of_days(days)) == rows(daily.action_totals(both, *span))
+    assert rows(daily.per_user_of_days(days)) == rows(daily.actions_per_user(both, *span))
