@@ -67,10 +67,23 @@ def running_totals(
 
 
 def positions(df: DataFrame, by: list[str], order: str, name: str, label: str) -> DataFrame:
-    """Add a dense 0-based position per group in the order of a unique column."""
-    one = "_one"
-    numbered = running_totals(df.withColumn(one, F.lit(1)), by, [order], {name: one}, label)
-    return numbered.drop(one)
+    """Add a dense 0-based position per group in the order of a unique column.
+
+    Rows are sorted within value ranges and numbered as they are written, so they are
+    shuffled once; what is added afterwards is one offset per range and group.
+    """
+    at = "_at"
+    ranged = df.repartitionByRange(*by, order).sortWithinPartitions(*by, order)
+    placed = materialise(ranged.withColumn(at, F.monotonically_increasing_id()), label)
+    # the id holds the number of the range above its 33 low bits, and the row's below
+    placed = placed.withColumn(_PART, F.shiftright(at, 33)).withColumn(_GROUP, F.struct(F.lit(0), *by))
+    sums = placed.groupBy(_GROUP, _PART).agg(F.count("*").alias("_rows"), F.min(at).alias("_first"))
+    earlier = Window.partitionBy(_GROUP).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        _GROUP, _PART, (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
+    )
+    joined = placed.join(offsets, [_GROUP, _PART])
+    return joined.select(*df.columns, (F.col(at) + F.col("_shift")).alias(name))
 
 
 def value_table(
