@@ -34,14 +34,18 @@ DOCUMENT = ["d", "d2"]
 
 
 def masked(text: Column) -> Column:
-    """The text with every token that has a digit replaced."""
+    """The text with every token that has a digit replaced, and with spaces as its only blanks in lines."""
     field = "[^ \\t\\n\\x0B\\f\\r0-9]*+[0-9][^ \\t\\n\\x0B\\f\\r]*"
-    return F.when(text.rlike("[0-9]"), F.regexp_replace(text, field, F.lit(MASK))).otherwise(text)
+    fields = F.when(text.rlike("[0-9]"), F.regexp_replace(text, field, F.lit(MASK))).otherwise(text)
+    blanks = F.translate(fields, "\t\r\x0b\x0c", "    ")
+    return F.when(text.rlike("[\\t\\r\\x0B\\f]"), blanks).otherwise(fields)
 
 
 def tokens(line: Column) -> Column:
     """Tokens of a masked line; a line without any has one empty token."""
-    return F.split(F.trim(F.translate(line, "\t\r\x0b\x0c", "    ")), " +")
+    trimmed = F.trim(line)
+    # a pattern of one plain character is split without a regular expression
+    return F.when(trimmed.contains("  "), F.split(trimmed, " +")).otherwise(F.split(trimmed, " "))
 
 
 def place(words: Column, depth: int) -> list[Column]:
