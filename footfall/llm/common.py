@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import zlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import chain, count
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -105,6 +109,31 @@ def crc_of_ids(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def numbered(lists: list[list]) -> tuple[np.ndarray, np.ndarray, list]:
+    """Numbers of all entries in order of first sight, the lists' sizes, and the different entries."""
+    sizes = np.array([len(own) for own in lists], dtype=np.int64)
+    seen: defaultdict = defaultdict(count().__next__)
+    codes = np.fromiter(map(seen.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum()))
+    return codes, sizes, list(seen)
+
+
+def ragged(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` that begin at ``starts``, one after another."""
+    ends = segments(counts)
+    return flat[np.repeat(starts - ends[:-1], counts) + np.arange(ends[-1])]
+
+
+def per_process(key, make: Callable[[], object]):
+    """An object that a Python worker keeps from task to task.
+
+    Functions travel by value, so their own globals last for one task only.
+    """
+    kept = sys.modules.setdefault("_footfall_kept", ModuleType("_footfall_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def segments(lengths: np.ndarray) -> np.ndarray:
     """Offsets 0, l0, l0 + l1, … of consecutive segments."""
     out = np.zeros(len(lengths) + 1, dtype=np.int64)

@@ -17,7 +17,9 @@ store; further columns are ignored. A token the table has not seen can't be code
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -28,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.common import map_texts, segments, shuffle_partitions
+from footfall.llm.common import map_texts, numbered, per_process, ragged, segments, shuffle_partitions
 from footfall.session import materialise
 
 SCALE = 18
@@ -150,62 +152,106 @@ def decode_blocks(table: Table, payloads: list[bytes]) -> list[np.ndarray]:
 # --- tokens ---------------------------------------------------------------------------------
 
 
-class Words:
-    """Encoded words that a task has met; a word is a run without ASCII white space.
+LETTERS = "a-z\xdf-\xf6\xf8-\xff"
+#: Texts of ASCII and Latin-1 letters, which lower case and composition leave as single characters.
+SIMPLE = re.compile("[\x09-\x0d\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
+#: Fixed value of the tokenizer: its pattern for the parts of such a text, in lower case.
+PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\x09-\x0d a-z0-9\xdf-\xf6\xf8-\xff]+")
 
-    The tokenizer drops white space, so words can be encoded one by one. It lower-cases too, but
-    looks for its special tokens first: words without ``<|`` are lower-cased before they are kept.
+
+def parts_of(text: str) -> list[str]:
+    """What the tokenizer encodes one by one, or whole words where that isn't plain to see.
+
+    The tokenizer drops white space and encodes letters, digits and other signs apart. It looks for
+    its special tokens first: words with ``<|`` stay as they are, as do those beyond Latin-1.
+    """
+    if "<|" not in text and SIMPLE.fullmatch(text):
+        return PARTS.findall(text.lower())
+    out = []
+    for word in text.encode().split():
+        own = word.decode()
+        out += PARTS.findall(own.lower()) if b"<|" not in word and SIMPLE.fullmatch(own) else [own]
+    return out
+
+
+class Encoder:
+    """Ids of texts by the library, which is given every different part once, many in a line.
+
+    The table of parts is emptied when it holds ``most``.
     """
 
-    def __init__(self, definition: str, most: int = 1 << 20):
+    def __init__(self, definition: str, most: int = 3 << 18):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.most = Tokenizer.from_str(definition), most
+        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # ids that end a part
+        if suffix:
+            self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self.clear()
 
     def clear(self):
-        self.place: dict[bytes, int] = {}
-        self.flat, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.place: dict[str, int] = {}
+        self.ids, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def _whole(self, words: list[str]) -> tuple[list[int], list[int]]:
+        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        return [i for own in found for i in own], [len(own) for own in found]
+
+    def _line(self, parts: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of parts that are encoded as one line; a part's last id tells where it ends."""
+        ids = self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids
+        ends = np.flatnonzero(self.last[np.array(ids, dtype=np.int64)])
+        if len(ends) != len(parts) or ends[-1] != len(ids) - 1:
+            return self._whole(parts)
+        return ids, np.diff(ends, prepend=-1).tolist()
+
+    def _add(self, new: list[str]) -> None:
+        plain, others = [], []
+        for part in new:
+            (plain if "<|" not in part and SIMPLE.fullmatch(part) else others).append(part)
+        ids, counts = self._whole(others) if others else ([], [])
+        for low in range(0, len(plain), 1 << 12):
+            more = self._line(plain[low : low + (1 << 12)])
+            ids, counts = ids + more[0], counts + more[1]
+        self.place.update(zip(others + plain, range(len(self.place), len(self.place) + len(new))))
+        self.ids = np.concatenate([self.ids, np.array(ids, dtype=np.int32)])
+        self.counts = np.concatenate([self.counts, np.array(counts, dtype=np.int64)])
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
+        """Ids of each text, then ``end``."""
         if len(self.place) > self.most:
             self.clear()
-        found = []
-        for text in texts:
-            raw = text.encode()
-            found.append([w if b"<|" in w else w.lower() for w in raw.split()] if b"<|" in raw else raw.lower().split())
-        new = list({w for words in found for w in words if w not in self.place})
-        ids = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)]
-        self.place.update(zip(new, range(len(self.counts), len(self.counts) + len(new))))
-        self.flat = np.concatenate([self.flat, np.array([i for own in ids for i in own], dtype=np.int32)])
-        self.counts = np.concatenate([self.counts, np.array([len(own) for own in ids], dtype=np.int64)])
-        starts = segments(self.counts)[:-1]
-        out = []
-        for words in found:
-            place = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            times = self.counts[place]
-            ends = segments(times)
-            own = np.full(ends[-1] + 1, end, dtype=np.int32)
-            own[:-1] = self.flat[np.repeat(starts[place] - ends[:-1], times) + np.arange(ends[-1])]
-            out.append(own)
-        return out
+        codes, sizes, different = numbered([parts_of(t) for t in texts])
+        self._add([p for p in different if p not in self.place])
+        place = np.fromiter(map(self.place.__getitem__, different), np.int64, len(different))[codes]
+        counts = self.counts[place]
+        ids = ragged(self.ids, segments(self.counts)[:-1][place], counts)
+        ends = segments(counts)[segments(sizes)].tolist()
+        return [np.append(ids[a:b], np.int32(end)) for a, b in zip(ends[:-1], ends[1:])]
 
 
 def tokenize(docs: DataFrame, key: Column, text: Column, path: str, end: int) -> DataFrame:
-    """``doc_id`` and ``ids``, as little-endian unsigned 32-bit integers.
+    """``doc_id`` and ``ids``, as little-endian unsigned integers of 16 bits, or of 32 where needed.
 
-    The driver reads the tokenizer's file; tasks get its text, whose size the file fixes.
+    The driver reads the tokenizer's file; tasks get its text, whose size the file fixes. A worker
+    keeps its table of parts from task to task.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
-    held: list[Words] = []
+    definition = Path(path).read_text(encoding="utf-8")
+    shared = docs.sparkSession.sparkContext.broadcast(definition)
+    name = f"encoder-{zlib.crc32(definition.encode())}-{len(definition)}"
 
     def run(texts, rows):
-        if not held:
-            held.append(Words(shared.value))
-        return {"doc_id": rows.column(1), "ids": [i.astype("<u4").tobytes() for i in held[0].encode(texts, end)]}
+        found = per_process(name, lambda: Encoder(shared.value)).encode(texts, end)
+        wide = [i.max() > 0xFFFF for i in found]
+        return {
+            "doc_id": rows.column(1),
+            "ids": [i.astype("<u4" if w else "<u2").tobytes() for i, w in zip(found, wide)],
+            "wide": wide,
+        }
 
-    return map_texts(docs, [text, key.cast("long").alias("doc_id")], run, "doc_id long, ids binary")
+    return map_texts(docs, [text, key.cast("long").alias("doc_id")], run, "doc_id long, ids binary, wide boolean", 2 << 20)
 
 
 # --- stores ---------------------------------------------------------------------------------
@@ -215,8 +261,9 @@ BLOCKS = (
 )
 
 
-def _ids(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(b, "<u4").astype(np.int32) for b in column.to_pylist()]
+def _ids(rows: pa.RecordBatch) -> list[np.ndarray]:
+    columns = (rows.column(rows.schema.get_field_index(c)).to_pylist() for c in ("ids", "wide"))
+    return [np.frombuffer(b, "<u4" if w else "<u2").astype(np.int32) for b, w in zip(*columns)]
 
 
 def frequencies(tokens: DataFrame) -> np.ndarray:
@@ -226,14 +273,14 @@ def frequencies(tokens: DataFrame) -> np.ndarray:
         total = np.zeros(1, dtype=np.int64)
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
-                own = np.concatenate(_ids(batch.slice(low, 256).column(0)))
+                own = np.concatenate(_ids(batch.slice(low, 256)))
                 more = np.bincount(own, minlength=len(total))
                 more[: len(total)] += total
                 total = more
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = tokens.select("ids", "wide").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(max((r.id for r in rows), default=-1) + 1, dtype=np.int64)
     for r in rows:
         out[r.id] = r.n
@@ -241,7 +288,7 @@ def frequencies(tokens: DataFrame) -> np.ndarray:
 
 
 def write_store(tokens: DataFrame, path: str, together: int = 32) -> None:
-    """Code ``tokens`` (``doc_id, ids``) into a new store at ``path``."""
+    """Code ``tokens`` (as of ``tokenize``) into a new store at ``path``."""
     spark = tokens.sparkSession
     freq = quantise(frequencies(tokens))
     spark.createDataFrame([(freq.tolist(),)], "freq array<bigint>").coalesce(1).write.parquet(f"{path}/table")
@@ -252,7 +299,7 @@ def write_store(tokens: DataFrame, path: str, together: int = 32) -> None:
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 rows = batch.slice(low, 256)
-                for key, ids in zip(rows.column(0).to_pylist(), _ids(rows.column(1))):
+                for key, ids in zip(rows.column(0).to_pylist(), _ids(rows)):
                     keys.append(key)
                     own.append(ids)
                     size += len(ids)
@@ -292,7 +339,7 @@ def write_store(tokens: DataFrame, path: str, together: int = 32) -> None:
             yield coded()
 
     ordered = tokens.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first())
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids").select("doc_id", "ids")
+    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids").select("doc_id", "ids", "wide")
     ordered.mapInArrow(run, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
 
 

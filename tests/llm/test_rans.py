@@ -1,3 +1,4 @@
+import random
 import zlib
 from pathlib import Path
 
@@ -51,12 +52,16 @@ def test_frequencies():
         rans.encode_blocks(rans.Table(rans.quantise(np.array([1, 0]))), [np.array([1], dtype=np.int32)])
 
 
-def test_words_are_encoded_as_whole_texts():
+def test_parts_are_encoded_as_whole_texts():
     tokenizer = Tokenizer.from_file(PATH)
     texts = ["", "Hello  World\tit's 42!", "É é ÅNGSTRÖM ΣΑΣ ﬁ İ", "a<|endoftext|>b <|STARTOFTEXT|> <|startoftext|>", "x y z \x1f \x85 #", "你好😀 " * 3, prose(3)]
-    words = rans.Words(Path(PATH).read_text(encoding="utf-8"), most=3)
+    rng = random.Random(1)
+    marks = [chr(c) for c in (*range(33, 127), *range(0xA0, 0x250), 39, 39, 39, 0x301, 0x1C, 0x85, 0x2028)]
+    texts += ["".join(rng.choice(marks) if rng.random() < 0.85 else " " for _ in range(100)) for _ in range(100)]
+    texts += ["it's 'sun ''t don't'll ÀÉÎ ß'd 'RE 'Ve'M #1! 3.14 a_b-c"]
+    encoder = rans.Encoder(Path(PATH).read_text(encoding="utf-8"), most=3)
     for _ in range(2):
-        for text, own in zip(texts, words.encode(texts, 2)):
+        for text, own in zip(texts, encoder.encode(texts, 2)):
             assert own.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
