@@ -24,7 +24,7 @@ import re
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from footfall.llm.common import crc_of_ids, map_texts, segments
+from footfall.llm.common import crc_of_ids, map_texts, numbered, ragged, segments
 
 MARK = "▁"
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -160,7 +160,7 @@ def viterbi(vocabulary: Pieces, words: list[str], length: int) -> tuple[np.ndarr
 class Known:
     """Ids of the segments that a task has met; emptied when it holds ``most``."""
 
-    def __init__(self, most: int = 1 << 20):
+    def __init__(self, most: int = 1 << 19):
         self.most = most
         self.clear()
 
@@ -181,8 +181,8 @@ def encode(vocabulary: Pieces, texts: list[str], known: Known | None = None, lim
     if len(known.place) > known.most:
         known.clear()
     found = [vocabulary.segment.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-    sizes = np.array([len(f) for f in found], dtype=np.int64)
-    new = sorted({s for f in found for s in f if s not in known.place})
+    codes, sizes, different = numbered(found)
+    new = [s for s in different if s not in known.place]
     lengths = np.array([len(s) for s in new], dtype=np.int64)
     order = np.argsort(lengths, kind="stable")
     words, flat, counts = [], [], []
@@ -200,11 +200,10 @@ def encode(vocabulary: Pieces, texts: list[str], known: Known | None = None, lim
             flat.append(ids)
             counts.append(times)
     known.add(words, flat, counts)
-    place = np.fromiter((known.place[s] for f in found for s in f), np.int64, int(sizes.sum()))
-    times, starts = known.counts[place], segments(known.counts)[:-1]
-    out = segments(times)
-    everything = known.flat[np.repeat(starts[place] - out[:-1], times) + np.arange(out[-1])]
-    ends = out[segments(sizes)]
+    place = np.fromiter(map(known.place.__getitem__, different), np.int64, len(different))[codes]
+    times = known.counts[place]
+    everything = ragged(known.flat, segments(known.counts)[:-1][place], times)
+    ends = segments(times)[segments(sizes)]
     return [everything[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
