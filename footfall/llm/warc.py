@@ -6,7 +6,7 @@ record id) of each digest as the original, joins the others to it, and writes ne
 they are revisit records without payload and all headers are fresh. ``read_records`` reads any such
 archive back; a response's digest is computed from its payload and must equal its header.
 
-Archives are uncompressed ``WARC/1.1`` files that Spark's text writer stores with the record end as
+Archives are gzipped ``WARC/1.1`` files that Spark's text writer stores with the record end as
 line end, so they lie wherever Spark can write. A file holds at most ``FILE_BYTES`` of payload (or
 one record) and is read whole by one task, records being found by their content length.
 
@@ -19,6 +19,7 @@ further columns are ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 import pyarrow as pa
@@ -88,7 +89,7 @@ def write_pages(pages: DataFrame, page_id: Column, url: Column, html: Column, pa
 
 def _write(records: DataFrame, path: str, largest: int) -> None:
     per_file = max(1, FILE_BYTES // (largest + 1024))
-    records.write.option("lineSep", END).option("maxRecordsPerFile", per_file).text(path)
+    records.write.options(lineSep=END, maxRecordsPerFile=per_file, compression="gzip").text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -96,7 +97,7 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse(content: bytes):
-    """``(headers, http block start, block end)`` of each record of an archive."""
+    """``(headers, http block start, block end)`` of each record of an unpacked archive."""
     at = 0
     while at < len(content):
         stop = content.index(b"\r\n\r\n", at)
@@ -133,6 +134,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                content = gzip.decompress(content)
                 rows = [_record(h, content[a:b]) for h, a, b in parse(content)]
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), KINDS)] if rows else [pa.array([], k) for k in KINDS]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array([file] * len(rows), pa.string())], names=[*names, "file"])
@@ -159,6 +161,7 @@ def resolve(spark: SparkSession, source: str, target: str) -> None:
     def run(batches):
         for batch in batches:
             for content, fates in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                content = gzip.decompress(content)
                 fate = {f["record_id"]: f for f in fates or ()}
                 rows = []
                 for headers, begin, end in parse(content):

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 
 import pytest
@@ -53,7 +54,7 @@ def test_payloads_come_back(spark, pages, tmp_path):
     warc.write_pages(table, F.col("page_id"), F.col("url"), F.col("html"), str(tmp_path / "w"))
     payloads = []
     for file in sorted((tmp_path / "w").glob("part-*")):
-        content = file.read_bytes()
+        content = gzip.decompress(file.read_bytes())
         for headers, begin, end in warc.parse(content):
             payloads.append((headers["X-Page-ID"], content[content.index(b"\r\n\r\n", begin) + 4 : end].decode()))
     assert sorted(payloads) == sorted(("" if i is None else str(i), html or "") for i, _, html in rows)
@@ -64,7 +65,7 @@ def test_damage_is_noticed(spark, pages, tmp_path):
     path = tmp_path / "w"
     warc.write_pages(table.where("page_id = 14").coalesce(1), F.col("page_id"), F.col("url"), F.col("html"), str(path))
     file = next(path.glob("part-*"))
-    content = file.read_bytes()
+    content = gzip.decompress(file.read_bytes())
     with pytest.raises(ValueError, match="damaged"):
         for headers, begin, end in warc.parse(content.replace(b"yyy", b"yxy", 1)):
             warc._record(headers, content.replace(b"yyy", b"yxy", 1)[begin:end])
