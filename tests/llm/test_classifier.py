@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 from pyspark.sql import functions as F
-from text_cases import prose
+from text_cases import make_docs, odd_rows, prose  # noqa: F401 (fixtures)
 
 from footfall.llm import byte_cnn as b
 

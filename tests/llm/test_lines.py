@@ -1,7 +1,7 @@
 import pytest
 from compare import differences
 from pyspark.sql import functions as F
-from text_cases import prose
+from text_cases import make_docs, odd_rows, prose  # noqa: F401 (fixtures)
 
 from footfall.llm import line_templates as lt
 from footfall.llm.queries import ORACLE, QUERIES

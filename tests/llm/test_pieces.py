@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
-from text_cases import prose
+from text_cases import make_docs, odd_rows, prose  # noqa: F401 (fixtures)
 
 from footfall.llm import pieces_viterbi as pv
 

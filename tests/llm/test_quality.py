@@ -3,7 +3,7 @@ import os
 from collections import Counter
 
 import zstandard
-from text_cases import prose
+from text_cases import make_docs, odd_rows, prose  # noqa: F401 (fixtures)
 from pyspark.sql import functions as F
 
 from footfall.llm import quality_bands as q

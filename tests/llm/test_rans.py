@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-from text_cases import prose
+from text_cases import make_docs, odd_rows, prose  # noqa: F401 (fixtures)
 from tokenizers import Tokenizer
 
 from footfall.llm import rans
