@@ -10,9 +10,9 @@ tokens; lines of one leaf differ in later tokens only. Two kinds of template rec
   and these make up ``similarity`` of the tokens; it recurs when ``min_docs`` documents hold such a
   line.
 
-A document in which recurring lines make up more than ``copied`` of the tokens repeats another
-document as a whole; it is left to document dedup, and templates are counted again without such
-documents. In all others each line with a recurring template is dropped. Lines of fewer than
+Documents with the same set of masked lines are copies of one document and count once, so that
+copies don't make their own text recur; a document that is mostly boilerplate counts like any other.
+Each line with a recurring template is dropped from every document. Lines of fewer than
 ``min_tokens`` tokens are never counted or dropped.
 
 Defined cases: a null text stays null and an empty one empty; a document that loses all its lines
@@ -98,7 +98,6 @@ def recurring(
     min_tokens: int = 3,
     constant: float = 0.9,
     similarity: float = 0.7,
-    copied: float = 0.5,
 ) -> DataFrame:
     """``d, d2, gone``: the documents that lose lines, and the numbers of those lines."""
     found = line_rows(docs, key, text).select(*DOCUMENT, "i", *place(F.col("w"), depth))
@@ -107,25 +106,26 @@ def recurring(
         found.groupBy(*DOCUMENT, *TEMPLATE, "leaf", "n").agg(F.collect_set("i").alias("at")), "lines"
     )
     often = F.col("docs") >= min_docs
-    first = materialise(lines.groupBy(*TEMPLATE).agg(F.count("*").alias("docs")).where(often), "recurring")
-    shares = lines.join(first, TEMPLATE, "left").groupBy(*DOCUMENT).agg(
-        F.sum("n").alias("all"), F.sum(F.when(F.col("docs").isNotNull(), F.col("n"))).alias("shared")
+    # a set's hash does not depend on the order of its lines
+    sets = lines.groupBy(*DOCUMENT).agg(
+        F.bit_xor("t").alias("s"), F.bit_xor("t2").alias("s2"), F.count("*").alias("size")
     )
-    copies = materialise(shares.where(F.col("shared") > copied * F.col("all")).select(*DOCUMENT), "copies")
-    live = materialise(lines.join(copies, DOCUMENT, "left_anti"), "own-lines")
+    first = sets.groupBy("s", "s2", "size").agg(F.min(F.struct(*DOCUMENT)).alias("first")).select("first.*")
+    first = materialise(first, "first-copies")
+    counted = materialise(lines.join(first, DOCUMENT, "left_semi").select(*DOCUMENT, *TEMPLATE, "leaf"), "counted-lines")
 
-    templates = materialise(live.groupBy("leaf", *TEMPLATE).agg(F.count("*").alias("docs")), "templates")
+    templates = materialise(counted.groupBy("leaf", *TEMPLATE).agg(F.count("*").alias("docs")), "templates")
     leaves = templates.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("kinds"))
     leaves = materialise(leaves.where(often & (F.col("kinds") > 1)).select("leaf"), "leaves")
     members = general_members(docs, key, text, leaves, depth, constant, similarity)
     members = materialise(members, "members")
     general = (
-        live.select(*DOCUMENT, *TEMPLATE).join(members, TEMPLATE).select("leaf", *DOCUMENT).distinct()
+        counted.select(*DOCUMENT, *TEMPLATE).join(members, TEMPLATE).select("leaf", *DOCUMENT).distinct()
         .groupBy("leaf").agg(F.count("*").alias("docs")).where(often)
     )
     bad = templates.where(often).select(*TEMPLATE).union(members.join(general, "leaf", "left_semi").select(*TEMPLATE))
     bad = materialise(bad.distinct(), "bad-templates")
-    return live.join(bad, TEMPLATE, "left_semi").groupBy(*DOCUMENT).agg(
+    return lines.join(bad, TEMPLATE, "left_semi").groupBy(*DOCUMENT).agg(
         F.flatten(F.collect_list("at")).alias("gone")
     )
 

@@ -31,6 +31,18 @@ def test_recurring_templates_go(make_docs):
         assert out[i] == "\n".join(expected)
 
 
+def test_mostly_boilerplate_documents_lose_it_and_count(make_docs):
+    """A passage of 60 words in 15 documents, six of which have only 50 words of their own."""
+    shared = prose(3000, 60)
+    rows = [(i, shared + "\n" + prose(3100 + i, 50 if i < 6 else 90)) for i in range(15)]
+    assert texts(lt.drop_recurring(make_docs(rows))) == {i: text.split("\n")[1] for i, text in rows}
+
+
+def test_copies_with_other_numbers_count_once(make_docs):
+    rows = [(i, prose(60, 40) + f"\nseen on day {i} of the month\n" + prose(61, 40)) for i in range(20)]
+    assert texts(lt.drop_recurring(make_docs(rows))) == dict(rows)
+
+
 def test_few_documents_are_not_enough(make_docs):
     rows = corpus()[:9]
     assert texts(lt.drop_recurring(make_docs(rows))) == dict(rows)
