@@ -5,10 +5,11 @@ becomes ``<*>``. The tree has a fixed depth: token count first, then the ``depth
 tokens; lines of one leaf differ in later tokens only. Two kinds of template recur:
 
 * the masked line itself, when at least ``min_docs`` documents hold it;
-* the leaf's generalised template: per position the token that at least ``constant`` of the leaf's
-  different lines have there, else a variable. A line belongs to it when it equals all constants
-  and these make up ``similarity`` of the tokens; it recurs when ``min_docs`` documents hold such a
-  line.
+* a leaf's generalised templates, of which it can have any number: in each line the tokens of later
+  positions are ranked by how many of the leaf's different lines have them there; for every such
+  count that occurs in the line, the tokens with at least that count (at least two) are constants
+  and the others variables. With the leading tokens, constants make up ``similarity`` of the tokens.
+  The template recurs when ``min_docs`` documents hold a line that has it.
 
 Documents with the same set of masked lines are copies of one document and count once, so that
 copies don't make their own text recur; a document that is mostly boilerplate counts like any other.
@@ -23,7 +24,7 @@ columns are kept.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.session import materialise
@@ -69,24 +70,27 @@ def line_rows(docs: DataFrame, key: Column, text: Column) -> DataFrame:
 
 
 def general_members(
-    docs: DataFrame, key: Column, text: Column, leaves: DataFrame, depth: int, constant: float, similarity: float
+    docs: DataFrame, key: Column, text: Column, leaves: DataFrame, templates: DataFrame, min_docs: int, depth: int, similarity: float
 ) -> DataFrame:
-    """``t, t2, leaf`` of the different lines that belong to their leaf's generalised template."""
+    """``p, p2, t, t2``: generalised templates that may recur, and the different lines that have them."""
     lines = line_rows(docs, key, text).select("w", *place(F.col("w"), depth))
     lines = lines.join(leaves, "leaf", "left_semi").dropDuplicates(TEMPLATE)
-    lines = materialise(lines, "leaf-lines")
-    spots = lines.select("leaf", *TEMPLATE, "n", F.posexplode("w").alias("pos", "token"))
-    sizes = lines.groupBy("leaf").agg(F.count("*").alias("m"))
-    common = (
-        spots.groupBy("leaf", "pos", "token").agg(F.count("*").alias("c"))
-        .groupBy("leaf", "pos").agg(F.max(F.struct("c", "token")).alias("top"))
-        .join(sizes, "leaf").where(F.col("top.c") >= constant * F.col("m"))
-        .select("leaf", "pos", F.col("top.token").alias("token"))
+    rest = F.posexplode(F.slice("w", depth + 1, F.greatest(F.col("n") - depth, F.lit(0))))
+    spots = materialise(lines.select("leaf", *TEMPLATE, "n", rest.alias("pos", "token")), "leaf-spots")
+    spot = ["leaf", "pos", "token"]
+    common = materialise(spots.groupBy(*spot).agg(F.count("*").alias("c")).where("c > 1"), "leaf-tokens")
+    ranked = Window.partitionBy(*TEMPLATE).orderBy(F.desc("c"))  # equal counts come in together
+    pattern = spots.join(common, spot).select(
+        "leaf", *TEMPLATE, "n", F.count("*").over(ranked).alias("constants"),
+        F.bit_xor(F.xxhash64(*spot)).over(ranked).alias("p"),
+        F.bit_xor(F.xxhash64(F.lit(1), *spot)).over(ranked).alias("p2"),
     )
-    width = common.groupBy("leaf").agg(F.count("*").alias("constants"))
-    hits = spots.join(common, ["leaf", "pos", "token"]).groupBy("leaf", *TEMPLATE, "n").agg(F.count("*").alias("hits"))
-    fits = (F.col("hits") == F.col("constants")) & (F.col("constants") >= similarity * F.col("n"))
-    return hits.join(width, "leaf").where(fits).select(*TEMPLATE, "leaf")
+    # without a variable it is the line itself
+    wide = pattern.where((F.col("constants") + depth >= similarity * F.col("n")) & (F.col("constants") + depth < F.col("n")))
+    wide = wide.dropDuplicates(["p", "p2", *TEMPLATE]).join(templates.select(*TEMPLATE, "docs"), TEMPLATE)
+    wide = materialise(wide.select("p", "p2", *TEMPLATE, "docs"), "patterns")
+    held = wide.groupBy("p", "p2").agg(F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
+    return wide.join(held, ["p", "p2"], "left_semi").drop("docs")
 
 
 def recurring(
@@ -96,7 +100,6 @@ def recurring(
     min_docs: int = 10,
     depth: int = 3,
     min_tokens: int = 3,
-    constant: float = 0.9,
     similarity: float = 0.7,
 ) -> DataFrame:
     """``d, d2, gone``: the documents that lose lines, and the numbers of those lines."""
@@ -117,13 +120,15 @@ def recurring(
     templates = materialise(counted.groupBy("leaf", *TEMPLATE).agg(F.count("*").alias("docs")), "templates")
     leaves = templates.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("kinds"))
     leaves = materialise(leaves.where(often & (F.col("kinds") > 1)).select("leaf"), "leaves")
-    members = general_members(docs, key, text, leaves, depth, constant, similarity)
+    members = general_members(docs, key, text, leaves, templates, min_docs, depth, similarity)
     members = materialise(members, "members")
     general = (
-        counted.select(*DOCUMENT, *TEMPLATE).join(members, TEMPLATE).select("leaf", *DOCUMENT).distinct()
-        .groupBy("leaf").agg(F.count("*").alias("docs")).where(often)
+        counted.select(*DOCUMENT, *TEMPLATE).join(members, TEMPLATE).select("p", "p2", *DOCUMENT).distinct()
+        .groupBy("p", "p2").agg(F.count("*").alias("docs")).where(often)
+    )
+    bad = templates.where(often).select(*TEMPLATE).union(
+        members.join(general, ["p", "p2"], "left_semi").select(*TEMPLATE)
     )
-    bad = templates.where(often).select(*TEMPLATE).union(members.join(general, "leaf", "left_semi").select(*TEMPLATE))
     bad = materialise(bad.distinct(), "bad-templates")
     return lines.join(bad, TEMPLATE, "left_semi").groupBy(*DOCUMENT).agg(
         F.flatten(F.collect_list("at")).alias("gone")

@@ -43,6 +43,19 @@ def test_copies_with_other_numbers_count_once(make_docs):
     assert texts(lt.drop_recurring(make_docs(rows))) == dict(rows)
 
 
+def test_a_leaf_has_several_templates(make_docs):
+    """Two families and unrelated lines share a token count and three leading tokens."""
+    name = [prose(4000 + i, 1) + "abcdefghijklmnopqrstuvwxyz"[i % 26] for i in range(150)]
+    tails = [f"{n} in our free online travel guide to Europe" for n in name[:60]]
+    tails += [f"{n} on the official company support and help pages" for n in name[60:80]]
+    unrelated = [prose(4500 + i, 9) for i in range(40)]
+    rows = [(i, f"{prose(5000 + i, 30)}\nRead more about {tail}\n{prose(5500 + i, 30)}") for i, tail in enumerate(tails + unrelated)]
+    out = texts(lt.drop_recurring(make_docs(rows)))
+    for i, text in rows:
+        first, middle, last = text.split("\n")
+        assert out[i] == (text if i >= 80 else f"{first}\n{last}"), middle
+
+
 def test_few_documents_are_not_enough(make_docs):
     rows = corpus()[:9]
     assert texts(lt.drop_recurring(make_docs(rows))) == dict(rows)
