@@ -4,14 +4,15 @@ Texts and items are lower-cased and stripped of white space and ASCII punctuatio
 edits of the remaining UTF-8 bytes. A document is contaminated by an item when a part of it lies
 within ``error`` times the item's length of the whole item.
 
-Items fall into size classes: windows of a class have the largest power of two bytes that is at
-most half of the item, so that of the windows that follow one another in a text at least one lies
-wholly inside a copied item. Each item is indexed at every start such a window can have.
+Items fall into two size classes: windows have the largest power of two bytes that is at most half
+of the item, and ``LONGEST`` at most, so that the edits in a window don't grow with the item. A text's
+windows overlap by half. Each item is indexed at every start such a window can have.
 
 The CGK walk writes a window's byte at each step and moves on by a random bit that depends on step
 and byte. An edit desynchronises two walks only until they meet again, so few edits leave most of
 the ``3 * window`` steps equal in Hamming terms. A key hashes the walk's bytes at ``samples`` random
-steps; ``rounds`` independent walks and samples are tried. All windows of a piece of text walk
+steps; at least ``rounds`` independent walks and samples are tried, and in each class as many as find
+``recall`` of simulated copies of its shortest item with ``error`` edits. All windows of a piece of text walk
 together, byte by byte: the step a window has reached, and the sampled steps a byte is written to,
 come from tables by (byte, step). Keys that hit the index are verified by exact edit distance.
 
@@ -26,7 +27,7 @@ further columns are ignored by ``find_items`` and kept by ``drop_contaminated``.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -36,6 +37,8 @@ from footfall.llm.common import filter_texts, map_texts
 
 STRIPPED = bytes(b for b in range(128) if not chr(b).isalnum())
 MIN_ITEM = 24
+LONGEST = 16
+MOST_ROUNDS = 96
 
 
 def normal(text: str) -> bytes:
@@ -43,8 +46,8 @@ def normal(text: str) -> bytes:
 
 
 def window_of(size: int) -> int:
-    """Largest power of two that is at most half of ``size`` + 1."""
-    return 1 << ((size + 1) // 2).bit_length() - 1
+    """Largest power of two that is at most half of ``size`` + 1, and ``LONGEST`` at most."""
+    return min(LONGEST, 1 << ((size + 1) // 2).bit_length() - 1)
 
 
 def edit_within(item: bytes, part: bytes, limit: int) -> int | None:
@@ -134,10 +137,38 @@ def window_keys(walks: list[Walk], text: np.ndarray, stride: int, block: int = 1
     return out
 
 
+@lru_cache(maxsize=None)
+def rounds_for(window: int, size: int, samples: int, seed: int, least: int, error: float, recall: float) -> int:
+    """Fewest rounds from ``least`` on that find ``recall`` of 200 random copies of ``size`` bytes."""
+    rng = np.random.default_rng([seed, window, size])
+    first = []
+    for _ in range(200):
+        item = rng.integers(1, 27, size).astype(np.uint8)
+        part = item.tolist()
+        for kind in rng.integers(0, 3, int(error * size)):
+            at = rng.integers(len(part))
+            part[at : at + (kind != 2)] = [] if kind == 1 else [int(rng.integers(1, 27))]
+        around = rng.integers(1, 27, 3 * window).astype(np.uint8)
+        at = rng.integers(window, 2 * window)
+        first.append((item, np.concatenate([around[:at], np.array(part, np.uint8), around[at:]])))
+    found = np.zeros(len(first), dtype=bool)
+    for n in range(1, MOST_ROUNDS + 1):
+        walk = [Walk(window, samples, seed + n - 1, 27)]
+        for c in np.flatnonzero(~found):
+            item, text = first[c]
+            found[c] = np.isin(window_keys(walk, text, window // 2), window_keys(walk, item, 1)).any()
+        if n >= least and found.mean() >= recall:
+            return n
+    raise ValueError(f"{MOST_ROUNDS} rounds find {found.mean():.3f} of items of {size} bytes, fewer than {recall}")
+
+
 class Index:
     """Every window of a block of items, per size class and round."""
 
-    def __init__(self, items: list[tuple[int | None, bytes]], rounds: int, samples: int, seed: int):
+    def __init__(
+        self, items: list[tuple[int | None, bytes]], rounds: int, samples: int, seed: int,
+        error: float = 0.1, recall: float = 0.99,
+    ):
         self.items = [(i, t) for i, t in items if len(t) >= MIN_ITEM]
         self.whole = {}
         for i, t in items:
@@ -152,7 +183,9 @@ class Index:
             self.classes.setdefault(window_of(len(t)), []).append(number)
         self.sizes = []
         for window, numbers in sorted(self.classes.items()):
-            walks = [Walk(window, samples, seed + r, len(used) + 1) for r in range(rounds)]
+            shortest = min(len(self.items[number][1]) for number in numbers)
+            tried = rounds_for(window, shortest, samples, seed, rounds, error, recall)
+            walks = [Walk(window, samples, seed + r, len(used) + 1) for r in range(tried)]
             texts = [self.code[np.frombuffer(self.items[number][1], np.uint8)] for number in numbers]
             keys = np.concatenate([window_keys(walks, t, 1) for t in texts], axis=1)
             starts = [len(t) - window + 1 for t in texts]
@@ -171,13 +204,13 @@ class Index:
         text = self.code[text]
         numbers, places = [], []
         for window, walks, tables in self.sizes:
-            for own, (maybe, keys, owner, shift) in zip(window_keys(walks, text, window), tables):
+            for own, (maybe, keys, owner, shift) in zip(window_keys(walks, text, window // 2), tables):
                 at = np.flatnonzero(maybe[own & 0xFFFFF])
                 low = np.searchsorted(keys, own[at], side="left")
                 times = np.searchsorted(keys, own[at], side="right") - low
                 hit = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
                 numbers.append(owner[hit])
-                places.append(np.repeat(at, times) * window - shift[hit])
+                places.append(np.repeat(at, times) * (window // 2) - shift[hit])
         return np.concatenate(numbers), np.concatenate(places)
 
     def shared(self, number: int, part: bytes) -> int:
@@ -219,7 +252,8 @@ class Index:
 
 
 def build_indexes(
-    benchmark: DataFrame, item: Column, text: Column, rounds: int, samples: int, seed: int, block_chars: int
+    benchmark: DataFrame, item: Column, text: Column, rounds: int, samples: int, seed: int, block_chars: int,
+    error: float, recall: float,
 ) -> list[Index]:
     """One index per block of the benchmark, which is a bounded set of test items."""
     items = benchmark.select(item.cast("long").alias("item"), F.coalesce(text, F.lit("")).alias("text"))
@@ -228,7 +262,7 @@ def build_indexes(
     number = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
     for block in range(blocks):
         rows = items.where(number == block).distinct().collect()
-        yield Index([(r.item, normal(r.text)) for r in rows], rounds, samples, seed)
+        yield Index([(r.item, normal(r.text)) for r in rows], rounds, samples, seed, error, recall)
 
 
 def find_items(
@@ -243,6 +277,7 @@ def find_items(
     samples: int = 10,
     seed: int = 7,
     block_chars: int = 2 << 20,
+    recall: float = 0.99,
 ) -> DataFrame:
     """``doc_id, item_id, place, edits`` per document row and item that it holds."""
     spark = docs.sparkSession
@@ -257,7 +292,7 @@ def find_items(
         schema = "doc_id long, item_id long, place long, edits long"
         return map_texts(docs, [text, key.cast("long").alias("doc_id")], run, schema)
 
-    indexes = build_indexes(benchmark, item, item_text, rounds, samples, seed, block_chars)
+    indexes = build_indexes(benchmark, item, item_text, rounds, samples, seed, block_chars, error, recall)
     return reduce(DataFrame.unionByName, [search(spark.sparkContext.broadcast(i)) for i in indexes])
 
 
@@ -272,10 +307,11 @@ def drop_contaminated(
     samples: int = 10,
     seed: int = 7,
     block_chars: int = 2 << 20,
+    recall: float = 0.99,
 ) -> DataFrame:
     """The rows that hold no item, with all their columns; one pass per block of the benchmark."""
     for index in build_indexes(
-        benchmark, F.col(f"`{item}`"), F.col(f"`{item_text}`"), rounds, samples, seed, block_chars
+        benchmark, F.col(f"`{item}`"), F.col(f"`{item_text}`"), rounds, samples, seed, block_chars, error, recall
     ):
         shared = docs.sparkSession.sparkContext.broadcast(index)
         docs = filter_texts(

@@ -87,6 +87,18 @@ def test_copied_and_edited_items_are_found():
     assert not any(found[len(truth) :])
 
 
+def test_every_size_is_found_at_the_limit_of_edits():
+    """Production parameters; 24 to 900 random letters with 10 % edits."""
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    for size in (24, 30, 31, 46, 63, 127, 255, 272, 511, 900):
+        items = [letters(size) for _ in range(40)]
+        index = dc.Index([(i, t.encode()) for i, t in enumerate(items)], 12, 10, 7)
+        texts = [(letters(rng.randrange(40, 80)) + edited(t, size // 10, rng) + letters(60)).encode() for t in items]
+        caught = sum(any(hit[0] == i for hit in hits) for i, hits in enumerate(index.find(texts, 0.1)))
+        assert caught >= 38, size
+
+
 def test_tables(spark, make_docs, odd_rows):
     items = [(1, prose(6, 30)), (2, prose(6, 30)), (None, prose(77, 30)), (4, None), (5, ""), (6, "one"), (7, prose(78, 40))]
     benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
