@@ -10,19 +10,21 @@ from footfall.llm import (
     byte_cnn,
     decontaminate,
     gru_lm,
+    license_index,
     line_templates,
+    periodic_runs,
     pieces_viterbi,
     quality_bands,
     rans,
     secrets_crf,
     simhash,
+    turn_trie,
     warc,
 )
 from footfall.llm.common import crc_fold, load
 from footfall.session import scratch_path
 
 
-
 def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return gru_lm.score(load(spark, folder, "documents"), F.col("doc_id"), F.col("text"), crc_fold(F.col("doc_id")) == 1)
 
@@ -84,15 +86,31 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_index.digest(license_index.scan(load(spark, folder, "documents"), F.col("doc_id"), F.col("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.digest(load(spark, folder, "documents"), F.col("doc_id"), F.col("text"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    columns = [F.col(c) for c in ("conv_id", "turn", "role", "text")]
+    return turn_trie.prefix_trie(load(spark, folder, "conversations"), *columns)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_secret_scan, op3_sentencepiece, op4_quality_rules, op5_simhash,
         op6_quality_classifier, op7_warc_revisits, op8_decontamination, op9_rans_output, op10_line_dedup,
+        op11_license_scan, op12_periodic_runs, op13_prefix_trie,
     )
 }
 
 ORACLE = {
+    "op11_license_scan": license_index.oracle(),
+    "op13_prefix_trie": turn_trie.ORACLE,
     "op7_warc_revisits": """
 WITH payload AS (
   SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
