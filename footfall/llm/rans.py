@@ -11,7 +11,7 @@ Coding is vectorised over lanes and blocks (decoding over lanes and stretches).
 where a block is read: any executor can decode any block with the shared table.
 
 Defined cases: null and empty texts hold only the end id; a null ``doc_id`` sorts first; repeated
-rows are stored as often as given, in order of their ids' bytes; an empty table gives an empty
+rows are stored as often as given, texts of one id in order of their ids' hash; an empty table gives an empty
 store; further columns are ignored. A token the table has not seen can't be coded and raises.
 """
 
@@ -22,15 +22,17 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.common import map_texts, numbered, per_process, ragged, segments, shuffle_partitions
+from footfall.llm.common import per_process, pieces, ragged, segments, shuffle_partitions
 from footfall.session import materialise
 
 SCALE = 18
@@ -152,106 +154,163 @@ def decode_blocks(table: Table, payloads: list[bytes]) -> list[np.ndarray]:
 # --- tokens ---------------------------------------------------------------------------------
 
 
-LETTERS = "a-z\xdf-\xf6\xf8-\xff"
-#: Texts of ASCII and Latin-1 letters, which lower case and composition leave as single characters.
-SIMPLE = re.compile("[\x09-\x0d\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
-#: Fixed value of the tokenizer: its pattern for the parts of such a text, in lower case.
-PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\x09-\x0d a-z0-9\xdf-\xf6\xf8-\xff]+")
+#: What is no ASCII or Latin-1 letter, sign or blank: such words may change in length in lower case or when composed.
+#: Special tokens, which the tokenizer looks for first, hold ``<|``.
+ODD = re.compile("<\\||[^\x09-\x0d\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]")
+#: Fixed value of the tokenizer: its pattern for the parts of all other words, in lower case; a line end stands between words.
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\x09-\x0d a-z0-9\xdf-\xf6\xf8-\xff]+|\n")
+#: Fixed values of the tokenizer: how it prepares and cuts a text. Others are given whole texts.
+PREPARED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+CUT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def cuts_at_blanks(definition: dict) -> bool:
+    """Whether the tokenizer drops blanks and cuts words as ``PARTS`` does."""
+    prepared = (definition.get("normalizer") or {}).get("normalizers")
+    cut = ((definition.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    return (
+        prepared == PREPARED
+        and (cut.get("type"), cut.get("pattern"), cut.get("behavior"), cut.get("invert")) == ("Split", {"Regex": CUT}, "Removed", True)
+        and all("<|" in t["content"] and not re.search(r"\s", t["content"]) for t in definition.get("added_tokens", []))
+        and not definition.get("post_processor")
+    )
 
 
-def parts_of(text: str) -> list[str]:
-    """What the tokenizer encodes one by one, or whole words where that isn't plain to see.
+class Ids:
+    """Ids of different strings, one after another, and where each string's begin; a line end has none."""
 
-    The tokenizer drops white space and encodes letters, digits and other signs apart. It looks for
-    its special tokens first: words with ``<|`` stay as they are, as do those beyond Latin-1.
-    """
-    if "<|" not in text and SIMPLE.fullmatch(text):
-        return PARTS.findall(text.lower())
-    out = []
-    for word in text.encode().split():
-        own = word.decode()
-        out += PARTS.findall(own.lower()) if b"<|" not in word and SIMPLE.fullmatch(own) else [own]
-    return out
+    def __init__(self):
+        self.place = {"\n": 0}
+        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(2, np.int64)
+
+    def add(self, strings: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.place.update(zip(strings, range(len(self.place), len(self.place) + len(strings))))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the strings at ``places``, and how many each has."""
+        counts = self.ends[places + 1] - self.ends[places]
+        return ragged(self.ids, self.ends[places], counts).astype(np.int32), counts
 
 
 class Encoder:
-    """Ids of texts by the library, which is given every different part once, many in a line.
+    """Ids of texts by the library, which is given every different part of a word once, many in a line.
 
-    The table of parts is emptied when it holds ``most``.
+    Texts are cut at ASCII blanks and their different words numbered by Arrow; the different words of a batch are cut into
+    parts in one pass, but odd ones stay whole. The table of parts is emptied when it holds ``most``. A
+    tokenizer that doesn't cut at blanks is given whole texts.
     """
 
+    LINE = 512
+
     def __init__(self, definition: str, most: int = 3 << 18):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.most = Tokenizer.from_str(definition), most
-        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        loaded = json.loads(definition)
+        self.by_part = cuts_at_blanks(loaded)
+        # parts are in lower case and cut already: the same model, without preparing them again
+        self.plain = Tokenizer.from_str(definition)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        suffix = loaded["model"].get("end_of_word_suffix")
         self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)  # ids that end a part
         if suffix:
             self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
-        self.clear()
+        self.parts = Ids()
 
-    def clear(self):
-        self.place: dict[str, int] = {}
-        self.ids, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
-
-    def _whole(self, words: list[str]) -> tuple[list[int], list[int]]:
-        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+    def _whole(self, strings: list[str]) -> tuple[list[int], list[int]]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
         return [i for own in found for i in own], [len(own) for own in found]
 
     def _line(self, parts: list[str]) -> tuple[list[int], list[int]]:
         """Ids of parts that are encoded as one line; a part's last id tells where it ends."""
-        ids = self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids
+        ids = self.plain.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids
         ends = np.flatnonzero(self.last[np.array(ids, dtype=np.int64)])
         if len(ends) != len(parts) or ends[-1] != len(ids) - 1:
             return self._whole(parts)
         return ids, np.diff(ends, prepend=-1).tolist()
 
-    def _add(self, new: list[str]) -> None:
-        plain, others = [], []
-        for part in new:
-            (plain if "<|" not in part and SIMPLE.fullmatch(part) else others).append(part)
-        ids, counts = self._whole(others) if others else ([], [])
-        for low in range(0, len(plain), 1 << 12):
-            more = self._line(plain[low : low + (1 << 12)])
-            ids, counts = ids + more[0], counts + more[1]
-        self.place.update(zip(others + plain, range(len(self.place), len(self.place) + len(new))))
-        self.ids = np.concatenate([self.ids, np.array(ids, dtype=np.int32)])
-        self.counts = np.concatenate([self.counts, np.array(counts, dtype=np.int64)])
-
-    def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
-        """Ids of each text, then ``end``."""
-        if len(self.place) > self.most:
-            self.clear()
-        codes, sizes, different = numbered([parts_of(t) for t in texts])
-        self._add([p for p in different if p not in self.place])
-        place = np.fromiter(map(self.place.__getitem__, different), np.int64, len(different))[codes]
-        counts = self.counts[place]
-        ids = ragged(self.ids, segments(self.counts)[:-1][place], counts)
+    def _places(self, strings: list[str], encode) -> np.ndarray:
+        """Where the table holds the strings, after those it lacks have been encoded."""
+        places = np.fromiter(map(self.parts.place.get, strings, repeat(-1)), np.int64, len(strings))
+        lacking = np.flatnonzero(places < 0)
+        new, ids, counts = [strings[i] for i in lacking], [], []
+        for low in range(0, len(new), self.LINE):
+            more = encode(new[low : low + self.LINE])
+            ids += more[0]
+            counts += more[1]
+        if new:
+            places[lacking] = len(self.parts.place) + np.arange(len(new))
+            self.parts.add(new, np.array(ids, np.int32), np.array(counts, np.int64))
+        return places
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words, and each word's place and number there."""
+        joined = "\n".join([*words, ""])
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        odd = np.unique(np.searchsorted(ends, [m.start() for m in ODD.finditer(joined)], side="right"))
+        whole = [words[i] for i in odd]
+        if whole:
+            for i in odd:
+                words[i] = ""
+            joined = "\n".join([*words, ""])
+        cut = pa.array(PARTS.findall(joined.lower()), pa.large_string()).dictionary_encode()
+        codes, different = cut.indices.to_numpy(zero_copy_only=False), cut.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = self._places(different, self._line)
+        ids, counts = self.parts.of(places[codes])
+        after = np.flatnonzero(codes == different.index("\n")) + 1 if words else np.zeros(0, np.int64)
+        bounds = segments(counts)[np.append(0, after)]  # a word's parts stand before its line end, which has no ids
+        start, size = bounds[:-1].copy(), np.diff(bounds)
+        more, own = self.parts.of(self._places(whole, self._whole))
+        start[odd], size[odd] = len(ids) + segments(own)[:-1], own
+        return np.concatenate([ids, more]), start, size
+
+    def encode(self, texts: pa.Array, end: int) -> list[np.ndarray]:
+        """Ids of each text, then ``end``; null is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not self.by_part:
+            found = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+            return [np.array([*own.ids, end], dtype=np.int32) for own in found]
+        if len(self.parts.place) > self.most:
+            self.parts = Ids()
+        lists = pc.ascii_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        ids, start, size = self._words(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        codes = words.indices.to_numpy(zero_copy_only=False)
+        counts = size[codes]
+        flat = ragged(ids, start[codes], counts)
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         ends = segments(counts)[segments(sizes)].tolist()
-        return [np.append(ids[a:b], np.int32(end)) for a, b in zip(ends[:-1], ends[1:])]
+        return [np.append(flat[a:b], np.int32(end)) for a, b in zip(ends[:-1], ends[1:])]
 
 
 def tokenize(docs: DataFrame, key: Column, text: Column, path: str, end: int) -> DataFrame:
     """``doc_id`` and ``ids``, as little-endian unsigned integers of 16 bits, or of 32 where needed.
 
     The driver reads the tokenizer's file; tasks get its text, whose size the file fixes. A worker
-    keeps its table of parts from task to task.
+    keeps its tables from task to task.
     """
     definition = Path(path).read_text(encoding="utf-8")
     shared = docs.sparkSession.sparkContext.broadcast(definition)
     name = f"encoder-{zlib.crc32(definition.encode())}-{len(definition)}"
+    kinds = [("doc_id", pa.int64()), ("ids", pa.binary()), ("wide", pa.bool_())]
 
-    def run(texts, rows):
-        found = per_process(name, lambda: Encoder(shared.value)).encode(texts, end)
-        wide = [i.max() > 0xFFFF for i in found]
-        return {
-            "doc_id": rows.column(1),
-            "ids": [i.astype("<u4" if w else "<u2").tobytes() for i, w in zip(found, wide)],
-            "wide": wide,
-        }
+    def run(batches):
+        for rows in pieces(batches, "text"):
+            found = per_process(name, lambda: Encoder(shared.value)).encode(rows.column(0), end)
+            wide = [bool(i.max() > 0xFFFF) for i in found]
+            ids = [i.astype("<u4" if w else "<u2").tobytes() for i, w in zip(found, wide)]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(1).cast(pa.int64()), pa.array(ids, pa.binary()), pa.array(wide)], schema=pa.schema(kinds)
+            )
 
-    return map_texts(docs, [text, key.cast("long").alias("doc_id")], run, "doc_id long, ids binary, wide boolean", 2 << 20)
+    source = docs.select(text.cast("string").alias("text"), key.cast("long").alias("doc_id"))
+    return source.mapInArrow(run, "doc_id long, ids binary, wide boolean")
 
 
 # --- stores ---------------------------------------------------------------------------------
@@ -338,8 +397,10 @@ def write_store(tokens: DataFrame, path: str, together: int = 32) -> None:
         if held:
             yield coded()
 
-    ordered = tokens.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first())
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids").select("doc_id", "ids", "wide")
+    # many rows of one id, or of none, are spread by their ids' hash, and equal rows by their place
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids")]
+    ordered = tokens.repartitionByRange(shuffle_partitions(spark), *order, F.monotonically_increasing_id())
+    ordered = ordered.sortWithinPartitions(*order, "ids").select("doc_id", "ids", "wide")
     ordered.mapInArrow(run, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
 
 

@@ -3,6 +3,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -61,10 +62,30 @@ def test_parts_are_encoded_as_whole_texts():
     texts += ["it's 'sun ''t don't'll ÀÉÎ ß'd 'RE 'Ve'M #1! 3.14 a_b-c"]
     encoder = rans.Encoder(Path(PATH).read_text(encoding="utf-8"), most=3)
     for _ in range(2):
-        for text, own in zip(texts, encoder.encode(texts, 2)):
+        for text, own in zip(texts, encoder.encode(pa.array(texts), 2)):
             assert own.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_other_definitions_get_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, encoder = Tokenizer.from_file(path), rans.Encoder(Path(path).read_text(encoding="utf-8"))
+    texts = ["two  words\n", "", " lead", None]
+    assert not encoder.by_part and rans.Encoder(Path(PATH).read_text(encoding="utf-8")).by_part
+    for text, own in zip(texts, encoder.encode(pa.array(texts), 7)):
+        assert own.tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 7]
+
+
+def test_many_rows_of_one_id_are_spread(spark, tmp_path):
+    """Of rows without an id, which are most, some are equal; no range holds them all."""
+    rows = [(None, prose(i % 50, 30)) for i in range(400)] + [(i, prose(i, 30)) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = rans.digest(rans.store_documents(docs, F.col("doc_id"), F.col("text"), PATH, str(tmp_path / "s")))
+    starts = sorted((r.start, r.n_tokens) for r in out.collect())
+    assert len(starts) == 420 and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+    own = spark.read.parquet(str(tmp_path / "s/blocks")).where("doc_ids[0] is null").select("part").distinct().count()
+    assert own > 1
+
+
 def test_store(spark, make_docs, odd_rows, tmp_path):
     rows = odd_rows + [(100 + i, prose(i, 400)) for i in range(60)]
     docs = make_docs(rows)
