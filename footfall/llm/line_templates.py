@@ -13,8 +13,8 @@ tokens; lines of one leaf differ in later tokens only. Two kinds of template rec
 
 Documents with the same set of masked lines are copies of one document and count once, so that
 copies don't make their own text recur; a document that is mostly boilerplate counts like any other.
-Each line with a recurring template is dropped from every document. Lines of fewer than
-``min_tokens`` tokens are never counted or dropped.
+Each line with a recurring template is dropped from every document, however short; lines without a token
+are no lines of text and stay.
 
 Defined cases: a null text stays null and an empty one empty; a document that loses all its lines
 keeps an empty text; documents without a key are known by their text; rows equal in key and text
@@ -72,7 +72,10 @@ def line_rows(docs: DataFrame, key: Column, text: Column) -> DataFrame:
 def general_members(
     docs: DataFrame, key: Column, text: Column, leaves: DataFrame, templates: DataFrame, min_docs: int, depth: int, similarity: float
 ) -> DataFrame:
-    """``p, p2, t, t2``: generalised templates that may recur, and the different lines that have them."""
+    """``p, p2, t, t2, sure``: generalised templates that may recur, and the different lines that have them.
+
+    A template with a line that recurs by itself is ``sure`` to recur: nothing need be counted for it.
+    """
     lines = line_rows(docs, key, text).select("w", *place(F.col("w"), depth))
     lines = lines.join(leaves, "leaf", "left_semi").dropDuplicates(TEMPLATE)
     rest = F.posexplode(F.slice("w", depth + 1, F.greatest(F.col("n") - depth, F.lit(0))))
@@ -89,8 +92,8 @@ def general_members(
     wide = pattern.where((F.col("constants") + depth >= similarity * F.col("n")) & (F.col("constants") + depth < F.col("n")))
     wide = wide.dropDuplicates(["p", "p2", *TEMPLATE]).join(templates.select(*TEMPLATE, "docs"), TEMPLATE)
     wide = materialise(wide.select("p", "p2", *TEMPLATE, "docs"), "patterns")
-    held = wide.groupBy("p", "p2").agg(F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
-    return wide.join(held, ["p", "p2"], "left_semi").drop("docs")
+    held = wide.groupBy("p", "p2").agg(F.sum("docs").alias("most"), (F.max("docs") >= min_docs).alias("sure"))
+    return wide.join(held.where(F.col("most") >= min_docs).drop("most"), ["p", "p2"]).drop("docs")
 
 
 def recurring(
@@ -99,12 +102,12 @@ def recurring(
     text: Column,
     min_docs: int = 10,
     depth: int = 3,
-    min_tokens: int = 3,
     similarity: float = 0.7,
 ) -> DataFrame:
     """``d, d2, gone``: the documents that lose lines, and the numbers of those lines."""
-    found = line_rows(docs, key, text).select(*DOCUMENT, "i", *place(F.col("w"), depth))
-    found = found.where(F.col("n") >= min_tokens)
+    filled = F.col("w")[0] != ""
+    found = line_rows(docs, key, text).select(*DOCUMENT, "i", *place(F.col("w"), depth), filled.alias("filled"))
+    found = found.where(F.col("filled"))
     lines = materialise(
         found.groupBy(*DOCUMENT, *TEMPLATE, "leaf", "n").agg(F.collect_set("i").alias("at")), "lines"
     )
@@ -122,12 +125,13 @@ def recurring(
     leaves = materialise(leaves.where(often & (F.col("kinds") > 1)).select("leaf"), "leaves")
     members = general_members(docs, key, text, leaves, templates, min_docs, depth, similarity)
     members = materialise(members, "members")
+    # lines of the other templates are each in fewer than ``min_docs`` documents, so no key is hot
     general = (
-        counted.select(*DOCUMENT, *TEMPLATE).join(members, TEMPLATE).select("p", "p2", *DOCUMENT).distinct()
+        counted.select(*DOCUMENT, *TEMPLATE).join(members.where("not sure"), TEMPLATE).select("p", "p2", *DOCUMENT).distinct()
         .groupBy("p", "p2").agg(F.count("*").alias("docs")).where(often)
     )
-    bad = templates.where(often).select(*TEMPLATE).union(
-        members.join(general, ["p", "p2"], "left_semi").select(*TEMPLATE)
+    bad = templates.where(often).select(*TEMPLATE).union(members.where("sure").select(*TEMPLATE)).union(
+        members.where("not sure").join(general, ["p", "p2"], "left_semi").select(*TEMPLATE)
     )
     bad = materialise(bad.distinct(), "bad-templates")
     return lines.join(bad, TEMPLATE, "left_semi").groupBy(*DOCUMENT).agg(
@@ -135,22 +139,41 @@ def recurring(
     )
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores before them as none of the columns has."""
+    taken = {c.lower() for c in df.columns}
+    lead = "_"
+    while any(f"{lead}{n}".lower() in taken for n in names):
+        lead += "_"
+    return [f"{lead}{n}" for n in names]
+
+
 def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", **rules) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``; every row stays."""
-    return mark_recurring(docs, key, text, **rules).select(
-        *[F.col("__text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    )
+    rest, lines = free_names(docs, "rest", "lines")
+    marked = mark_recurring(docs, key, text, rest, lines, **rules)
+    return marked.select(*[F.col(rest).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
-def mark_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", **rules) -> DataFrame:
-    """All rows and columns of ``docs``, with ``__text`` (rewritten) and ``__gone`` (line numbers or null)."""
+def mark_recurring(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", rest: str = "rest", lines: str = "lines", **rules
+) -> DataFrame:
+    """All rows and columns of ``docs``, with ``rest`` (the text that stays) and ``lines`` (numbers of those that don't, or null).
+
+    The names of both new columns must be free.
+    """
     k, body = F.col(f"`{key}`"), F.col(f"`{text}`")
-    gone = materialise(recurring(docs, k, body, **rules), "gone").select(
-        F.col("d").alias("__d"), F.col("d2").alias("__d2"), F.array_sort("gone").alias("__gone")
+    d, d2, gone = free_names(docs, "d", "d2", "gone")
+    found = materialise(recurring(docs, k, body, **rules), "gone").select(
+        F.col("d").alias(d), F.col("d2").alias(d2), F.array_sort("gone").alias(gone)
     )
-    d, d2 = document(k, body)
-    joined = docs.join(gone, (d == F.col("__d")) & (d2 == F.col("__d2")), "left")
-    kept = F.filter(F.split(body, "\n"), lambda line, i: ~F.array_contains(F.col("__gone"), i))
-    return joined.withColumn(
-        "__text", F.when(F.col("__gone").isNull(), body).otherwise(F.array_join(kept, "\n"))
-    ).drop("__d", "__d2")
+    own, own2 = document(k, body)
+    joined = docs.join(found, (own == F.col(d)) & (own2 == F.col(d2)), "left")
+
+    def kept(all_lines: Column) -> Column:
+        numbers = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col(gone))
+        return F.array_join(F.transform(numbers, lambda i: F.get(all_lines, i)), "\n")
+
+    # one lambda holds the lines, so that the text is split once
+    whole = F.transform(F.array(F.split(body, "\n")), kept)[0]
+    return joined.withColumn(rest, F.when(F.col(gone).isNull(), body).otherwise(whole)).withColumnRenamed(gone, lines).drop(d, d2)

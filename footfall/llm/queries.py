@@ -76,13 +76,13 @@ def op9_rans_output(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     marked = line_templates.mark_recurring(load(spark, folder, "documents"))
-    gone = F.coalesce("__gone", F.array().cast("array<int>"))
+    gone = F.coalesce("lines", F.array().cast("array<int>"))
     return marked.select(
         "doc_id",
         F.coalesce(F.size(F.split(F.col("text"), "\n")), F.lit(0)).cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_dropped"),
         F.array_join(gone.cast("array<string>"), ",").alias("dropped"),
-        F.sha2(F.col("__text").cast("binary"), 256).alias("text_sha256"),
+        F.sha2(F.col("rest").cast("binary"), 256).alias("text_sha256"),
     )
 
 
@@ -129,50 +129,42 @@ WITH masked AS (
          string_split(regexp_replace(text, '[^ \t\n\x0B\f\r0-9]*[0-9][^ \t\n\x0B\f\r]*', '<*>', 'g'), chr(10)) AS lines
   FROM documents
 ), line AS (
-  SELECT r, doc_id, text, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i FROM masked WHERE text IS NOT NULL
+  SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i FROM masked WHERE text IS NOT NULL
 ), token AS (
-  SELECT r, i, coalesce(doc_id::VARCHAR, '-') || ':' || text AS d,
-         string_split_regex(trim(translate(line, chr(9) || chr(13) || chr(11) || chr(12), '    '), ' '), ' +') AS w
-  FROM line
+  SELECT r, i, string_split_regex(trim(translate(line, chr(9) || chr(13) || chr(11) || chr(12), '    '), ' '), ' +') AS w FROM line
 ), found AS (
-  SELECT d, w, len(w) AS n, w[1:3] AS lead, list(DISTINCT r) AS rs, list(i) AS places
-  FROM token WHERE len(w) >= 3 GROUP BY d, w
-), often AS (
-  SELECT w FROM found GROUP BY w HAVING count(*) >= 10
-), copies AS (
-  SELECT d FROM found LEFT JOIN often ON found.w = often.w
-  GROUP BY d HAVING sum(CASE WHEN often.w IS NOT NULL THEN n END) > 0.5 * sum(n)
-), live AS (
-  SELECT * FROM found WHERE d NOT IN (SELECT d FROM copies)
+  SELECT r, w, list(i) AS places FROM token WHERE w[1] <> '' GROUP BY r, w
+), copy AS (  -- documents with one set of lines count once
+  SELECT DISTINCT list(w ORDER BY w) AS own FROM found GROUP BY r
+), held AS (
+  SELECT k, unnest(own) AS w FROM (SELECT row_number() OVER () AS k, own FROM copy)
 ), template AS (
-  SELECT n, lead, w, count(*) AS docs FROM live GROUP BY n, lead, w
+  SELECT w, len(w) AS n, w[1:3] AS lead, count(*) AS docs FROM held GROUP BY w
 ), leaf AS (
   SELECT n, lead FROM template GROUP BY n, lead HAVING sum(docs) >= 10 AND count(*) > 1
-), member AS (
-  SELECT DISTINCT f.n, f.lead, f.w FROM found f JOIN leaf USING (n, lead)
 ), spot AS (
-  SELECT n, lead, w, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM member
+  SELECT n, lead, w, unnest(w[4:]) AS token, generate_subscripts(w[4:], 1) AS pos FROM template JOIN leaf USING (n, lead)
 ), common AS (
-  SELECT n, lead, pos, max({'c': c, 'token': token}) AS top
-  FROM (SELECT n, lead, pos, token, count(*) AS c FROM spot GROUP BY n, lead, pos, token) GROUP BY n, lead, pos
-), constant AS (
-  SELECT n, lead, pos, top.token AS token
-  FROM common JOIN (SELECT n, lead, count(*) AS m FROM member GROUP BY n, lead) USING (n, lead)
-  WHERE top.c >= 0.9 * m
-), fit AS (
-  SELECT n, lead, w FROM spot JOIN constant USING (n, lead, pos, token)
-  GROUP BY n, lead, w
-  HAVING count(*) = (SELECT count(*) FROM constant k WHERE k.n = spot.n AND k.lead = spot.lead) AND count(*) >= 0.7 * n
+  SELECT n, lead, pos, token, count(*) AS c FROM spot GROUP BY n, lead, pos, token HAVING count(*) > 1
+), ranked AS (
+  SELECT n, lead, w, list({'c': c, 'pos': pos, 'token': token} ORDER BY pos) AS own
+  FROM spot JOIN common USING (n, lead, pos, token) GROUP BY n, lead, w
+), level AS (
+  SELECT n, lead, w, own, unnest(list_distinct(list_transform(own, lambda s: s.c))) AS least FROM ranked
+), pattern AS (
+  SELECT n, lead, w, list_transform(list_filter(own, lambda s: s.c >= least), lambda s: {'pos': s.pos, 'token': s.token}) AS constant
+  FROM level
+), wide AS (
+  SELECT DISTINCT n, lead, w, constant FROM pattern
+  WHERE len(constant) + 3 >= 0.7::DOUBLE * n AND len(constant) + 3 < n
 ), general AS (
-  SELECT n, lead FROM live JOIN fit USING (n, lead, w) GROUP BY n, lead HAVING count(DISTINCT d) >= 10
+  SELECT n, lead, constant FROM wide JOIN held USING (w) GROUP BY n, lead, constant HAVING count(DISTINCT k) >= 10
 ), bad AS (
   SELECT w FROM template WHERE docs >= 10
   UNION
-  SELECT w FROM fit JOIN general USING (n, lead)
-), gone AS (
-  SELECT unnest(rs) AS r, places FROM live JOIN bad USING (w)
+  SELECT w FROM wide JOIN general USING (n, lead, constant)
 ), per_row AS (
-  SELECT r, list_sort(list_distinct(flatten(list(places)))) AS lost FROM gone GROUP BY r
+  SELECT r, list_sort(flatten(list(places))) AS lost FROM found JOIN bad USING (w) GROUP BY r
 )
 SELECT doc_id, coalesce(len(raw), 0)::BIGINT AS n_lines, coalesce(len(lost), 0)::BIGINT AS n_dropped,
        coalesce(array_to_string(lost, ','), '') AS dropped,

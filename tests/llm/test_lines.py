@@ -61,6 +61,32 @@ def test_few_documents_are_not_enough(make_docs):
     assert texts(lt.drop_recurring(make_docs(rows))) == dict(rows)
 
 
+def test_short_lines_recur_too_and_blank_lines_stay(make_docs):
+    rows = [(i, f"Menu\n\n{prose(6000 + i, 30)}\nPage {i}\n \n{prose(6500 + i, 30)}") for i in range(20)]
+    out = texts(lt.drop_recurring(make_docs(rows)))
+    for i, text in rows:
+        lines = text.split("\n")
+        assert out[i] == "\n".join([lines[1], lines[2], lines[4], lines[5]])
+
+
+def test_a_document_of_many_lines_takes_linear_time(make_docs):
+    """40 000 lines, half of them in every document."""
+    shared = [prose(7000 + i, 5) for i in range(200)]
+    own = [prose(8000 + i, 6) for i in range(200)]
+    long = "\n".join(f"{shared[i % 200]}\n{own[i % 200]}" for i in range(20_000))
+    rows = [(0, long)] + [(1 + i, "\n".join(shared) + "\n" + prose(9000 + i, 30)) for i in range(15)]
+    out = texts(lt.drop_recurring(make_docs(rows)))
+    assert out[0] == "\n".join(own[i % 200] for i in range(20_000))
+
+
+def test_columns_with_the_operators_own_names(make_docs):
+    names = ["_d", "_d2", "_gone", "_rest", "_lines", "lines", "rest", "__gone", "t", "w"]
+    docs = make_docs(corpus()).select("*", *[F.lit(n).alias(n) for n in names if n != "t"])
+    out = lt.drop_recurring(docs)
+    assert out.columns == docs.columns and out.first()["_gone"] == "_gone"
+    assert texts(out) == texts(lt.drop_recurring(make_docs(corpus())))
+
+
 def test_odd_rows(make_docs, odd_rows):
     docs = make_docs(odd_rows)
     out = lt.drop_recurring(docs)
@@ -82,9 +108,21 @@ def test_no_python_on_the_path(spark, make_docs, tmp_path, capsys):
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
 
 
-def test_sql_agrees_on_templates(spark, make_docs, tmp_path):
+def families():
+    """Lines of several templates in one leaf, some with a member that recurs by itself."""
+    name = [prose(4000 + i, 1) + "abcdefghijklmnopqrstuvwxyz"[i % 26] for i in range(90)]
+    tails = [f"{n} in our free online travel guide to Europe" for n in name[:40]]
+    tails += [f"{n} on the official company support and help pages" for n in name[40:60]] + [tails_same for tails_same in ["him in our free online travel guide to Europe"] * 12]
+    tails += [prose(4500 + i, 9) for i in range(20)]
+    return [(200 + i, f"{prose(5000 + i, 12)}\nRead more about {tail}\n{prose(5500 + i, 12)}\nMenu") for i, tail in enumerate(tails)]
+
+
+def test_sql_agrees_on_templates(spark, make_docs, odd_rows, tmp_path):
+    """Among them documents that are mostly boilerplate and several templates a leaf."""
     duckdb = pytest.importorskip("duckdb")
-    make_docs(corpus()).select("doc_id", "text").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    shared = prose(3000, 60)
+    mostly = [(400 + i, shared + "\n" + prose(3100 + i, 50 if i < 6 else 90)) for i in range(15)]
+    make_docs(corpus() + families() + mostly + odd_rows[:6]).select("doc_id", "text").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     duck = duckdb.connect()
     duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
     assert differences(QUERIES["op10_line_dedup"](spark, str(tmp_path)), duck, ORACLE["op10_line_dedup"]) == []
