@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,12 +50,15 @@ def cohort_retention(
     else:
         users = _users_by_first(log, by, parts, [F.min("start_date").alias("start_date"), *merge_bits(size)])
     keys = [by] if by else []
-    return (
-        users.where(F.col("start_date") >= F.lit(since))
-        .select(*keys, "start_date", F.explode(members(size)).alias("offset"))
-        .groupBy(*keys, "start_date", F.date_add(F.lit(since), F.col("offset")).alias("date"))
-        .agg(F.count("*").alias("active_users"))
-    )
+    new = users.where(F.col("start_date") >= F.lit(since))
+    return cohort_cells(new.select(*keys, "start_date", F.explode(members(size)).alias("offset")), since, keys)
+
+
+def cohort_cells(active: DataFrame, origin: date, keys: list[str]) -> DataFrame:
+    """Users per cohort and day, from a row per user and active day (``offset`` from ``origin``)."""
+    return active.groupBy(
+        *keys, "start_date", F.date_add(F.lit(origin), F.col("offset")).alias("date")
+    ).agg(F.count("*").alias("active_users"))
 
 
 def cohort_matrix(retention: DataFrame, dates: list[date]) -> DataFrame:
@@ -153,6 +157,14 @@ def weekly_audience(log: DataFrame, first: date, as_of: date) -> DataFrame:
     index = F.floor(F.datediff(day(), F.lit(origin)) / 7).cast("int")
     users = within(log, origin, None).groupBy("user_id").agg(*collect_bits(index, weeks))
 
+    return audience_entries(users, members(weeks), lambda week: has_bit(week, weeks), origin, weeks)
+
+
+def audience_entries(
+    users: DataFrame, active: Column, is_active: Callable[[Column], Column], origin: date, weeks: int
+) -> DataFrame:
+    """New, retained and lost users per week, from a row per user with its ``active`` weeks."""
+
     def entry(week_number: Column, status: Column, sign: int) -> Column:
         return F.struct(
             F.date_add(F.lit(origin), (week_number * 7).cast("int")).alias("this_week"),
@@ -161,9 +173,8 @@ def weekly_audience(log: DataFrame, first: date, as_of: date) -> DataFrame:
         )
 
     def was_active(week_number: Column) -> Column:
-        return F.coalesce((week_number >= 0) & has_bit(week_number, weeks), F.lit(False))
+        return F.coalesce((week_number >= 0) & is_active(week_number), F.lit(False))
 
-    active = members(weeks)
     seen = F.transform(
         active,
         lambda w: entry(w, F.when(was_active(w - 1), "retained").otherwise("new"), 1),
