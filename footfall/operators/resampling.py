@@ -62,8 +62,9 @@ def aa_simulation(
     """Repeated t-tests between samples without replacement from two equal groups.
 
     One row per iteration with the moments of both samples, t, degrees of freedom
-    and p. Users with an undefined metric are not sampled; a group of fewer than ``n``
-    users is an error. Numbering the users runs jobs and writes a scratch table.
+    and p. Users with an undefined metric are not sampled. A group of fewer than ``n``
+    users has no sample: every row gives its size and null statistics.
+    Numbering the users runs jobs and writes a scratch table.
     """
     spark = users.sparkSession
     pool = users.where(F.col(GROUP).isin([a, b]) & F.col(metric).isNotNull()).select(
@@ -74,7 +75,11 @@ def aa_simulation(
     sizes = {row[GROUP]: row["size"] for row in counted.collect()}  # two rows
     sampled = []
     for side, group in (("a", a), ("b", b)):
-        draws = _draw_positions(spark, group, sizes.get(group, 0), n, iterations, seed)
+        size = sizes.get(group, 0)
+        if size < n:
+            sampled.append(_without_sample(spark, size, iterations, side))
+            continue
+        draws = _draw_positions(spark, group, size, n, iterations, seed)
         members = numbered.where(F.col(GROUP) == group).select("position", metric)
         sampled.append(
             draws.join(members, "position")
@@ -86,6 +91,16 @@ def aa_simulation(
     return welch_columns(sampled[0].join(sampled[1], "iteration"))
 
 
+def _without_sample(spark: SparkSession, size: int, iterations: int, side: str) -> DataFrame:
+    undefined = F.lit(None).cast("double")
+    return spark.range(iterations).select(
+        F.col("id").alias("iteration"),
+        F.lit(size).cast("bigint").alias(f"n_{side}"),
+        undefined.alias(f"mean_{side}"),
+        undefined.alias(f"var_{side}"),
+    )
+
+
 def _complete(drawn: Column, n: int) -> Column:
     """The number drawn, or an error if an iteration found too few distinct users."""
     error = F.raise_error(F.lit("an iteration drew too few distinct users")).cast("bigint")

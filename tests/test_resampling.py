@@ -43,9 +43,30 @@ def test_whole_group_can_be_the_sample(spark):
     assert resampling._draw_positions(spark, 2, 5, 5, 10, 1).count() == 50
 
 
-def test_too_large_a_sample_is_an_error(users):
-    with pytest.raises(ValueError, match="fewer than the sample"):
-        resampling.aa_simulation(users, 2, 3, 10, 500)
+def test_a_group_below_the_sample_shows_its_size_and_no_statistic(users):
+    sizes = {r.exp_group: r["count"] for r in users.where("ctr IS NOT NULL").groupBy("exp_group").count().collect()}
+    tests = resampling.aa_simulation(users, 2, 3, 10, 500)
+    assert rows(tests, "iteration", "n_a", "n_b", "mean_a", "var_b", "t", "dof", "p_value") == [
+        (i, sizes[2], sizes[3], None, None, None, None, None) for i in range(10)
+    ]
+    report = resampling.false_positive_rate(tests).first()
+    assert (report["tests"], report["false_positive_pct"], report["split_is_sound"]) == (0, None, None)
+
+
+def test_one_short_group_leaves_the_other_sampled(users):
+    few = users.where("exp_group = 2").orderBy("user_id").limit(3).unionByName(users.where("exp_group = 3"))
+    tests = resampling.aa_simulation(few, 2, 3, iterations=4, n=20)
+    assert {(r.n_a, r.n_b, r.mean_a, r.t, r.p_value) for r in tests.collect()} == {(3, 20, None, None, None)}
+    assert tests.where("mean_b IS NULL OR var_b IS NULL").count() == 0
+    none = resampling.aa_simulation(users.where("exp_group = 3"), 2, 3, iterations=2, n=20)
+    assert {(r.n_a, r.n_b, r.t) for r in none.collect()} == {(0, 20, None)}
+
+
+@pytest.mark.parametrize("n", [2, 3])
+def test_smallest_samples_have_statistics(users, n):
+    tests = resampling.aa_simulation(users, 2, 3, iterations=50, n=n)
+    assert {(r.n_a, r.n_b) for r in tests.collect()} == {(n, n)}
+    assert tests.where("p_value IS NOT NULL AND p_value BETWEEN 0 AND 1").count() == tests.where("t IS NOT NULL").count() > 0
 
 
 def test_the_sample_is_as_large_as_asked_for(users):
