@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.functions.calendar import AsOf
-from footfall.operators import anomaly, daily, experiments, mart, posts, resampling, retention, series
+from footfall.operators import anomaly, daily, experiments, mart, posts, resampling, retention, series, user_state
 from footfall.operators.ranks import histogram
 from footfall.plans import reports
 from footfall.session import materialise, scratch_path
@@ -30,6 +30,8 @@ ALERT_AS_OF = AsOf(datetime(2024, 1, 30, 23, 50))
 SINCE = AS_OF.days_ago(reports.RETENTION_DAYS)
 FIRST_DAY = date(2024, 1, 1)  # of the weekly audience report's range
 LOG_DAY = "day"
+STATE_HORIZON = user_state.Horizon(FIRST_DAY, 93)
+STATE_BUCKETS = 8
 AA_WEEK = (date(2024, 1, 8), date(2024, 1, 14))
 AB_WEEK = (date(2024, 1, 15), date(2024, 1, 21))
 DROP_DAY = date(2024, 1, 20)
@@ -38,8 +40,8 @@ ALL_GROUPS = [0, 1, 2, 3]
 SLICES = ["os", "gender", "age", "country", "city", "source"]
 BUCKETS = 50
 AA_ITERATIONS = 10_000
-#: The smallest provided tables have three users in a group; a sample that doesn't fit is an error.
-AA_SAMPLE, AA_SMALL_SAMPLE = 3, 2
+#: A group with fewer users is not sampled and has its size and null statistics in every row.
+AA_SAMPLE, AA_SMALL_SAMPLE = 500, 3
 AA_SEED = 11
 BOOTSTRAP_SEED = 23
 REPLICATES = 2_000
@@ -295,6 +297,49 @@ def weekly_matrix(spark, folder):
     return retention.status_matrix(weekly_audience_feed(spark, folder))
 
 
+# --- the same from a state of users, of which a run reads one day more ------
+
+
+def _feed_state(spark, folder):
+    """The history up to three days ago at once, then day by day; the last day is run twice."""
+    path = scratch_path(spark, "feed-log")
+    write_log(load_feed(spark, folder), path)
+
+    def log(first, last):
+        return feed_actions(spark, path, first, last + timedelta(days=1), day_column=LOG_DAY)
+
+    store = user_state.StateStore(spark, scratch_path(spark, "user-state"), STATE_HORIZON, STATE_BUCKETS)
+    store.merge(log(FIRST_DAY, AS_OF.days_ago(3)))
+    store.merge_days(lambda day: log(day, day), AS_OF.days_ago(2), AS_OF.today)
+    store.merge(log(AS_OF.today, AS_OF.today))
+    return store.read()
+
+
+@query
+def state_first_seen(spark, folder):
+    return user_state.state_first_seen(_feed_state(spark, folder), SINCE)
+
+
+@query
+def state_retention(spark, folder):
+    return user_state.state_retention(_feed_state(spark, folder), STATE_HORIZON, SINCE, AS_OF.today)
+
+
+@query
+def state_weekly_audience(spark, folder):
+    return user_state.state_weekly_audience(_feed_state(spark, folder), STATE_HORIZON, FIRST_DAY, AS_OF.today)
+
+
+@query
+def state_campaign_cohort(spark, folder):
+    return user_state.state_new_user_return(_feed_state(spark, folder), STATE_HORIZON)
+
+
+@query
+def state_dau(spark, folder):
+    return user_state.state_dau(_feed_state(spark, folder), STATE_HORIZON, FIRST_DAY, AS_OF.today)
+
+
 # --- daily mart ------------------------------------------------------------
 
 

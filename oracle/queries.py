@@ -246,6 +246,15 @@ def _weekly(log: str) -> str:
 
 add("weekly_audience_feed", _weekly("feed"), texts="this_week previous_week")
 add("weekly_audience_messenger", _weekly("msg"), texts="this_week previous_week")
+# a state of users, merged day by day, must give what the whole log gives
+for _state, _whole in {
+    "state_first_seen": "first_seen",
+    "state_retention": "retention_feed",
+    "state_weekly_audience": "weekly_audience_feed",
+    "state_campaign_cohort": "campaign_cohort",
+    "state_dau": "feed_dau",
+}.items():
+    ORACLE[_state] = ORACLE[_whole]
 
 
 def _weekly_matrix(log: str) -> str:
@@ -491,24 +500,29 @@ def _aa(n: int) -> str:
     return f"""
 pool AS (SELECT exp_group, row_number() OVER (PARTITION BY exp_group ORDER BY user_id) - 1 AS position, ctr
   FROM u WHERE ctr IS NOT NULL),
-sizes AS (SELECT exp_group AS grp, count(*) AS size, CAST(ceil(sqrt(count(*))) AS BIGINT) AS side FROM pool GROUP BY exp_group),
+sizes AS (SELECT exp_group AS grp, count(*) AS size, CAST(ceil(sqrt(count(*))) AS BIGINT) AS side FROM pool GROUP BY exp_group
+  HAVING count(*) >= {n}),
 turn0 AS (SELECT grp, size, side, i.iteration, a.attempt, a.attempt // side AS l, a.attempt % side AS r
-  FROM sizes, range(10000) i(iteration), range(0, (SELECT max(side * side) FROM sizes)) a(attempt)
+  FROM sizes, range(10000) i(iteration), range(0, (SELECT coalesce(max(side * side), 0) FROM sizes)) a(attempt)
   WHERE a.attempt < least(side * side, CAST(ceil({n}.0 * side * side / size) AS BIGINT) + {10 * math.isqrt(n) + 20})),
 {", ".join(steps)},
 picked AS (SELECT grp, iteration, l * side + r AS position FROM turn4 WHERE l * side + r < size
   QUALIFY row_number() OVER (PARTITION BY grp, iteration ORDER BY attempt) <= {n}),
-tests AS (SELECT *, {_T} FROM (SELECT iteration, {_moments('ctr', 'grp = 2', 'grp = 3')}
-  FROM picked JOIN pool ON pool.exp_group = picked.grp AND pool.position = picked.position GROUP BY iteration))"""
+drawn AS (SELECT iteration, {_moments('ctr', 'grp = 2', 'grp = 3')}
+  FROM picked JOIN pool ON pool.exp_group = picked.grp AND pool.position = picked.position GROUP BY iteration),
+tests AS (SELECT *, {_T} FROM (SELECT * REPLACE (
+    coalesce(nullif(n_a, 0), (SELECT count(*) FROM pool WHERE exp_group = 2)) AS n_a,
+    coalesce(nullif(n_b, 0), (SELECT count(*) FROM pool WHERE exp_group = 3)) AS n_b)
+  FROM range(10000) i(iteration) LEFT JOIN drawn USING (iteration)))"""
 
 
-_AA_TESTS = f"{_AA_USERS}, {_aa(3)}"
+_AA_TESTS = f"{_AA_USERS}, {_aa(500)}"
 add("aa_stats", "SELECT iteration, n_a, n_b, mean_a, mean_b, t, dof FROM tests", "mean_a mean_b t dof", ctes=_AA_TESTS)
 add(
     "aa_stats_spread",
     "SELECT iteration, n_a, n_b, mean_a, mean_b, t, dof FROM tests",
     "mean_a mean_b t dof",
-    ctes=f"{_AA_USERS}, {_aa(2)}",
+    ctes=f"{_AA_USERS}, {_aa(3)}",
 )
 _AA_P = f"SELECT tests.iteration, p.p_value FROM tests LEFT JOIN ({_p_of_t('tests', 'iteration')}) p USING (iteration)"
 add("aa_pvalues", _AA_P, "p_value", ctes=_AA_TESTS)
@@ -521,8 +535,8 @@ add(
 add(
     "aa_fpr",
     f"""SELECT count(p_value) AS tests,
-        round(100.0::DOUBLE * count(*) FILTER (WHERE p_value <= 0.05) / count(p_value), 2) AS false_positive_pct,
-        round(100.0::DOUBLE * count(*) FILTER (WHERE p_value <= 0.05) / count(p_value), 2) <= 5 AS split_is_sound
+        round(100.0::DOUBLE * count(*) FILTER (WHERE p_value <= 0.05) / nullif(count(p_value), 0), 2) AS false_positive_pct,
+        round(100.0::DOUBLE * count(*) FILTER (WHERE p_value <= 0.05) / nullif(count(p_value), 0), 2) <= 5 AS split_is_sound
         FROM ({_AA_P})""",
     "false_positive_pct",
     ctes=_AA_TESTS,
@@ -610,12 +624,14 @@ def _slots(where: str) -> str:
         {_SLOT_COLUMNS} FROM act WHERE {where} GROUP BY 1, 2, 3)"""
 
 
+_SERIES = " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, ts, CAST({m} AS DOUBLE) AS value FROM slots" for m in _METRICS
+)
+
+
 def _bands(ahead: int) -> str:
     # one branch per metric, and rows of the frame picked by row number
-    series = " UNION ALL ".join(
-        f"SELECT '{m}' AS metric, ts, CAST({m} AS DOUBLE) AS value FROM slots" for m in _METRICS
-    )
-    return f"""series AS ({series}),
+    return f"""series AS ({_SERIES}),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY ts) AS i FROM series),
 quarters AS (SELECT c.metric, c.ts, c.value, c.i,
     CASE WHEN count(p.value) = 5 THEN quantile_cont(p.value, 0.25) END AS q25,
@@ -659,12 +675,15 @@ add(
 )
 add(
     "day_over_day",
-    f"""SELECT c.ts, c.metric, c.value, p.value AS day_before, {div('c.value', 'p.value')} - 1 AS change,
-        coalesce(abs({div('c.value', 'p.value')} - 1) > 0.3, FALSE) AS is_alert
-        FROM series c JOIN series p ON p.metric = c.metric AND c.ts = p.ts + INTERVAL 1 DAY""",
+    f"""SELECT ts, metric, value, day_before, {div('value', 'day_before')} - 1 AS change,
+        coalesce(abs({div('value', 'day_before')} - 1) > 0.3, FALSE) AS is_alert
+        FROM (SELECT *, max(value) OVER day_before AS day_before, count(*) OVER day_before AS known FROM series
+          WINDOW day_before AS (PARTITION BY metric ORDER BY ts
+            RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
+        WHERE known > 0""",
     "value day_before change",
     "ts",
-    ctes=_BANDS,
+    ctes=f"{_slots(_RECENT).replace('slots AS (', 'slots AS MATERIALIZED (')}, series AS ({_SERIES})",
 )
 add("band_breaks", f"SELECT metric, ts, value, low, up FROM bands WHERE {_OUT}", "value low up", "ts", ctes=_HISTORY)
 # A live slot is closed once the newest event is an hour past its end.
