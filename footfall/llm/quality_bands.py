@@ -18,11 +18,14 @@ from itertools import count
 import numpy as np
 import zstandard
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from footfall.llm.common import SPACES, filter_texts, map_texts
 
+Bands = tuple[tuple[int, float, float], ...]
+
 #: Smallest size in bytes, lowest and highest ratio that are accepted from that size on.
-BANDS = (
+BANDS: Bands = (
     (0, 0.0, 2.0),
     (100, 0.8, 2.5),
     (300, 1.2, 2.8),
@@ -40,8 +43,8 @@ FIELDS = (
 )
 
 
-def band(size: int) -> tuple[float, float]:
-    return next((low, high) for least, low, high in reversed(BANDS) if size >= least)
+def band(size: int, bands: Bands = BANDS) -> tuple[float, float]:
+    return next((low, high) for least, low, high in reversed(bands) if size >= least)
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -61,24 +64,30 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def judge(text: str, compress, chunk_share: float = 0.3) -> tuple:
-    """The values of ``FIELDS`` for one text."""
-    raw = text.encode()
+def word_rules(raw: bytes) -> tuple[int, int, bool]:
+    """Words, repeated words, and whether the text fails by them."""
     words = raw.split()
     repeats = repeated_words(words)
+    return len(words), repeats, len(words) < 50 or 100 * repeats > 50 * len(words)
+
+
+def judge(text: str, compress, chunk_share: float = 0.3, bands: Bands = BANDS) -> tuple:
+    """The values of ``FIELDS`` for one text."""
+    raw = text.encode()
+    n_words, repeats, failed = word_rules(raw)
     lines = Counter(line for line in raw.split(b"\n") if line.strip(SPACES))
-    failed = len(words) < 50 or 100 * repeats > 50 * len(words)
     ratio = len(raw) / len(compress(raw)) if raw else 0.0
-    low, high = band(len(raw))
+    low, high = band(len(raw), bands)
     fine = low <= ratio <= high
     chunks = out = 0
-    if len(raw) >= 2 * CHUNK:
-        low, high = band(CHUNK)
-        for start in range(0, len(raw) - CHUNK + 1, CHUNK):
+    if len(raw) >= CHUNK:
+        low, high = band(CHUNK, bands)
+        last = len(raw) - CHUNK
+        for start in [*range(0, last, CHUNK), last]:
             chunks += 1
             out += not low <= CHUNK / len(compress(raw[start : start + CHUNK])) <= high
     return (
-        len(words),
+        n_words,
         len(text) - (len(raw) - len(raw.translate(None, SPACES))),
         len(raw) - len(raw.translate(None, b"#*$%&|<>")),
         sum(lines.values()) - len(lines),
@@ -91,23 +100,47 @@ def judge(text: str, compress, chunk_share: float = 0.3) -> tuple:
     )
 
 
-def measure(docs: DataFrame, key: Column, text: Column, chunk_share: float = 0.3) -> DataFrame:
-    """``doc_id`` and the values of ``FIELDS`` for every row."""
+def fit_bands(docs: DataFrame, text: Column, trim: float = 0.02, width: float = 2.5, enough: int = 200) -> Bands:
+    """Limits of every length class, from all texts; one row per class reaches the driver."""
+
+    def run(texts, rows):
+        compress = zstandard.ZstdCompressor(level=LEVEL).compress
+        raws = [raw for raw in (t.encode() for t in texts) if not word_rules(raw)[2]]
+        return {"size": list(map(len, raws)), "packed": [len(compress(raw)) for raw in raws]}
+
+    different = map_texts(docs, [text], run, "size long, packed long").distinct()
+    ratio, shares = F.col("size") / F.col("packed"), F.array(F.lit(trim), F.lit(0.5), F.lit(1 - trim))
+    fitted = (
+        different.groupBy((F.length(F.bin("size")) - 1).alias("power"))
+        .agg(F.percentile_approx(ratio, shares, 10_000).alias("q"), F.count("*").alias("n"))
+        .where(F.col("n") >= enough)
+        .collect()
+    )
+    limits = {r.power: (r.q[1] - width * (r.q[1] - r.q[0]), r.q[1] + width * (r.q[2] - r.q[1])) for r in fitted}
+    return ((0, *band(0)), *((1 << power, *limits.get(power, band(1 << power))) for power in range(63)))
+
+
+def measure(
+    docs: DataFrame, key: Column, text: Column, chunk_share: float = 0.3, bands: Bands | None = None
+) -> DataFrame:
+    """``doc_id`` and the values of ``FIELDS`` for every row; limits are fitted unless given."""
+    bands = fit_bands(docs, text) if bands is None else bands
 
     def run(texts, rows):
         compress = zstandard.ZstdCompressor(level=LEVEL).compress
-        found = list(zip(*(judge(t, compress, chunk_share) for t in texts)))
+        found = list(zip(*(judge(t, compress, chunk_share, bands) for t in texts)))
         names = [f.split()[0] for f in FIELDS.split(", ")]
         return {"doc_id": rows.column(1), **dict(zip(names, found))}
 
     return map_texts(docs, [text, key.cast("long").alias("doc_id")], run, f"doc_id long, {FIELDS}")
 
 
-def keep_good(docs: DataFrame, text: str = "text", chunk_share: float = 0.3) -> DataFrame:
-    """The rows whose verdict is to keep, with all their columns."""
+def keep_good(docs: DataFrame, text: str = "text", chunk_share: float = 0.3, bands: Bands | None = None) -> DataFrame:
+    """The rows whose verdict is to keep, with all their columns; limits are fitted unless given."""
+    bands = fit_bands(docs, F.col(f"`{text}`")) if bands is None else bands
 
     def run(texts):
         compress = zstandard.ZstdCompressor(level=LEVEL).compress
-        return [judge(t, compress, chunk_share)[6] for t in texts]
+        return [judge(t, compress, chunk_share, bands)[6] for t in texts]
 
     return filter_texts(docs, text, run)

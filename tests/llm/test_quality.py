@@ -1,5 +1,6 @@
 import base64
 import os
+import random
 from collections import Counter
 
 import zstandard
@@ -57,3 +58,41 @@ def test_filter_keeps_rows_and_columns(make_docs, odd_rows):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["6", "6", "7", "9", "None"]
     assert q.keep_good(docs.limit(0)).count() == 0
     assert q.measure(docs.limit(0), F.col("doc_id"), F.col("text")).count() == 0
+
+
+def noise(seed, size):
+    return base64.b64encode(random.Random(seed).randbytes(size)).decode()[:size]
+
+
+def test_fitted_bands_bind(make_docs):
+    clean = [(i, prose(i, 110 + 37 * i % 900)) for i in range(1800)] + [(5000 + i, prose(i, 1300)) for i in range(250)]
+    copies = [(9000 + i, " ".join(f"{j}" * 40 for j in range(60))) for i in range(1500)]  # one text, unlike the rest
+    docs = make_docs(clean + copies)
+    bands = q.fit_bands(docs, F.col("text"))
+    compress = zstandard.ZstdCompressor(level=q.LEVEL).compress
+
+    def kept(texts):
+        return sum(q.judge(t, compress, bands=bands)[6] for t in texts)
+
+    assert kept(t for _, t in clean) >= 0.99 * len(clean)
+    paragraph = prose(77, 45)
+    planted = {
+        "noise tail": [prose(i, 600) + " " + noise(i, 3900) for i in range(40)],
+        "noise words": [" ".join(w if j % 10 > 2 else noise(i * j, 9) for j, w in enumerate(prose(i, 700).split())) for i in range(40)],
+        "long copies": [text for _, text in copies[:40]],
+        "varied paragraphs": [" ".join(f"{paragraph} {j}" for j in range(20)) for _ in range(40)],
+    }
+    assert {name: kept(texts) for name, texts in planted.items()} == dict.fromkeys(planted, 0)
+    found = q.measure(docs, F.col("doc_id"), F.col("text")).where("kept").count()
+    assert found == kept(t for _, t in clean) == q.keep_good(docs).count()
+
+
+def test_the_tail_is_a_chunk():
+    compress = zstandard.ZstdCompressor(level=q.LEVEL).compress
+    for size, chunks in ((4095, 0), (4096, 1), (4097, 2), (8192, 2), (8193, 3)):
+        assert q.judge((prose(4, 2000))[:size], compress)[8] == chunks
+
+
+def test_few_texts_take_the_general_bands(make_docs, odd_rows):
+    assert q.fit_bands(make_docs(odd_rows), F.col("text"))[10] == (512, *q.band(512))
+    assert q.fit_bands(make_docs(odd_rows).limit(0), F.col("text"))[0] == (0, *q.band(0))
