@@ -103,9 +103,9 @@ def best_by_dictionary(vocabulary: Pieces, segment: str) -> list[int]:
     out, end = [], len(segment)
     while end:
         _, start, piece = best[end]
-        out[:0] = [piece] if piece >= 0 else vocabulary.byte_id[list(segment[start:end].encode())].tolist()
+        out += [piece] if piece >= 0 else vocabulary.byte_id[list(segment[start:end].encode())].tolist()[::-1]
         end = start
-    return out
+    return out[::-1]
 
 
 def viterbi(vocabulary: Pieces, words: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:

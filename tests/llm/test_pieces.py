@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -61,3 +62,15 @@ def test_tables(make_docs, odd_rows, vocabulary):
     assert sorted((str(r.doc_id), r.ids) for r in found if r.doc_id != 7) == expected
     assert all(r.decodes for r in pv.digest_documents(docs, F.col("doc_id"), F.col("text"), PATH).collect())
     assert pv.digest_documents(docs.limit(0), F.col("doc_id"), F.col("text"), PATH).count() == 0
+
+
+def test_a_long_text_without_blanks_takes_linear_time(vocabulary):
+    def seconds(n):
+        text = "".join(random.Random(n).choices("abcdefghij", k=n))
+        began = time.perf_counter()
+        ids = pv.encode(vocabulary, [text])[0]
+        assert pv.decode(vocabulary, ids) == text
+        return time.perf_counter() - began
+
+    seconds(10_000)
+    assert seconds(200_000) < 8 * seconds(50_000)
