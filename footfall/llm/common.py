@@ -101,6 +101,14 @@ def hash_share(rows: DataFrame, key: Column, n: int, total: int) -> DataFrame:
     return rows if total <= n else rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int(n / total * (1 << 40)))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import map_texts, segments, shuffle_partitions
+from footfall.llm.common import free_name, map_texts, segments, shuffle_partitions
 from footfall.llm.graph import components, forest
 from footfall.session import materialise
 
@@ -252,9 +252,13 @@ def simhash_components(
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 3, distance: int = 2) -> DataFrame:
     """One row per component, the one with the smallest key, with all columns of ``docs``.
 
-    Rows without a key can't name their component and stay; rows that repeat a key give one row.
+    Rows without a key can't name their component and stay. Rows that repeat key and text give one row; of
+    different texts under one key each one stays.
     """
     found = simhash_components(docs, F.col(f"`{key}`"), F.col(f"`{text}`"), length, distance)
-    chosen = found.where("doc_id = component_id").select(F.col("doc_id").alias("__chosen")).distinct()
-    kept = docs.join(chosen, F.col(f"`{key}`") == F.col("__chosen"), "left_semi").dropDuplicates([key])
+    name, digest = free_name(docs, "__chosen"), free_name(docs, "__digest")
+    chosen = found.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.join(chosen, F.col(f"`{key}`") == F.col(name), "left_semi")
+    own = F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"), 256)
+    kept = kept.withColumn(digest, own).dropDuplicates([key, digest]).drop(digest)
     return kept.unionByName(docs.where(F.col(f"`{key}`").isNull()))

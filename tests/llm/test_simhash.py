@@ -137,3 +137,11 @@ def test_documents(make_docs, odd_rows):
     assert sorted(i for i in chosen if i is not None) == sorted({r.component_id for r in found if r.component_id is not None})
     assert chosen.count(None) == 1
     assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_different_texts_under_one_id_stay(make_docs):
+    docs = make_docs([(1, prose(1)), (1, prose(2)), (1, prose(2)), (2, prose(1)), (3, prose(3))])
+    docs = docs.withColumn("__digest", F.lit("y")).withColumn("__chosen", F.lit(1))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, prose(1)), (1, prose(2)), (3, prose(3))])
