@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.functions.calendar import AsOf
-from footfall.operators import anomaly, daily, experiments, mart, posts, resampling, retention, series, user_state
+from footfall.functions.calendar import AsOf, within_days
+from footfall.operators import (
+    anomaly, daily, experiments, mart, posts, resampling, retention, series, sketches, user_state,
+)
 from footfall.operators.ranks import histogram
 from footfall.plans import reports
 from footfall.session import materialise, scratch_path
@@ -340,6 +342,51 @@ def state_dau(spark, folder):
     return user_state.state_dau(_feed_state(spark, folder), STATE_HORIZON, FIRST_DAY, AS_OF.today)
 
 
+# --- the same from sketches of days --------------------------------------------
+
+
+def _audience_days(spark, folder):
+    path = scratch_path(spark, "audience-days")
+    sketches.write_days(sketches.audience_days(_activity(spark, folder)), path)
+    return sketches.read_days(spark, path, sketches.AUDIENCE, FIRST_DAY, AS_OF.today)
+
+
+@query
+def uniq_week_check(spark, folder):
+    """Users of every cut over seven days, and whether a union of stored sketches has them within 3 %."""
+    feed, path = load_feed(spark, folder, located=True), scratch_path(spark, "user-cube")
+    sketches.write_days(sketches.user_cube(feed, SLICES), path)
+    week = sketches.read_days(spark, path, sketches.CUBE, AS_OF.days_ago(7), AS_OF.yesterday)
+    keys = ["dimension", "dimension_value"]
+    estimated = sketches.cube_users(week).select(*keys, F.col("users").alias("estimate"), F.lit(0).alias("exact"))
+    users = sketches.cut_rows(within_days(feed, AS_OF.days_ago(7), AS_OF.yesterday), SLICES)
+    exact = users.groupBy(*keys).agg(F.lit(0).alias("estimate"), F.count_distinct("user_id").alias("exact"))
+    both = estimated.unionByName(exact)
+    summed = both.groupBy(*keys).agg(F.sum("exact").alias("users"), F.sum("estimate").alias("estimate"))
+    near = F.abs(F.col("estimate") - F.col("users")) <= 0.03 * F.col("users")
+    return summed.select(*keys, "users", near.alias("estimate_is_near"))
+
+
+@query
+def audience_overlap_sketch(spark, folder):
+    return sketches.overlap(_audience_days(spark, folder))
+
+
+@query
+def audience_overlap_total_sketch(spark, folder):
+    return sketches.overlap(_audience_days(spark, folder), "all")
+
+
+@query
+def weekly_audience_feed_sketch(spark, folder):
+    return sketches.weekly_audience(_audience_days(spark, folder), "feed", FIRST_DAY, AS_OF.today)
+
+
+@query
+def weekly_audience_messenger_sketch(spark, folder):
+    return sketches.weekly_audience(_audience_days(spark, folder), "messenger", FIRST_DAY, AS_OF.today)
+
+
 # --- daily mart ------------------------------------------------------------
 
 

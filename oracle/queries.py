@@ -246,6 +246,19 @@ def _weekly(log: str) -> str:
 
 add("weekly_audience_feed", _weekly("feed"), texts="this_week previous_week")
 add("weekly_audience_messenger", _weekly("msg"), texts="this_week previous_week")
+# sketches of days hold these numbers of users exactly
+for _sketch in ("audience_overlap", "audience_overlap_total", "weekly_audience_feed", "weekly_audience_messenger"):
+    ORACLE[f"{_sketch}_sketch"] = ORACLE[_sketch]
+_CUTS = ["os", "gender", "age", "country", "city", "source"]
+add(
+    "uniq_week_check",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS dimension, {f"CAST({c} AS VARCHAR)" if c != "all" else "'all'"} AS dimension_value,
+            count(DISTINCT user_id) AS users, true AS estimate_is_near
+            FROM feed WHERE {WEEK} AND date <= DATE '2024-01-30' GROUP BY 2"""
+        for c in ["all", *_CUTS]
+    ),
+)
 # a state of users, merged day by day, must give what the whole log gives
 for _state, _whole in {
     "state_first_seen": "first_seen",
