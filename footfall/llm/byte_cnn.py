@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import hash_share, map_texts
+from footfall.llm.common import Shared, hash_share, map_texts
 
 WIDTH = 5
 FILTERS = 16
@@ -135,12 +135,14 @@ def train(docs: DataFrame, key: Column, text: Column, labels: DataFrame, label_k
           sample: int = 4000, longest: int = 20_000) -> Network | float:
     """The fitted network, or the labels' mean if there is nothing to tell apart.
 
-    ``labels`` are the rows that may be learned from.
+    ``labels`` are the rows that may be learned from; equal ones count once. At most ``2 * sample`` texts
+    reach the driver, chosen by hash, however many texts share an id.
     """
-    rows = labels.select(label_key.alias("k"), label.cast("double").alias("y")).where("k is not null and y is not null")
+    rows = labels.select(label_key.alias("k"), label.cast("double").alias("y")).where("k is not null and y is not null").distinct()
     chosen = hash_share(rows, F.col("k"), sample, rows.count())  # about ``sample`` rows to broadcast
     texts = docs.select(key.alias("k"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
-    found = texts.where(F.length("text") <= longest).join(F.broadcast(chosen), "k").collect()
+    found = texts.where(F.length("text") <= longest).join(F.broadcast(chosen), "k")
+    found = found.orderBy(F.xxhash64("k", "y", "text")).limit(2 * sample).collect()
     found.sort(key=lambda r: (r.k, r.y, r.text))
     y = np.array([r.y for r in found])
     if len(set(y.tolist())) < 2:
@@ -153,7 +155,7 @@ def train(docs: DataFrame, key: Column, text: Column, labels: DataFrame, label_k
 def score(docs: DataFrame, key: Column, text: Column, model: Network | float) -> DataFrame:
     """``doc_id, score`` for every row."""
     fitted = isinstance(model, Network)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def run(texts, rows):
         found = shared.value.score(texts) if fitted else [shared.value] * len(texts)

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import cached_property
 from itertools import chain, count
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -131,6 +134,21 @@ def ragged(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts - ends[:-1], counts) + np.arange(ends[-1])]
 
 
+class Shared:
+    """A value of bounded size for all tasks.
+
+    Plain broadcasts name the classes of their values, which only a worker with this package could
+    load. The bytes sent here carry the classes along. A task unpacks them once.
+    """
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @cached_property
+    def value(self):
+        return pickle.loads(self._sent.value)
+
+
 def per_process(key, make: Callable[[], object]):
     """An object that a Python worker keeps from task to task.
 
