@@ -24,7 +24,7 @@ import re
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from footfall.llm.common import crc_of_ids, map_texts, numbered, ragged, segments
+from footfall.llm.common import Shared, crc_of_ids, map_texts, numbered, ragged, segments
 
 MARK = "▁"
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -244,4 +244,4 @@ def digest_documents(docs: DataFrame, key: Column, text: Column, path: str) -> D
 
 def _share(spark: SparkSession, path: str):
     """The vocabulary, whose size the model file fixes, for all tasks."""
-    return spark.sparkContext.broadcast(Pieces(path))
+    return Shared(spark, Pieces(path))
