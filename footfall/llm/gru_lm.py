@@ -1,32 +1,42 @@
-"""Gated recurrent language model with a class-factored output.
+"""Gated recurrent language model with a class-factored output over the whole counted vocabulary.
 
 The network is a GRU whose gates and states bend by ``a / (1 + |a|)``, which numpy computes several
 times as fast as exponentials.
 
 The log probability of a word is that of its class given the recurrent state, plus that of the word
-within its class. The ``FREQUENT`` most frequent training words lie in classes of ``SLOTS`` by
-rank, with a softmax on the state; all other words lie in ``RARE`` classes told by length and last
-character, where a word has its smoothed share of the class's training tokens (one part stands for
-all unseen words of the class); the end of a text is a class of its own.
+within its class. The most frequent training words lie in classes of ``SLOTS`` by rank, with a
+softmax on the state; their number grows as the root of the vocabulary (``FREQUENT`` at least). All
+other words lie in ``RARE`` classes told by length and last character, and there in buckets by hash,
+whose number grows with the vocabulary up to ``BUCKETS``. A bucket has an input vector and an output
+vector of its own: given its class, a word's probability goes with ``(c + 0.5) * (1 + x + x * x / 2)``,
+``x`` being the product of state and output vector and ``c`` the word's training count. The sum over
+all words of a class is then a quadratic form of the state, so it is exact at the same cost for any
+vocabulary (one part of 0.5 stands for all unseen words of a bucket). The end of a text is a class
+of its own.
 
 In scoring the state is carried across windows through a whole text. In training it is carried
 across windows of ``WINDOW`` steps, to which backpropagation is truncated, through spans of up to
 ``SPAN`` tokens; a longer text is learned from span by span. Texts run side by side. Every training text is learned from: each task trains from the same start on its share of
-the corpus, and the weights are averaged by tokens, place by place.
-
-Word counts cover the whole training corpus. A piece of the corpus is written as postings (word,
-texts of the piece with it, times); counts and postings meet in one join by word, and sums come
-back per text, so no task or driver holds a vocabulary that grows.
-
-Defined cases: null and empty texts are an end only; rows equal in key and text are scored alike
-and come back as often as given; a null key is a key of its own; without training texts counts are
-zero and the model is the untrained one; empty tables give empty tables; further columns are
-ignored.
+the corpus, and the weights are averaged by tokens, place by place; a bucket's vectors by the task's
+tokens in it.
+
+Word counts cover the whole training corpus. A piece of the corpus is cut into words once and
+written as postings (word, texts of the piece with it, times) and as its words with the texts' word
+numbers, which training and scoring read. Counts and postings meet by word, those of frequent words
+by broadcast, and sums come back per text, so no task or driver holds a vocabulary that grows.
+
+Defined cases: null and empty texts are an end only; rows equal in key and text are scored alike, up
+to the rounding of sums, and come back as often as given; a null key is a key of its own; without
+training texts counts are zero and the model is the untrained one; empty tables give empty tables;
+further columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+import zlib
+from collections import defaultdict
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -34,20 +44,25 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import pieces, texts_of
+from footfall.llm.common import segments, texts_of
 from footfall.session import materialise
 
-FREQUENT = 256
+FREQUENT = 256  # at least, and if no other number is given
 SLOTS = 32
+MOST_CLASSES = 128  # of frequent words
 RARE = 8
+BUCKETS = 1 << 16  # at most, of all rare classes; bounds the model that tasks hold
 HIDDEN = 8
 WINDOW = 32
 SPAN = 1024
 SCORED = 64  # steps of a window when nothing is learned
 STREAMS = 1024  # at most side by side in scoring, fewer if the longest text would run alone
 LEARNED = 400  # at most side by side in training
-PIECE = 8 << 20  # text bytes of a piece of postings
-RUN = 16 << 20  # text bytes that streams are filled from
+AT_ONCE = 4096  # tokens whose class probabilities lie in memory
+OUT_EVERY = 4  # windows after which output vectors of buckets change
+PIECE = 16 << 20  # text bytes of a piece, or one row
+PIECE_ROWS = 1 << 15
+BLOCK = 256  # buckets whose vectors travel together
 
 
 # --- words ----------------------------------------------------------------------------------
@@ -63,26 +78,35 @@ def rare_class_of(word: Column) -> Column:
     return (2 * F.least(F.lit(3), F.floor((F.octet_length(word) - 1) / 4)) + letter).cast("int")
 
 
+def bucket_of(word: Column, buckets: int) -> Column:
+    per = buckets // RARE
+    return rare_class_of(word) * per + F.crc32(word.cast("binary")) % per
+
+
+def sizes_for(words: int) -> tuple[int, int]:
+    """Frequent words and buckets of the model for a vocabulary of so many words; powers of two."""
+    above = lambda x: 1 << max(0, int(np.ceil(np.log2(max(x, 1)))))
+    frequent = SLOTS * min(MOST_CLASSES, above(words**0.5 / SLOTS))
+    return max(FREQUENT, frequent), min(BUCKETS, max(8 * RARE, above(words / 8)))
+
+
 class Ids(dict):
-    """Id of a word in the model: rank of a frequent word, else ``FREQUENT`` and its class."""
+    """Id of a word in the model: rank of a frequent word, else the place of its bucket after the end."""
 
-    def __init__(self, frequent: list[bytes], most: int = 1 << 18):
-        super().__init__((w, i) for i, w in enumerate(frequent))
-        self.frequent, self.most = frequent, most
+    def __init__(self, words: list[bytes], frequent: int, buckets: int, most: int = 1 << 18):
+        super().__init__((w, i) for i, w in enumerate(words))
+        self.words, self.most = words, most
+        self.first, self.per = frequent + RARE + 1, buckets // RARE
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > self.most:
             self.clear()
-            self.update((w, i) for i, w in enumerate(self.frequent))
-        found = self[word] = FREQUENT + rare_class(word)
+            self.update((w, i) for i, w in enumerate(self.words))
+        found = self[word] = self.first + rare_class(word) * self.per + zlib.crc32(word) % self.per
         return found
 
-    def of(self, text: str) -> np.ndarray:
-        """Ids of the words, then the end."""
-        words = text.encode().lower().split()
-        out = np.full(len(words) + 1, END, dtype=np.int32)
-        out[:-1] = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-        return out
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
 # --- the network ----------------------------------------------------------------------------
@@ -90,57 +114,100 @@ class Ids(dict):
 END = FREQUENT + RARE
 HIGHEST = np.float32(60)  # of a logit, so that no exponential overflows
 FULL = FREQUENT // SLOTS  # classes of frequent words
-CLASSES = FULL + RARE + 1
-SHAPES = {
-    "inputs": (FREQUENT + RARE + 1, 3 * HIDDEN),
-    "turn": (HIDDEN, 3 * HIDDEN),
-    "shift": (3 * HIDDEN,),
-    "to_class": (HIDDEN, CLASSES),
-    "class_shift": (CLASSES,),
-    "to_word": (FULL, HIDDEN, SLOTS),
-    "word_shift": (FULL, SLOTS),
-}
 
 
-def class_of(ids: np.ndarray) -> np.ndarray:
-    return np.where(ids < FREQUENT, ids // SLOTS, ids - FREQUENT + FULL)
+def shapes(full: int) -> dict[str, tuple[int, ...]]:
+    """Shapes of the weights, without the buckets' vectors, by number of classes of frequent words."""
+    return {
+        "inputs": (full * SLOTS + RARE + 1, 3 * HIDDEN),
+        "turn": (HIDDEN, 3 * HIDDEN),
+        "shift": (3 * HIDDEN,),
+        "to_class": (HIDDEN, full + RARE + 1),
+        "class_shift": (full + RARE + 1,),
+        "to_word": (full, HIDDEN, SLOTS),
+        "word_shift": (full, SLOTS),
+    }
+
+
+SHAPES = shapes(FULL)
 
 
 class Network:
+    """Weights by name. Ids: frequent words by rank, rare classes, the end, buckets by class.
+
+    ``share`` holds each bucket's part of its class's words; the parts of a class sum to one.
+    """
+
     def __init__(self, weights: dict[str, np.ndarray]):
         self.w = {n: np.ascontiguousarray(v, dtype=np.float32) for n, v in weights.items()}
+        self.full = len(self.w["word_shift"])
+        self.frequent = self.full * SLOTS
+        self.end = self.frequent + RARE
+        self.per = len(self.w["share"]) // RARE if "share" in self.w else 0
+        if self.per:
+            self.sum_up()
 
     @classmethod
-    def start(cls, counts: np.ndarray, classes: np.ndarray, seed: int = 17) -> Network:
-        """Random weights; the shifts give the unigram model of ``counts`` per frequent word and class."""
+    def start(cls, counts: np.ndarray, classes: np.ndarray, seed: int = 17, buckets: np.ndarray | None = None) -> Network:
+        """Random weights; the shifts give the unigram model of ``counts`` per frequent word and class.
+
+        ``buckets`` holds the mass of each bucket, class by class; their vectors start at zero.
+        """
         rng = np.random.default_rng(seed)
-        w = {n: rng.normal(0, 0.1, s) for n, s in SHAPES.items()}
+        full = len(counts) // SLOTS
+        w = {n: rng.normal(0, 0.1, s) for n, s in shapes(full).items()}
         w["shift"][:] = 0
         w["class_shift"] = np.log(classes + 0.5) - np.log((classes + 0.5).sum())
-        slots = counts.reshape(FULL, SLOTS).astype(np.float64)
+        slots = counts.reshape(full, SLOTS).astype(np.float64)
         share = slots / np.maximum(slots.sum(axis=1, keepdims=True), 1)
         w["word_shift"] = np.where(slots > 0, np.log(np.maximum(share, 1e-30)), -1e4)
         w["to_class"] *= 0.1
         w["to_word"] *= 0.1
+        if buckets is not None:
+            own = buckets.reshape(RARE, -1)
+            w["share"] = (own / own.sum(axis=1, keepdims=True)).ravel()
+            w["bucket_in"], w["bucket_out"] = np.zeros((len(buckets), 3 * HIDDEN)), np.zeros((len(buckets), HIDDEN))
         return cls(w)
 
+    def sum_up(self) -> None:
+        """Per rare class the sums over its words that make up the quadratic form."""
+        out = self.w["bucket_out"].reshape(RARE, self.per, HIDDEN)
+        weighted = out * self.w["share"].reshape(RARE, self.per, 1)
+        self.line = weighted.sum(axis=1)
+        self.square = np.matmul(weighted.transpose(0, 2, 1), out)
+
+    def base(self, ids: np.ndarray) -> np.ndarray:
+        """Ids with rare classes in place of their buckets."""
+        return np.where(ids > self.end, self.frequent + (ids - self.end - 1) // max(1, self.per), ids) if self.per else ids
+
+    def class_of(self, ids: np.ndarray) -> np.ndarray:
+        ids = self.base(ids)
+        return np.where(ids < self.frequent, ids // SLOTS, ids - self.frequent + self.full)
+
     def flat(self) -> np.ndarray:
+        """All weights but the buckets'."""
         return np.concatenate([self.w[n].ravel() for n in SHAPES])
 
-    @classmethod
-    def from_flat(cls, flat: np.ndarray) -> Network:
-        ends = np.cumsum([int(np.prod(s)) for s in SHAPES.values()])
-        return cls({n: part.reshape(s) for (n, s), part in zip(SHAPES.items(), np.split(flat, ends[:-1]))})
+    def fill(self, flat: np.ndarray) -> None:
+        at = 0
+        for n in SHAPES:
+            self.w[n][...] = flat[at : at + self.w[n].size].reshape(self.w[n].shape)
+            at += self.w[n].size
 
     # Arrays of states and gradients have a row per feature and a column per token.
 
     def forward(self, before: np.ndarray, h: np.ndarray, widths: list[int], keep: bool):
         """States after each step of a window. ``before`` holds the previous ids, step after step;
         the first ``widths[t]`` streams are still running at step t. The state restarts after an end."""
-        x = np.ascontiguousarray((self.w["inputs"] + self.w["shift"]).T).take(before, axis=1)
-        goes_on = (before != END).astype(np.float32)
+        x = (self.w["inputs"] + self.w["shift"]).take(self.base(before), axis=0)
+        if self.per:
+            rare = np.flatnonzero(before > self.end)
+            x[rare] += self.w["bucket_in"].take(before[rare] - self.end - 1, axis=0)
+        x = np.ascontiguousarray(x.T)
+        goes_on = (before != self.end).astype(np.float32)
         turn, n2 = np.ascontiguousarray(self.w["turn"].T), 2 * HIDDEN
-        states, trace, at = np.empty((HIDDEN, len(before)), dtype=np.float32), [], 0
+        states, at = np.empty((HIDDEN, len(before)), dtype=np.float32), 0
+        trace = [np.empty((k * HIDDEN, len(before) if keep else 0), dtype=np.float32) for k in (1, 1, 2, 1)]
         half = np.float32(0.5)
         for m in widths:
             own = slice(at, at + m)
@@ -159,89 +226,142 @@ class Network:
             after += new
             states[:, own] = after
             if keep:
-                trace.append((h, g[n2:], gates, new))
+                for kept, values in zip(trace, (h, g[n2:], gates, new)):
+                    kept[:, own] = values
             h = after
         return states, h, trace
 
     def outputs(self, h: np.ndarray, ids: np.ndarray, grad: bool):
-        """Natural log probabilities of ``ids`` after states ``h``, without the share of rare words;
-        with ``grad`` also the loss's gradients."""
-        kind = class_of(ids)
-        p = self.w["to_class"].T @ h
-        p += self.w["class_shift"][:, None]
-        np.minimum(p, HIGHEST, out=p)
-        columns = np.arange(len(ids))
-        found = p[kind, columns]
-        np.exp(p, out=p)
-        total = p.sum(axis=0)
-        found -= np.log(total)
-        grads = None
-        if grad:
-            p /= total
-            p[kind, columns] -= 1
-            back = self.w["to_class"] @ p
-            grads = {
-                "to_class": h @ p.T, "class_shift": p.sum(axis=1),
-                "to_word": np.zeros(SHAPES["to_word"], np.float32), "word_shift": np.zeros(SHAPES["word_shift"], np.float32),
-            }
+        """Natural log probabilities of ``ids`` after states ``h``, without the rare words' own parts of
+        their classes; with ``grad`` also the loss's gradients."""
+        kind = self.class_of(ids)
         order = np.argsort(kind.astype(np.int16), kind="stable")
-        cuts = np.concatenate([[0], np.cumsum(np.bincount(kind, minlength=CLASSES))])
-        for c in range(FULL):
-            at = order[cuts[c] : cuts[c + 1]]
-            if not len(at):
-                continue
-            state, slot = h[:, at], ids[at] - c * SLOTS
-            q = self.w["to_word"][c].T @ state
-            q += self.w["word_shift"][c][:, None]
-            np.minimum(q, HIGHEST, out=q)
-            columns = np.arange(len(at))
-            own = q[slot, columns]
-            np.exp(q, out=q)
-            total = q.sum(axis=0)
-            found[at] += own - np.log(total)
+        kind, ids = kind[order], ids[order]
+        cuts = np.searchsorted(kind, np.arange(self.full + RARE + 1))
+        state = np.ones((HIDDEN + 1, len(ids)), dtype=np.float32)  # the last row is for shifts
+        h.take(order, axis=1, out=state[:-1], mode="clip")
+        found = np.empty(len(ids), dtype=np.float32)
+        back = np.empty(h.shape, dtype=np.float32) if grad else None
+        to_class = np.vstack([self.w["to_class"], self.w["class_shift"]])
+        to_word = np.concatenate([self.w["to_word"], self.w["word_shift"][:, None]], axis=1)
+        grad_class, grad_word = np.zeros_like(to_class), np.zeros_like(to_word)
+        for low in range(0, len(ids), AT_ONCE):
+            own = slice(low, low + AT_ONCE)
+            found[own], g, b = chosen(to_class, state[:, own], kind[own], grad)
+            if grad:
+                grad_class += g
+                back[:, own] = b
+        for c in np.flatnonzero(np.diff(cuts[: self.full + 1])).tolist():
+            own = slice(cuts[c], cuts[c + 1])
+            f, g, b = chosen(to_word[c], state[:, own], ids[own] - c * SLOTS, grad)
+            found[own] += f
             if grad:
-                q /= total
-                q[slot, columns] -= 1
-                back[:, at] += self.w["to_word"][c] @ q
-                grads["to_word"][c] = state @ q.T
-                grads["word_shift"][c] = q.sum(axis=1)
-        return (found, grads, back) if grad else found
+                grad_word[c] = g
+                back[:, own] += b
+        grads = {}
+        if self.per:
+            grads["bucket_out"] = self.rare_outputs(state[:-1], ids, cuts[self.full :], found, back)
+        places = np.empty_like(order)
+        places[order] = np.arange(len(order))
+        if not grad:
+            return found[places]
+        grads |= {"to_class": grad_class[:-1], "class_shift": grad_class[-1], "to_word": grad_word[:, :-1], "word_shift": grad_word[:, -1]}
+        return found[places], grads, back.take(places, axis=1)
+
+    def rare_outputs(self, states, ids, cuts, found, back):
+        """Add the buckets' part to ``found``, for tokens that lie class after class; with ``back`` also its
+        gradients to that. Gives buckets, their gradients as targets, and sums for all buckets of each class."""
+        own = slice(cuts[0], cuts[-1])
+        bucket, state, cuts = ids[own] - self.end - 1, states[:, own], cuts - cuts[0]
+        out = np.ascontiguousarray(self.w["bucket_out"].take(bucket, axis=0).T)
+        slope = np.empty(state.shape, dtype=np.float32)  # of half the quadratic form
+        for r in range(RARE):
+            slope[:, cuts[r] : cuts[r + 1]] = self.square[r] @ state[:, cuts[r] : cuts[r + 1]]
+        line = np.repeat(self.line.T, np.diff(cuts), axis=1)
+        x = np.einsum("ij,ij->j", out, state)
+        total = np.einsum("ij,ij->j", state, line + np.float32(0.5) * slope)
+        total += 1
+        x += 1
+        rise = np.float32(0.5) * (x * x + 1)  # 1 + x + x * x / 2
+        found[own] += np.log(rise / total)
+        if back is None:
+            return None
+        x /= rise
+        shared = state / total
+        back[:, own] += (line + slope) / total - x * out
+        sums = [shared[:, cuts[r] : cuts[r + 1]].sum(axis=1) for r in range(RARE)]
+        squares = [shared[:, cuts[r] : cuts[r + 1]] @ state[:, cuts[r] : cuts[r + 1]].T for r in range(RARE)]
+        return bucket, (-x * state).T, np.array(sums), np.array(squares)
 
     def backward(self, before, widths, trace, back) -> dict[str, np.ndarray]:
         """Gradients of the recurrent weights; ``back`` holds the outputs' gradients per state."""
         turn, n2 = self.w["turn"], 2 * HIDDEN
-        grad_turn = np.zeros_like(turn)
-        goes_on = (before != END).astype(np.float32)
-        dx = np.empty((3 * HIDDEN, len(before)), dtype=np.float32)
+        h, gn, gates, new = trace
+        goes_on = (before != self.end).astype(np.float32)
+        z, r = gates[:HIDDEN], gates[HIDDEN:]
+        slope = 1 - np.abs(2 * gates - 1)  # of the gate before it is halved
+        slope *= slope
+        slope *= np.float32(0.5)
+        to_z = (h - new) * slope[:HIDDEN]
+        to_r = gn * slope[HIDDEN:]
+        to_new = 1 - np.abs(new)
+        to_new *= to_new
+        to_new *= 1 - z
+        z = z * goes_on
+        dx, dg = (np.empty((3 * HIDDEN, len(before)), dtype=np.float32) for _ in range(2))
         dh, at = np.zeros((HIDDEN, 0), dtype=np.float32), len(before)
-        for m, (h, gn, gates, new) in zip(widths[::-1], trace[::-1]):
+        for m in widths[::-1]:
             own = slice(at - m, at)
             at -= m
             d = back[:, own]
             d[:, : dh.shape[1]] += dh
-            z, r = gates[:HIDDEN], gates[HIDDEN:]
-            slope = 1 - np.abs(2 * gates - 1)  # of the gate before it is halved
-            slope *= slope
-            slope *= np.float32(0.5)
-            dnew = 1 - np.abs(new)
-            dnew *= dnew
-            dnew *= d * (1 - z)
-            dg = np.empty((3 * HIDDEN, m), dtype=np.float32)
-            np.multiply(d, h - new, out=dg[:HIDDEN])
-            np.multiply(dnew, gn, out=dg[HIDDEN:n2])
-            dg[:n2] *= slope
-            dx[:n2, own] = dg[:n2]
-            dx[n2:, own] = dnew
-            np.multiply(dnew, r, out=dg[n2:])
-            grad_turn += h @ dg.T
-            dh = turn @ dg
-            dh += d * z
+            np.multiply(d, to_z[:, own], out=dg[:HIDDEN, own])
+            dnew = np.multiply(d, to_new[:, own], out=dx[n2:, own])
+            np.multiply(dnew, to_r[:, own], out=dg[HIDDEN:n2, own])
+            np.multiply(dnew, r[:, own], out=dg[n2:, own])
+            dh = turn @ dg[:, own]
             dh *= goes_on[own]
-        order = np.argsort(before.astype(np.int16), kind="stable")
-        used, first = np.unique(before[order], return_index=True)
+            dh += d * z[:, own]
+        dx[:n2] = dg[:n2]
+        grad_turn = h @ dg.T
+        rows = np.ascontiguousarray(dx.T)
         grad_in = np.zeros_like(self.w["inputs"])
-        grad_in[used] = np.add.reduceat(dx[:, order], first, axis=1).T
-        return {"turn": grad_turn, "inputs": grad_in, "shift": dx.sum(axis=1)}
+        plain = before <= self.end
+        used, sums = sums_of(before[plain].astype(np.int16), rows[plain])
+        grad_in[used] = sums
+        grads = {"turn": grad_turn, "inputs": grad_in, "shift": dx.sum(axis=1)}
+        if self.per:
+            bucket, sums = sums_of((before[~plain] - self.end - 1).astype(np.uint16), rows[~plain])
+            grads["bucket_in"] = bucket, sums
+            used, sums = sums_of((self.frequent + bucket // self.per).astype(np.int16), sums)
+            grad_in[used] += sums
+        return grads
+
+
+def chosen(weights: np.ndarray, state: np.ndarray, own: np.ndarray, grad: bool):
+    """Log softmax at ``own``; the loss's gradients to the weights and to the state, if asked for."""
+    p = weights.T @ state
+    if np.abs(weights).sum(axis=0).max() > HIGHEST:  # states lie between -1 and 1
+        np.minimum(p, HIGHEST, out=p)
+    columns = np.arange(len(own))
+    found = p[own, columns]
+    np.exp(p, out=p)
+    total = p.sum(axis=0)
+    found -= np.log(total)
+    if not grad:
+        return found, None, None
+    p[own, columns] -= total
+    over = 1 / total
+    back = weights[:-1] @ p
+    back *= over
+    return found, (state * over) @ p.T, back
+
+
+def sums_of(places: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different places in order, and the sum of the rows at each."""
+    order = np.argsort(places, kind="stable")
+    used, first = np.unique(places[order], return_index=True)
+    return used, np.add.reduceat(rows[order], first, axis=0) if len(used) else rows[:0]
 
 
 class Streams:
@@ -250,7 +370,7 @@ class Streams:
     Arrays are laid out step after step; at each step the longer streams come first.
     """
 
-    def __init__(self, ids: list[np.ndarray], most: int):
+    def __init__(self, ids: list[np.ndarray], most: int, end: int = END):
         total, longest = sum(map(len, ids)), max(map(len, ids), default=1)
         streams = max(64, min(most, total // longest))
         order = sorted(range(len(ids)), key=lambda i: -len(ids[i]))
@@ -270,7 +390,7 @@ class Streams:
             at = self.starts[: lengths[j]] + j
             flat = np.concatenate([ids[i] for i in texts])
             self.target[at] = flat
-            self.before[at] = np.concatenate([[END], flat[:-1]])
+            self.before[at] = np.concatenate([[end], flat[:-1]])
             self.owner[at] = np.repeat(texts, [len(ids[i]) for i in texts])
 
     def windows(self, steps: int):
@@ -281,8 +401,8 @@ class Streams:
 
 
 def score_ids(network: Network, ids: list[np.ndarray]) -> np.ndarray:
-    """log10 probability per text, without the share of rare words within their classes."""
-    streams = Streams(ids, STREAMS)
+    """log10 probability per text, without the rare words' own parts of their classes."""
+    streams = Streams(ids, STREAMS, network.end)
     found = np.empty(len(streams.target))
     h = np.zeros((HIDDEN, streams.widths[0] if len(ids) else 0), dtype=np.float32)
     for own, widths in streams.windows(SCORED):
@@ -292,27 +412,62 @@ def score_ids(network: Network, ids: list[np.ndarray]) -> np.ndarray:
 
 
 class Trainer:
-    """Adagrad over windows."""
+    """Adagrad over windows; vectors of buckets by the sums, not the means, of their gradients."""
 
-    def __init__(self, network: Network, rate: float = 0.3):
-        self.network, self.rate, self.tokens = network, rate, 0
-        self.squares = {n: np.full(s, 1e-3, dtype=np.float32) for n, s in SHAPES.items()}
+    def __init__(self, network: Network, rate: float = 0.2, bucket_rate: float = 0.3):
+        self.network, self.rate, self.bucket_rate, self.tokens = network, rate, bucket_rate, 0
+        self.squares = {n: np.full(network.w[n].shape, 1e-8, dtype=np.float32) for n in SHAPES}
+        if network.per:
+            self.squares |= {n: np.ones(network.w[n].shape, dtype=np.float32) for n in ("bucket_in", "bucket_out")}
+            self.seen = np.zeros(len(network.w["share"]), dtype=np.int64)  # tokens in each bucket
 
     def learn(self, ids: list[np.ndarray]) -> None:
-        w = self.network.w
-        streams = Streams([i[low : low + SPAN] for i in ids for low in range(0, len(i), SPAN)], LEARNED)
+        w, end = self.network.w, self.network.end
+        streams = Streams([i[low : low + SPAN] for i in ids for low in range(0, len(i), SPAN)], LEARNED, end)
         h = np.zeros((HIDDEN, streams.widths[0] if len(ids) else 0), dtype=np.float32)
+        held = []
         for own, widths in streams.windows(WINDOW):
             before = streams.before[own]
             states, h, trace = self.network.forward(before, h, widths, keep=True)
             _, grads, back = self.network.outputs(states, streams.target[own], grad=True)
             grads |= self.network.backward(before, widths, trace, back)
             scale = np.float32(1.0 / (WINDOW * streams.widths[0]))  # a window with few streams weighs little
-            for n, g in grads.items():
-                g = g * scale
+            for n in SHAPES:
+                g = grads[n] * scale
                 self.squares[n] += g * g
-                w[n] -= np.float32(self.rate) * g / np.sqrt(self.squares[n])
+                g /= np.sqrt(self.squares[n])
+                g *= np.float32(self.rate)
+                w[n] -= g
+            if self.network.per:
+                rows, g = grads["bucket_in"]
+                self.squares["bucket_in"][rows] += g * g
+                w["bucket_in"][rows] -= np.float32(self.bucket_rate) * g / np.sqrt(self.squares["bucket_in"][rows])
+                held.append(grads["bucket_out"])
+                if len(held) == OUT_EVERY:
+                    self.change_outputs(held)
+                    held = []
             self.tokens += len(before)
+        if held:
+            self.change_outputs(held)
+        if self.network.per:
+            places = streams.target[streams.target > end] - end - 1
+            self.seen += np.bincount(places, minlength=len(self.seen))
+
+    def change_outputs(self, held: list) -> None:
+        net = self.network
+        out, squares = net.w["bucket_out"], self.squares["bucket_out"]
+        sums, quads = sum(s for _, _, s, _ in held), sum(q for _, _, _, q in held)
+        g = np.matmul(out.reshape(RARE, net.per, HIDDEN), quads)
+        g += sums[:, None, :]
+        g = g.reshape(out.shape)
+        g *= net.w["share"][:, None]
+        rows, own = sums_of(np.concatenate([b for b, *_ in held]).astype(np.uint16), np.concatenate([x for _, x, *_ in held]))
+        g[rows] += own
+        squares += g * g
+        g /= np.sqrt(squares)
+        g *= np.float32(self.bucket_rate)
+        out -= g
+        net.sum_up()
 
 
 # --- the corpus -----------------------------------------------------------------------------
@@ -320,56 +475,110 @@ class Trainer:
 
 def rows_of(docs: DataFrame, key: Column, text: Column, held_out: Column) -> DataFrame:
     body = F.coalesce(text.cast("string"), F.lit(""))
-    return docs.select(
-        body.alias("text"), key.cast("long").alias("doc_id"), F.xxhash64(body).alias("h"), held_out.alias("held_out")
-    )
+    return docs.select(body.alias("text"), key.cast("long").alias("doc_id"), held_out.alias("held_out"))
+
 
+def packed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
-POSTINGS = "piece long, word string, n_train long, entries binary, doc_ids array<bigint>, hashes array<bigint>, held array<boolean>, sizes array<bigint>"
+
+def unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def packed_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32, first all their lowest bytes, and so on."""
+    return packed(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked_numbers(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(unpacked(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def gathered(batches, most: int = PIECE, most_rows: int = PIECE_ROWS):
+    """Texts, keys and marks of a piece: whole batches or parts of them up to ``most`` bytes, or one row."""
+    texts, keys, held, size = [], [], [], 0
+    for batch in (b.slice(low, 512) for b in batches for low in range(0, b.num_rows, 512)):
+        for text, key, mark in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            data = text.encode()
+            if texts and (size + len(data) > most or len(texts) == most_rows):
+                yield texts, keys, held
+                texts, keys, held, size = [], [], [], 0
+            texts.append(data)
+            keys.append(key)
+            held.append(bool(mark))
+            size += len(data)
+    if texts:
+        yield texts, keys, held
+
+
+POSTINGS = "piece long, word string, n_train long, entries binary, doc_ids array<bigint>, held array<boolean>, sizes array<bigint>, words binary, codes binary"
 
 
 def postings(rows: DataFrame) -> DataFrame:
-    """Per piece one row of its texts, and a row per word; an entry is ``text << 16 | times``."""
+    """Per piece one row of its texts, and a row per word; an entry is ``text << 16 | times``.
+
+    The row of texts holds the piece's different words and, text after text, their numbers.
+    """
     names = [c.split()[0] for c in POSTINGS.split(", ")]
     many = pa.list_(pa.int64())
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.binary(), many, many, pa.list_(pa.bool_()), many]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.binary(), many, pa.list_(pa.bool_()), many, pa.binary(), pa.binary()]
 
     def run(batches):
         number = TaskContext.get().partitionId() << 32
-        for rows in pieces(batches, "text", PIECE):
-            for low in range(0, rows.num_rows, 1 << 15):
-                part = rows.slice(low, 1 << 15)
-                ids: dict[bytes, int] = {}
-                codes = []
-                for text in texts_of(part.column(0)):
-                    words = text.encode().lower().split()
-                    codes.append(np.fromiter([ids.setdefault(w, len(ids)) for w in words], np.int64, len(words)))
-                held = np.asarray(part.column(3).to_pylist(), dtype=bool)
-                sizes = np.array([len(c) for c in codes], dtype=np.int64)
-                pair = np.concatenate(codes) << 15 | np.repeat(np.arange(len(codes)), sizes)
-                pair, times = np.unique(pair, return_counts=True)
-                more = -(-times // 0xFFFF)  # a time that takes more than 16 bits fills several entries
-                pair, left = np.repeat(pair, more), np.minimum(np.repeat(times, more), 0xFFFF)
-                last = np.cumsum(more) - 1
-                left[last] = times - 0xFFFF * (more - 1)
-                word, text_no = pair >> 15, pair & 0x7FFF
-                train = np.bincount(word, weights=np.where(held[text_no], 0, left), minlength=len(ids)).astype(np.int64)
-                entries = (text_no << 16 | left).astype("<u4")
-                offsets = (4 * np.searchsorted(word, np.arange(len(ids) + 1))).astype(np.int32)
-                n = len(ids)
-                binary = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(entries.tobytes())])
-                texts = pa.array([w.decode() for w in ids], pa.string())
-                nulls = [pa.nulls(n, k) for k in kinds[4:]]
-                piece = pa.array(np.full(n, number, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([piece, texts, pa.array(train), binary, *nulls], names=names)
-                lists = [part.column(1).to_pylist(), part.column(2).to_pylist(), held.tolist(), (sizes + 1).tolist()]
-                first = [pa.array([number]), pa.array([None], pa.string()), pa.array([None], pa.int64()), pa.array([None], pa.binary())]
-                yield pa.RecordBatch.from_arrays([*first, *[pa.array([v], k) for v, k in zip(lists, kinds[4:])]], names=names)
-                number += 1
+        for part, keys, marks in gathered(batches):
+            ids: defaultdict[bytes, int] = defaultdict(count().__next__)
+            codes = []
+            for i, text in enumerate(part):
+                words = text.lower().split()
+                part[i] = None
+                codes.append(np.fromiter(map(ids.__getitem__, words), np.uint32, len(words)))
+            held = np.asarray(marks, dtype=bool)
+            sizes = np.array([len(c) for c in codes], dtype=np.int64)
+            flat = np.concatenate(codes)
+            del codes
+            pair = flat.astype(np.int64) << 15 | np.repeat(np.arange(len(part)), sizes)
+            pair, times = np.unique(pair, return_counts=True)
+            more = -(-times // 0xFFFF)  # a time that takes more than 16 bits fills several entries
+            pair, left = np.repeat(pair, more), np.minimum(np.repeat(times, more), 0xFFFF)
+            last = np.cumsum(more) - 1
+            left[last] = times - 0xFFFF * (more - 1)
+            word, text_no = pair >> 15, pair & 0x7FFF
+            n = len(ids)
+            train = np.bincount(word, weights=np.where(held[text_no], 0, left), minlength=n).astype(np.int64)
+            entries = (text_no << 16 | left).astype("<u4")
+            offsets = 4 * np.searchsorted(word, np.arange(n + 1))
+            listed = list(ids)
+            del pair, times, more, last, ids
+            lists = [keys, marks, (sizes + 1).tolist(), packed(b" ".join(listed)), packed_numbers(flat)]
+            del flat
+            first = [pa.array([number]), *[pa.nulls(1, k) for k in kinds[1:4]]]
+            yield pa.RecordBatch.from_arrays([*first, *[pa.array([v], k) for v, k in zip(lists, kinds[4:])]], names=names)
+            for low in range(0, n, 1 << 16):
+                high = min(n, low + (1 << 16))
+                own = entries[offsets[low] // 4 : offsets[high] // 4]
+                cuts = (offsets[low : high + 1] - offsets[low]).astype(np.int32)
+                binary = pa.Array.from_buffers(pa.binary(), high - low, [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(own.tobytes())])
+                texts = pa.array([w.decode() for w in listed[low:high]], pa.string())
+                piece = pa.array(np.full(high - low, number, dtype=np.int64))
+                nulls = [pa.nulls(high - low, k) for k in kinds[4:]]
+                yield pa.RecordBatch.from_arrays([piece, texts, pa.array(train[low:high]), binary, *nulls], names=names)
+            number += 1
 
     return rows.mapInArrow(run, POSTINGS)
 
 
+def ids_of_pieces(batches, ids: Ids):
+    """``piece, ids per text, held`` for rows ``piece, words, codes, held, sizes``."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            piece, words, codes, held, sizes = (batch.column(c)[r].as_py() for c in range(5))
+            end = np.int32(ids.first - 1)
+            flat = np.append(ids.of(unpacked(words).split()), end)[unpacked_numbers(codes)]
+            cuts = segments(np.array(sizes, dtype=np.int64) - 1)
+            yield piece, [np.append(flat[a:b], end) for a, b in zip(cuts, cuts[1:])], held
+
+
 SUMS = "piece long, at binary, base binary, share binary, known binary"
 
 
@@ -417,11 +626,11 @@ def sums_per_piece(joined: DataFrame) -> DataFrame:
 
 
 def texts_from_sums(sums: DataFrame, texts: DataFrame) -> DataFrame:
-    """``doc_id, h, held_out, n_tokens, n_known, base, share`` per text."""
-    schema = "doc_id long, h long, held_out boolean, n_tokens long, n_known long, base double, share double"
-    empty = [F.lit(None).cast(k).alias(n) for n, k in (("doc_ids", "array<bigint>"), ("hashes", "array<bigint>"), ("held", "array<boolean>"), ("sizes", "array<bigint>"))]
+    """``doc_id, held_out, n_tokens, n_known, base, share`` per text."""
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, share double"
+    empty = [F.lit(None).cast(k).alias(n) for n, k in (("doc_ids", "array<bigint>"), ("held", "array<boolean>"), ("sizes", "array<bigint>"))]
     blobs = [F.lit(None).cast("binary").alias(c) for c in ("at", "base", "share", "known")]
-    rows = sums.select("*", *empty).unionByName(texts.select("piece", *blobs, "doc_ids", "hashes", "held", "sizes"))
+    rows = sums.select("*", *empty).unionByName(texts.select("piece", *blobs, "doc_ids", "held", "sizes"))
 
     def finish(table: pa.Table) -> pa.Table:
         own = table.to_pylist()
@@ -434,50 +643,98 @@ def texts_from_sums(sums: DataFrame, texts: DataFrame) -> DataFrame:
                     total[i, at] += np.frombuffer(r[name])
         return pa.table(
             {
-                "doc_id": pa.array(head["doc_ids"], pa.int64()), "h": pa.array(head["hashes"], pa.int64()),
-                "held_out": pa.array(head["held"], pa.bool_()), "n_tokens": pa.array(head["sizes"], pa.int64()),
-                "n_known": np.rint(total[2]).astype(np.int64), "base": total[0], "share": total[1],
+                "doc_id": pa.array(head["doc_ids"], pa.int64()), "held_out": pa.array(head["held"], pa.bool_()),
+                "n_tokens": pa.array(head["sizes"], pa.int64()), "n_known": np.rint(total[2]).astype(np.int64),
+                "base": total[0], "share": total[1],
             }
         )
 
     return rows.groupBy("piece").applyInArrow(finish, schema)
 
 
-def train(rows: DataFrame, start: Network, frequent: list[bytes]) -> Network:
-    """The average of what the tasks learn from the training texts, weighted by tokens."""
-    shared = rows.sparkSession.sparkContext.broadcast((start.flat(), frequent))
+LEARNT = "block long, places binary, n binary, w binary"
+
+
+def learnt_blocks(trainer: Trainer):
+    """Rows ``block, places, n, w``: weights, and vectors of the buckets that occurred; ``n`` are tokens."""
+    names = [c.split()[0] for c in LEARNT.split(", ")]
+    row = lambda block, places, n, w: pa.RecordBatch.from_arrays(
+        [pa.array([block]), *[pa.array([x.tobytes()], pa.binary()) for x in (places.astype("<i4"), n.astype("<f8"), w.astype("<f4"))]], names=names
+    )
+    flat, net, size = trainer.network.flat(), trainer.network, 4 * HIDDEN * BLOCK
+    for i in range(-(-len(flat) // size)):
+        yield row(-1 - i, np.zeros(1), np.array([trainer.tokens]), flat[i * size : (i + 1) * size])
+    for block in range(-(-len(trainer.seen) // BLOCK)):
+        own = slice(block * BLOCK, (block + 1) * BLOCK)
+        places = np.flatnonzero(trainer.seen[own])
+        if len(places):
+            both = np.hstack([net.w["bucket_in"][own], net.w["bucket_out"][own]])
+            yield row(block, places, trainer.seen[own][places], both[places])
+
+
+def mean_block(table: pa.Table) -> pa.Table:
+    rows = table.to_pylist()
+    block = rows[0]["block"]
+    total, weight = 0, np.zeros((BLOCK if block >= 0 else 1, 1))
+    for r in rows:
+        places, n = np.frombuffer(r["places"], "<i4"), np.frombuffer(r["n"])[:, None]
+        w = np.frombuffer(r["w"], "<f4").reshape(len(places), -1)
+        if isinstance(total, int):
+            total = np.zeros((len(weight), w.shape[1]))
+        total[places] += n * w
+        weight[places] += n
+    at = np.flatnonzero(weight)
+    mean = (total[at] / weight[at]).astype("<f4")
+    return pa.table({"block": [block], "places": [at.astype("<i4").tobytes()], "n": [weight[at].tobytes()], "w": [mean.tobytes()]}, schema=table.schema)
+
+
+def train(texts: DataFrame, start: Network, frequent: list[bytes]) -> Network:
+    """The mean of what the tasks learn from the training texts, weighted by tokens."""
+    shared = texts.sparkSession.sparkContext.broadcast((start.w, frequent))
 
     def run(batches):
-        flat, words = shared.value
-        trainer, ids = Trainer(Network.from_flat(flat.copy())), Ids(words)
-        for part in pieces(batches, "text", RUN):
-            trainer.learn([ids.of(t) for t in texts_of(part.column(0))])
+        weights, words = shared.value
+        trainer = Trainer(Network({n: v.copy() for n, v in weights.items()}))
+        ids = Ids(words, trainer.network.frequent, len(weights["share"]))
+        for _, own, held in ids_of_pieces(batches, ids):
+            trainer.learn([i for i, h in zip(own, held) if not h])
         if trainer.tokens:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([trainer.tokens]), pa.array([trainer.network.flat().astype(np.float64)], pa.list_(pa.float64()))], names=["n", "w"]
-            )
-
-    learned = rows.where(~F.col("held_out")).select("text").mapInArrow(run, "n long, w array<double>")
-    mean = F.sum(F.col("v") * F.col("n")) / F.sum("n")
-    found = learned.select("n", F.posexplode("w").alias("pos", "v")).groupBy("pos").agg(mean.alias("v")).collect()
-    flat = start.flat()
+            yield from learnt_blocks(trainer)
+
+    learnt = texts.select("piece", "words", "codes", "held", "sizes").mapInArrow(run, LEARNT)
+    # means of means: a group holds the blocks of a sixteenth of the tasks, then one block of each
+    some = learnt.withColumn("part", F.spark_partition_id() % 16)
+    partly = some.groupBy("block", "part").applyInArrow(lambda t: mean_block(t.drop_columns(["part"])), LEARNT)
+    found = partly.groupBy("block").applyInArrow(mean_block, LEARNT).collect()
+    if not found:
+        return start
+    network = Network({n: v.copy() for n, v in start.w.items()})
+    network.fill(np.concatenate([np.frombuffer(r.w, "<f4") for r in sorted(found, key=lambda r: -r.block) if r.block < 0]))
     for r in found:
-        flat[r.pos] = r.v
-    return Network.from_flat(flat)
+        if r.block >= 0:
+            at = r.block * BLOCK + np.frombuffer(r.places, "<i4")
+            both = np.frombuffer(r.w, "<f4").reshape(len(at), -1)
+            network.w["bucket_in"][at], network.w["bucket_out"][at] = both[:, : 3 * HIDDEN], both[:, 3 * HIDDEN :]
+    return network
 
 
-def run_network(rows: DataFrame, network: Network, frequent: list[bytes]) -> DataFrame:
-    """``doc_id, h, found``: the network's part of the score."""
-    shared = rows.sparkSession.sparkContext.broadcast((network.flat(), frequent))
+def run_network(texts: DataFrame, network: Network, frequent: list[bytes]) -> DataFrame:
+    """The network's part of the score, as ``share`` of ``SUMS``."""
+    shared = texts.sparkSession.sparkContext.broadcast((network.w, frequent))
 
     def run(batches):
-        flat, words = shared.value
-        network, ids = Network.from_flat(flat), Ids(words)
-        for part in pieces(batches, "text", RUN):
-            found = score_ids(network, [ids.of(t) for t in texts_of(part.column(0))])
-            yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(found)], names=["doc_id", "h", "found"])
+        weights, words = shared.value
+        network = Network(weights)
+        ids = Ids(words, network.frequent, len(weights["share"]))
+        for piece, own, _ in ids_of_pieces(batches, ids):
+            found = score_ids(network, own)
+            none = np.zeros(len(own)).tobytes()
+            blobs = (np.arange(len(own), dtype="<i4").tobytes(), none, found.tobytes(), none)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([piece]), *[pa.array([b], pa.binary()) for b in blobs]], names=[c.split()[0] for c in SUMS.split(", ")]
+            )
 
-    return rows.select("text", "doc_id", "h").mapInArrow(run, "doc_id long, h long, found double")
+    return texts.select("piece", "words", "codes", "held", "sizes").mapInArrow(run, SUMS)
 
 
 def score(docs: DataFrame, key: Column, text: Column, held_out: Column) -> DataFrame:
@@ -493,40 +750,38 @@ def score(docs: DataFrame, key: Column, text: Column, held_out: Column) -> DataF
     ends = texts.select(F.aggregate("held", F.lit(0).cast("long"), lambda a, x: a + F.when(x, 0).otherwise(1)).alias("n")).agg(F.sum("n")).first()[0] or 0
     sums = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, v = sums[0] + ends, sums[1] + (ends > 0)
-    top = counted.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
+    size, buckets = sizes_for(sums[1])
+    top = counted.orderBy(F.desc("c"), "word").limit(size).collect()
     frequent = [r.word.encode() for r in top]
-    listed = F.broadcast(docs.sparkSession.createDataFrame([(r.word,) for r in top], "word string"))  # FREQUENT rows
-    rare = counted.join(listed, "word", "left_anti").groupBy(rare_class_of(F.col("word")).alias("kind"))
-    masses, kinds = np.zeros(RARE), np.zeros(CLASSES)
-    mass = np.full(RARE, 0.5)
+    listed = F.broadcast(docs.sparkSession.createDataFrame([(r.word, r.c) for r in top], "word string, c long"))  # the model's frequent words
+    rare = counted.join(listed, "word", "left_anti").groupBy(bucket_of(F.col("word"), buckets).alias("bucket"))
+    full = size // SLOTS
+    held, masses = np.full(buckets, 0.5), np.zeros(buckets)
     for r in rare.agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
-        mass[r.kind] = r.c + 0.5 * (r.v + 1)
-        masses[r.kind] = r.c
-    counts = np.zeros(FREQUENT, dtype=np.int64)
+        held[r.bucket] += r.c + 0.5 * r.v
+        masses[r.bucket] = r.c
+    counts, kinds = np.zeros(size, dtype=np.int64), np.zeros(full + RARE + 1)
     counts[: len(top)] = [r.c for r in top]
-    kinds[:FULL] = counts.reshape(FULL, SLOTS).sum(axis=1)
-    kinds[FULL : FULL + RARE], kinds[-1] = masses, ends
-    network = train(rows, Network.start(counts, kinds), frequent)
+    kinds[:full] = counts.reshape(full, SLOTS).sum(axis=1)
+    kinds[full : full + RARE], kinds[-1] = masses.reshape(RARE, -1).sum(axis=1), ends
+    network = train(texts, Network.start(counts, kinds, buckets=held), frequent)
 
     unit = n + 0.5 * (v + 1)
     c = F.coalesce("c", F.lit(0))
-    share = F.log10((c + 0.5) / F.element_at(F.array(*[F.lit(float(m)) for m in mass]), rare_class_of(F.col("word")) + 1))
-    known = counted.join(listed.withColumn("top", F.lit(True)), "word", "left")
-    joined = words.select("piece", "word", "entries").join(known, "word", "left").select(
-        "piece", "entries", F.log10((c + 0.5) / F.lit(unit)).alias("base"),
-        F.when(F.col("top"), 0.0).otherwise(share).alias("share"), (c > 0).cast("double").alias("known"),
+    mass = F.array(*[F.lit(float(m)) for m in held.reshape(RARE, -1).sum(axis=1)])
+    share = F.log10((c + 0.5) / F.element_at(mass, rare_class_of(F.col("word")) + 1))
+    base = F.log10((c + 0.5) / F.lit(unit)).alias("base")
+    own = words.select("piece", "word", "entries")
+    # words that every piece holds need no shuffle, in which each would come to one task
+    often = own.join(listed, "word").select("piece", "entries", base, F.lit(0.0).alias("share"), F.lit(1.0).alias("known"))
+    others = own.join(listed, "word", "left_anti").join(counted, "word", "left").select(
+        "piece", "entries", base, share.alias("share"), (c > 0).cast("double").alias("known")
     )
-    per_text = texts_from_sums(sums_per_piece(joined), texts)
-    found = per_text.select("doc_id", "h", "held_out", "n_tokens", "n_known", "base", "share", F.lit(None).cast("double").alias("found"))
-    empty = [F.lit(None).cast(k).alias(c) for c, k in (("held_out", "boolean"), ("n_tokens", "long"), ("n_known", "long"), ("base", "double"), ("share", "double"))]
-    other = run_network(rows, network, frequent).select("doc_id", "h", *empty, "found")
+    joined = often.unionByName(others)
+    per_text = texts_from_sums(sums_per_piece(joined).unionByName(run_network(texts, network, frequent)), texts)
     end = float(np.log10((ends + 0.5) / unit))
-    both = found.unionByName(other).groupBy("doc_id", "h").agg(
-        F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.max("n_known").alias("n_known"),
-        F.max("base").alias("base"), F.max("share").alias("share"), F.max("found").alias("found"), F.count("found").cast("int").alias("copies"),
-    )
-    return both.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(
+    return per_text.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + (1 if ends else 0)).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + F.lit(end)).alias("base_score"),
-        (F.col("found") + F.col("share")).alias("score"),
+        F.col("share").alias("score"),
     )
