@@ -22,8 +22,8 @@ tokens in it.
 
 Word counts cover the whole training corpus. A piece of the corpus is cut into words once and
 written as postings (word, texts of the piece with it, times) and as its words with the texts' word
-numbers, which training and scoring read. Counts and postings meet by word, those of frequent words
-by broadcast, and sums come back per text, so no task or driver holds a vocabulary that grows.
+numbers, which training and scoring read. Counts and postings meet in one join by word, and sums
+come back per text, so no task or driver holds a vocabulary that grows.
 
 Defined cases: null and empty texts are an end only; rows equal in key and text are scored alike, up
 to the rounding of sums, and come back as often as given; a null key is a key of its own; without
@@ -60,7 +60,7 @@ STREAMS = 1024  # at most side by side in scoring, fewer if the longest text wou
 LEARNED = 400  # at most side by side in training
 AT_ONCE = 4096  # tokens whose class probabilities lie in memory
 OUT_EVERY = 4  # windows after which output vectors of buckets change
-PIECE = 16 << 20  # text bytes of a piece, or one row
+PIECE = 24 << 20  # text bytes of a piece, or one row
 PIECE_ROWS = 1 << 15
 BLOCK = 256  # buckets whose vectors travel together
 
@@ -770,14 +770,11 @@ def score(docs: DataFrame, key: Column, text: Column, held_out: Column) -> DataF
     c = F.coalesce("c", F.lit(0))
     mass = F.array(*[F.lit(float(m)) for m in held.reshape(RARE, -1).sum(axis=1)])
     share = F.log10((c + 0.5) / F.element_at(mass, rare_class_of(F.col("word")) + 1))
-    base = F.log10((c + 0.5) / F.lit(unit)).alias("base")
-    own = words.select("piece", "word", "entries")
-    # words that every piece holds need no shuffle, in which each would come to one task
-    often = own.join(listed, "word").select("piece", "entries", base, F.lit(0.0).alias("share"), F.lit(1.0).alias("known"))
-    others = own.join(listed, "word", "left_anti").join(counted, "word", "left").select(
-        "piece", "entries", base, share.alias("share"), (c > 0).cast("double").alias("known")
+    known = counted.join(listed.select("word", F.lit(True).alias("top")), "word", "left")
+    joined = words.select("piece", "word", "entries").join(known, "word", "left").select(
+        "piece", "entries", F.log10((c + 0.5) / F.lit(unit)).alias("base"),
+        F.when(F.col("top"), 0.0).otherwise(share).alias("share"), (c > 0).cast("double").alias("known"),
     )
-    joined = often.unionByName(others)
     per_text = texts_from_sums(sums_per_piece(joined).unionByName(run_network(texts, network, frequent)), texts)
     end = float(np.log10((ends + 0.5) / unit))
     return per_text.select(
