@@ -23,7 +23,9 @@ tokens in it.
 Word counts cover the whole training corpus. A piece of the corpus is cut into words once and
 written as postings (word, texts of the piece with it, times) and as its words with the texts' word
 numbers, which training and scoring read. Counts and postings meet in one join by word, and sums
-come back per text, so no task or driver holds a vocabulary that grows.
+come back per text, so no task or driver holds a vocabulary that grows. The frequent words, which make
+up most entries, stay out of that join: every task has them with the model and sums them itself. A rare
+word's part of its class is its base score plus a constant of the class, so one sum serves both scores.
 
 Defined cases: null and empty texts are an end only; rows equal in key and text are scored alike, up
 to the rounding of sums, and come back as often as given; a null key is a key of its own; without
@@ -35,11 +37,12 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import defaultdict
-from itertools import count
+from itertools import repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,7 +73,11 @@ BLOCK = 256  # buckets whose vectors travel together
 
 def rare_class(word: bytes) -> int:
     """Class of a word that is not frequent: length and kind of the last character."""
-    return 2 * min(3, (len(word) - 1) // 4) + (97 <= word[-1] <= 122)
+    return int(rare_classes(len(word), word[-1]))
+
+
+def rare_classes(sizes, last):
+    return 2 * np.minimum(3, (sizes - 1) // 4) + ((last >= 97) & (last <= 122))
 
 
 def rare_class_of(word: Column) -> Column:
@@ -93,20 +100,20 @@ def sizes_for(words: int) -> tuple[int, int]:
 class Ids(dict):
     """Id of a word in the model: rank of a frequent word, else the place of its bucket after the end."""
 
-    def __init__(self, words: list[bytes], frequent: int, buckets: int, most: int = 1 << 18):
+    def __init__(self, words: list[bytes], frequent: int, buckets: int, most: int = 1 << 16):
         super().__init__((w, i) for i, w in enumerate(words))
-        self.words, self.most = words, most
+        self.most = most  # words handled at once
         self.first, self.per = frequent + RARE + 1, buckets // RARE
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > self.most:
-            self.clear()
-            self.update((w, i) for i, w in enumerate(self.words))
-        found = self[word] = self.first + rare_class(word) * self.per + zlib.crc32(word) % self.per
-        return found
-
     def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        found = np.fromiter(map(self.get, words, repeat(-1)), np.int32, len(words))
+        for low in range(0, len(words), self.most):
+            rare = low + np.flatnonzero(found[low : low + self.most] < 0)
+            own, n = [words[i] for i in rare.tolist()], len(rare)
+            sizes, last = np.fromiter(map(len, own), np.int64, n), np.fromiter(map(itemgetter(-1), own), np.int64, n)
+            hashes = np.fromiter(map(zlib.crc32, own), np.int64, n)
+            found[rare] = self.first + rare_classes(sizes, last) * self.per + hashes % self.per
+        return found
 
 
 # --- the network ----------------------------------------------------------------------------
@@ -196,18 +203,22 @@ class Network:
 
     # Arrays of states and gradients have a row per feature and a column per token.
 
-    def forward(self, before: np.ndarray, h: np.ndarray, widths: list[int], keep: bool):
-        """States after each step of a window. ``before`` holds the previous ids, step after step;
-        the first ``widths[t]`` streams are still running at step t. The state restarts after an end."""
-        x = (self.w["inputs"] + self.w["shift"]).take(self.base(before), axis=0)
+    def inputs(self, ids: np.ndarray) -> np.ndarray:
+        """Input vectors with their shifts, one after another."""
+        x = (self.w["inputs"] + self.w["shift"]).take(self.base(ids), axis=0)
         if self.per:
-            rare = np.flatnonzero(before > self.end)
-            x[rare] += self.w["bucket_in"].take(before[rare] - self.end - 1, axis=0)
-        x = np.ascontiguousarray(x.T)
+            rare = np.flatnonzero(ids > self.end)
+            x[rare] += self.w["bucket_in"].take(ids[rare] - self.end - 1, axis=0)
+        return x
+
+    def forward(self, before: np.ndarray, h: np.ndarray, widths: list[int], keep: bool, vectors: np.ndarray | None = None):
+        """States after each step of a window. ``before`` holds the previous ids, step after step;
+        the first ``widths[t]`` streams are still running at step t. The state restarts after an end.
+        ``vectors`` are the inputs of all ids, if at hand."""
+        x = np.ascontiguousarray((self.inputs(before) if vectors is None else vectors.take(before, axis=0)).T)
         goes_on = (before != self.end).astype(np.float32)
         turn, n2 = np.ascontiguousarray(self.w["turn"].T), 2 * HIDDEN
-        states, at = np.empty((HIDDEN, len(before)), dtype=np.float32), 0
-        trace = [np.empty((k * HIDDEN, len(before) if keep else 0), dtype=np.float32) for k in (1, 1, 2, 1)]
+        states, trace, at = [], ([], [], [], []), 0
         half = np.float32(0.5)
         for m in widths:
             own = slice(at, at + m)
@@ -224,12 +235,12 @@ class Network:
             after = h - new
             after *= gates[:HIDDEN]
             after += new
-            states[:, own] = after
+            states.append(after)
             if keep:
                 for kept, values in zip(trace, (h, g[n2:], gates, new)):
-                    kept[:, own] = values
+                    kept.append(values)
             h = after
-        return states, h, trace
+        return np.concatenate(states, axis=1), h, [np.concatenate(kept, axis=1) for kept in trace if kept]
 
     def outputs(self, h: np.ndarray, ids: np.ndarray, grad: bool):
         """Natural log probabilities of ``ids`` after states ``h``, without the rare words' own parts of
@@ -324,17 +335,15 @@ class Network:
             dh += d * z[:, own]
         dx[:n2] = dg[:n2]
         grad_turn = h @ dg.T
-        rows = np.ascontiguousarray(dx.T)
         grad_in = np.zeros_like(self.w["inputs"])
-        plain = before <= self.end
-        used, sums = sums_of(before[plain].astype(np.int16), rows[plain])
-        grad_in[used] = sums
+        used, sums = sums_of(before, dx)
+        plain = np.searchsorted(used, self.end, side="right")
+        grad_in[used[:plain]] = sums[:plain]
         grads = {"turn": grad_turn, "inputs": grad_in, "shift": dx.sum(axis=1)}
         if self.per:
-            bucket, sums = sums_of((before[~plain] - self.end - 1).astype(np.uint16), rows[~plain])
-            grads["bucket_in"] = bucket, sums
-            used, sums = sums_of((self.frequent + bucket // self.per).astype(np.int16), sums)
-            grad_in[used] += sums
+            grads["bucket_in"] = bucket, sums = used[plain:] - self.end - 1, sums[plain:]
+            used, sums = sums_of(bucket // self.per, sums.T)
+            grad_in[self.frequent + used] += sums
         return grads
 
 
@@ -352,16 +361,22 @@ def chosen(weights: np.ndarray, state: np.ndarray, own: np.ndarray, grad: bool):
         return found, None, None
     p[own, columns] -= total
     over = 1 / total
-    back = weights[:-1] @ p
+    # numpy multiplies these several times as fast with the long side first
+    back = (p.T @ np.ascontiguousarray(weights[:-1].T)).T
     back *= over
-    return found, (state * over) @ p.T, back
+    return found, (p @ (state * over).T).T, back
 
 
-def sums_of(places: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different places in order, and the sum of the rows at each."""
-    order = np.argsort(places, kind="stable")
-    used, first = np.unique(places[order], return_index=True)
-    return used, np.add.reduceat(rows[order], first, axis=0) if len(used) else rows[:0]
+def sums_of(places: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different places in order, and for each a row of the sums of its columns of ``values``."""
+    times = np.bincount(places)
+    used = np.flatnonzero(times)
+    times[used] = np.arange(len(used))
+    number = times[places]
+    sums = np.empty((len(used), len(values)), dtype=np.float32)
+    for i, v in enumerate(values):
+        sums[:, i] = np.bincount(number, weights=v, minlength=len(used))
+    return used, sums
 
 
 class Streams:
@@ -405,8 +420,9 @@ def score_ids(network: Network, ids: list[np.ndarray]) -> np.ndarray:
     streams = Streams(ids, STREAMS, network.end)
     found = np.empty(len(streams.target))
     h = np.zeros((HIDDEN, streams.widths[0] if len(ids) else 0), dtype=np.float32)
+    vectors = network.inputs(np.arange(network.end + 1 + RARE * network.per))
     for own, widths in streams.windows(SCORED):
-        states, h, _ = network.forward(streams.before[own], h, widths, keep=False)
+        states, h, _ = network.forward(streams.before[own], h, widths, keep=False, vectors=vectors)
         found[own] = network.outputs(states, streams.target[own], grad=False)
     return np.bincount(streams.owner, weights=found, minlength=len(ids)) / np.log(10)
 
@@ -461,7 +477,7 @@ class Trainer:
         g += sums[:, None, :]
         g = g.reshape(out.shape)
         g *= net.w["share"][:, None]
-        rows, own = sums_of(np.concatenate([b for b, *_ in held]).astype(np.uint16), np.concatenate([x for _, x, *_ in held]))
+        rows, own = sums_of(np.concatenate([b for b, *_ in held]), np.concatenate([x.T for _, x, *_ in held], axis=1))
         g[rows] += own
         squares += g * g
         g /= np.sqrt(squares)
@@ -512,6 +528,24 @@ def gathered(batches, most: int = PIECE, most_rows: int = PIECE_ROWS):
         yield texts, keys, held
 
 
+def coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
+    """Numbers of all words in order of first sight, the texts' numbers of words, and the different words.
+
+    ``texts`` is emptied.
+    """
+    column = pa.array(texts, pa.string())
+    texts.clear()
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(column))  # ASCII letters and ASCII white space only
+    del column
+    words = lists.flatten()
+    real = pc.greater(pc.binary_length(words), 0)  # white space at an end of a text leaves an empty word
+    before = segments(real.to_numpy(zero_copy_only=False))
+    sizes = np.diff(before[lists.offsets.to_numpy()])
+    del lists
+    found = words.filter(real).dictionary_encode()
+    return found.indices.to_numpy().astype(np.uint32), sizes, found.dictionary
+
+
 POSTINGS = "piece long, word string, n_train long, entries binary, doc_ids array<bigint>, held array<boolean>, sizes array<bigint>, words binary, codes binary"
 
 
@@ -527,31 +561,23 @@ def postings(rows: DataFrame) -> DataFrame:
     def run(batches):
         number = TaskContext.get().partitionId() << 32
         for part, keys, marks in gathered(batches):
-            ids: defaultdict[bytes, int] = defaultdict(count().__next__)
-            codes = []
-            for i, text in enumerate(part):
-                words = text.lower().split()
-                part[i] = None
-                codes.append(np.fromiter(map(ids.__getitem__, words), np.uint32, len(words)))
+            flat, sizes, listed = coded(part)
             held = np.asarray(marks, dtype=bool)
-            sizes = np.array([len(c) for c in codes], dtype=np.int64)
-            flat = np.concatenate(codes)
-            del codes
-            pair = flat.astype(np.int64) << 15 | np.repeat(np.arange(len(part)), sizes)
+            pair = flat.astype(np.int64) << 15 | np.repeat(np.arange(len(sizes)), sizes)
             pair, times = np.unique(pair, return_counts=True)
             more = -(-times // 0xFFFF)  # a time that takes more than 16 bits fills several entries
             pair, left = np.repeat(pair, more), np.minimum(np.repeat(times, more), 0xFFFF)
             last = np.cumsum(more) - 1
             left[last] = times - 0xFFFF * (more - 1)
             word, text_no = pair >> 15, pair & 0x7FFF
-            n = len(ids)
+            n = len(listed)
             train = np.bincount(word, weights=np.where(held[text_no], 0, left), minlength=n).astype(np.int64)
             entries = (text_no << 16 | left).astype("<u4")
             offsets = 4 * np.searchsorted(word, np.arange(n + 1))
-            listed = list(ids)
-            del pair, times, more, last, ids
-            lists = [keys, marks, (sizes + 1).tolist(), packed(b" ".join(listed)), packed_numbers(flat)]
-            del flat
+            del pair, times, more, last
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), listed), " ")[0].as_buffer().to_pybytes()
+            lists = [keys, marks, (sizes + 1).tolist(), packed(joined), packed_numbers(flat)]
+            del flat, joined
             first = [pa.array([number]), *[pa.nulls(1, k) for k in kinds[1:4]]]
             yield pa.RecordBatch.from_arrays([*first, *[pa.array([v], k) for v, k in zip(lists, kinds[4:])]], names=names)
             for low in range(0, n, 1 << 16):
@@ -559,10 +585,9 @@ def postings(rows: DataFrame) -> DataFrame:
                 own = entries[offsets[low] // 4 : offsets[high] // 4]
                 cuts = (offsets[low : high + 1] - offsets[low]).astype(np.int32)
                 binary = pa.Array.from_buffers(pa.binary(), high - low, [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(own.tobytes())])
-                texts = pa.array([w.decode() for w in listed[low:high]], pa.string())
                 piece = pa.array(np.full(high - low, number, dtype=np.int64))
                 nulls = [pa.nulls(high - low, k) for k in kinds[4:]]
-                yield pa.RecordBatch.from_arrays([piece, texts, pa.array(train[low:high]), binary, *nulls], names=names)
+                yield pa.RecordBatch.from_arrays([piece, listed[low:high], pa.array(train[low:high]), binary, *nulls], names=names)
             number += 1
 
     return rows.mapInArrow(run, POSTINGS)
@@ -579,19 +604,23 @@ def ids_of_pieces(batches, ids: Ids):
             yield piece, [np.append(flat[a:b], end) for a, b in zip(cuts, cuts[1:])], held
 
 
-SUMS = "piece long, at binary, base binary, share binary, known binary"
+def sums_row(piece: int, names: list[str], at: np.ndarray, values) -> pa.RecordBatch:
+    blobs = [at.astype("<i4"), *[v.astype("<f8") for v in values]]
+    return pa.RecordBatch.from_arrays([pa.array([piece]), *[pa.array([x.tobytes()], pa.binary()) for x in blobs]], names=["piece", "at", *names])
+
+
+def sums_schema(names: list[str]) -> str:
+    return "piece long, at binary, " + ", ".join(f"{n} binary" for n in names)
 
 
 def sums_per_piece(joined: DataFrame) -> DataFrame:
-    """Sums per text from rows ``piece, entries, base, share, known``, combined within a task."""
+    """Sums per text of each column after ``piece, entries``, combined within a task; texts whose first sum is zero are left out."""
+    names = joined.columns[2:]
 
     def out(held):
-        for piece, (base, share, known) in held.items():
-            at = np.flatnonzero(base)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([piece]), *[pa.array([x.tobytes()], pa.binary()) for x in (at.astype("<i4"), base[at], share[at], known[at])]],
-                names=[c.split()[0] for c in SUMS.split(", ")],
-            )
+        for piece, sums in held.items():
+            at = np.flatnonzero(sums[0])
+            yield sums_row(piece, names, at, [s[at] for s in sums])
 
     def run(batches):
         held: dict[int, list[np.ndarray]] = {}
@@ -605,7 +634,7 @@ def sums_per_piece(joined: DataFrame) -> DataFrame:
             used, code = np.unique(piece, return_inverse=True)
             width = int(text.max()) + 1 if len(text) else 1
             cell = np.repeat(code, times) * width + text
-            values = [np.bincount(cell, weights=n * np.repeat(batch.column(c).to_numpy(zero_copy_only=False), times), minlength=len(used) * width) for c in (2, 3, 4)]
+            values = [np.bincount(cell, weights=n * np.repeat(batch.column(c).to_numpy(zero_copy_only=False), times), minlength=len(used) * width) for c in range(2, 2 + len(names))]
             for i, p in enumerate(used.tolist()):
                 own = [v[i * width : (i + 1) * width] for v in values]
                 if p not in held:
@@ -622,14 +651,14 @@ def sums_per_piece(joined: DataFrame) -> DataFrame:
                 held = {}
         yield from out(held)
 
-    return joined.mapInArrow(run, SUMS)
+    return joined.mapInArrow(run, sums_schema(names))
 
 
 def texts_from_sums(sums: DataFrame, texts: DataFrame) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, base, share`` per text."""
+    """``doc_id, held_out, n_tokens, n_known, base, share`` per text; sums without ``share`` have it equal to ``base``."""
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, share double"
     empty = [F.lit(None).cast(k).alias(n) for n, k in (("doc_ids", "array<bigint>"), ("held", "array<boolean>"), ("sizes", "array<bigint>"))]
-    blobs = [F.lit(None).cast("binary").alias(c) for c in ("at", "base", "share", "known")]
+    blobs = [F.lit(None).cast("binary").alias(c) for c in ("at", "base", "known", "share")]
     rows = sums.select("*", *empty).unionByName(texts.select("piece", *blobs, "doc_ids", "held", "sizes"))
 
     def finish(table: pa.Table) -> pa.Table:
@@ -639,13 +668,13 @@ def texts_from_sums(sums: DataFrame, texts: DataFrame) -> DataFrame:
         for r in own:
             if r["at"] is not None:
                 at = np.frombuffer(r["at"], "<i4")
-                for i, name in enumerate(("base", "share", "known")):
-                    total[i, at] += np.frombuffer(r[name])
+                for i, name in enumerate(("base", "known", "share")):
+                    total[i, at] += np.frombuffer(r[name] if r[name] is not None else r["base"])
         return pa.table(
             {
                 "doc_id": pa.array(head["doc_ids"], pa.int64()), "held_out": pa.array(head["held"], pa.bool_()),
-                "n_tokens": pa.array(head["sizes"], pa.int64()), "n_known": np.rint(total[2]).astype(np.int64),
-                "base": total[0], "share": total[1],
+                "n_tokens": pa.array(head["sizes"], pa.int64()), "n_known": np.rint(total[1]).astype(np.int64),
+                "base": total[0], "share": total[2],
             }
         )
 
@@ -718,23 +747,26 @@ def train(texts: DataFrame, start: Network, frequent: list[bytes]) -> Network:
     return network
 
 
-def run_network(texts: DataFrame, network: Network, frequent: list[bytes]) -> DataFrame:
-    """The network's part of the score, as ``share`` of ``SUMS``."""
-    shared = texts.sparkSession.sparkContext.broadcast((network.w, frequent))
+def run_network(texts: DataFrame, network: Network, frequent: list[bytes], base: np.ndarray, lift: np.ndarray) -> DataFrame:
+    """Sums per text of what a task knows without the join: ``base`` and ``known`` of the frequent words, and
+    ``share``, the network's score with ``lift`` for every rare word of a class."""
+    shared = texts.sparkSession.sparkContext.broadcast((network.w, frequent, base, lift))
+    names = ["base", "known", "share"]
 
     def run(batches):
-        weights, words = shared.value
+        weights, words, base, lift = shared.value
         network = Network(weights)
         ids = Ids(words, network.frequent, len(weights["share"]))
+        none = np.zeros(RARE + 1)
+        bases, lifts = np.concatenate([base, none, np.zeros(RARE * network.per)]), np.concatenate([0 * base, none, np.repeat(lift, network.per)])
         for piece, own, _ in ids_of_pieces(batches, ids):
-            found = score_ids(network, own)
-            none = np.zeros(len(own)).tobytes()
-            blobs = (np.arange(len(own), dtype="<i4").tobytes(), none, found.tobytes(), none)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([piece]), *[pa.array([b], pa.binary()) for b in blobs]], names=[c.split()[0] for c in SUMS.split(", ")]
-            )
+            flat, starts = np.concatenate(own), segments(np.array([len(i) for i in own]))[:-1]
+            sums = [np.add.reduceat(x, starts) for x in (bases[flat], (flat < network.frequent).astype(np.float64), lifts[flat])]
+            del flat
+            sums[2] += score_ids(network, own)
+            yield sums_row(piece, names, np.arange(len(own)), sums)
 
-    return texts.select("piece", "words", "codes", "held", "sizes").mapInArrow(run, SUMS)
+    return texts.select("piece", "words", "codes", "held", "sizes").mapInArrow(run, sums_schema(names))
 
 
 def score(docs: DataFrame, key: Column, text: Column, held_out: Column) -> DataFrame:
@@ -745,7 +777,7 @@ def score(docs: DataFrame, key: Column, text: Column, held_out: Column) -> DataF
     rows = rows_of(docs, key, text, held_out)
     written = materialise(postings(rows), "postings")
     words, texts = written.where("word is not null"), written.where("word is null")
-    counted = words.groupBy("word").agg(F.sum("n_train").alias("c")).where("c > 0")
+    counted = words.where("n_train > 0").groupBy("word").agg(F.sum("n_train").alias("c"))
     counted = materialise(counted, "word-counts")
     ends = texts.select(F.aggregate("held", F.lit(0).cast("long"), lambda a, x: a + F.when(x, 0).otherwise(1)).alias("n")).agg(F.sum("n")).first()[0] or 0
     sums = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -767,15 +799,14 @@ def score(docs: DataFrame, key: Column, text: Column, held_out: Column) -> DataF
     network = train(texts, Network.start(counts, kinds, buckets=held), frequent)
 
     unit = n + 0.5 * (v + 1)
+    base = np.log10((counts + 0.5) / unit)
+    lift = np.log10(unit / held.reshape(RARE, -1).sum(axis=1))  # a rare word's part of its class, over its base score
     c = F.coalesce("c", F.lit(0))
-    mass = F.array(*[F.lit(float(m)) for m in held.reshape(RARE, -1).sum(axis=1)])
-    share = F.log10((c + 0.5) / F.element_at(mass, rare_class_of(F.col("word")) + 1))
-    known = counted.join(listed.select("word", F.lit(True).alias("top")), "word", "left")
-    joined = words.select("piece", "word", "entries").join(known, "word", "left").select(
-        "piece", "entries", F.log10((c + 0.5) / F.lit(unit)).alias("base"),
-        F.when(F.col("top"), 0.0).otherwise(share).alias("share"), (c > 0).cast("double").alias("known"),
+    joined = words.join(listed, "word", "left_anti").select("piece", "word", "entries").join(counted, "word", "left").select(
+        "piece", "entries", F.log10((c + 0.5) / F.lit(unit)).alias("base"), (c > 0).cast("double").alias("known")
     )
-    per_text = texts_from_sums(sums_per_piece(joined).unionByName(run_network(texts, network, frequent)), texts)
+    sums = sums_per_piece(joined).unionByName(run_network(texts, network, frequent, base, lift), allowMissingColumns=True)
+    per_text = texts_from_sums(sums, texts)
     end = float(np.log10((ends + 0.5) / unit))
     return per_text.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + (1 if ends else 0)).alias("n_known"),

@@ -119,3 +119,37 @@ def test_order_of_rare_words_is_learned(make_docs):  # noqa: F811
     found = {r.doc_id: (r.score - r.base_score) / r.n_tokens for r in out if r.doc_id >= 600}
     assert found[600] > 0.05  # over the unigram model, log10 a token
     assert found[600] > found[601] + 0.1
+
+
+def test_words_are_cut_and_numbered_by_first_sight():
+    texts = [" B a\tb ", "", "\x0b\n", "É\x1cé a\x0c\x0dx\x85y", "  B"]
+    expected = [t.encode().lower().split() for t in texts]
+    codes, sizes, words = g.coded([t.encode() for t in texts])
+    words = [w.encode() for w in words.to_pylist()]
+    assert words == list(dict.fromkeys(w for own in expected for w in own))
+    assert [words[c] for c in codes] == [w for own in expected for w in own] and sizes.tolist() == [len(own) for own in expected]
+    codes, sizes, words = g.coded([b"", b" "])
+    assert codes.tolist() == [] and sizes.tolist() == [0, 0] and words.to_pylist() == []
+
+
+def test_only_rare_words_are_joined(make_docs, monkeypatch):  # noqa: F811
+    """Entries of frequent words, most of all, must not be shuffled; one sum serves both scores."""
+    joined, sums_per_piece = [], g.sums_per_piece
+    monkeypatch.setattr(g, "sums_per_piece", lambda rows: joined.append(rows) or sums_per_piece(rows))
+    rows = [(i, " ".join(f"often{k}" for k in range(256)) + f" seldom{i}") for i in range(30)]
+    out = g.score(make_docs(rows), F.col("doc_id"), F.col("text"), F.lit(False)).collect()
+    assert joined[0].columns == ["piece", "entries", "base", "known"]
+    assert sum(len(r.entries) // 4 for r in joined[0].collect()) == 30
+    n, v = 30 * 258, 256 + 30 + 1
+    chance = lambda k: math.log10((k + 0.5) / (n + 0.5 * (v + 1)))
+    for r in out:
+        assert r.n_known == 258 and math.isclose(r.base_score, 257 * chance(30) + chance(1), rel_tol=1e-9)
+
+
+def test_unseen_words_have_their_part_of_a_class(make_docs):  # noqa: F811
+    """Without training texts a rare word's part is 0.5 of its class's mass, 0.5 for each of 8 buckets."""
+    out = {r.doc_id: r.score for r in g.score(make_docs([(1, "aa"), (2, "")]), F.col("doc_id"), F.col("text"), F.lit(True)).collect()}
+    network = g.Network.start(np.zeros(g.FREQUENT), np.zeros(g.FULL + g.RARE + 1), buckets=np.full(8 * g.RARE, 0.5))
+    ids = [np.append(g.Ids([], g.FREQUENT, 8 * g.RARE).of([b"aa"]), network.end), np.array([network.end])]
+    found = g.score_ids(network, ids)
+    assert math.isclose(out[2], found[1], rel_tol=1e-5) and math.isclose(out[1], found[0] + math.log10(1 / 8), rel_tol=1e-5)
