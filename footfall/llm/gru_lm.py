@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import segments, texts_of
+from footfall.llm.common import CHUNK_BYTES, segments, texts_of
 from footfall.session import materialise
 
 FREQUENT = 256  # at least, and if no other number is given
@@ -65,6 +65,7 @@ AT_ONCE = 4096  # tokens whose class probabilities lie in memory
 OUT_EVERY = 4  # windows after which output vectors of buckets change
 PIECE = 24 << 20  # text bytes of a piece, or one row
 PIECE_ROWS = 1 << 15
+ENTRIES = 1 << 18  # words or entries of a piece that are handled at once
 BLOCK = 256  # buckets whose vectors travel together
 
 
@@ -528,22 +529,54 @@ def gathered(batches, most: int = PIECE, most_rows: int = PIECE_ROWS):
         yield texts, keys, held
 
 
-def coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
+def coded(texts: list[bytes], most: int = CHUNK_BYTES) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
     """Numbers of all words in order of first sight, the texts' numbers of words, and the different words.
 
-    ``texts`` is emptied.
+    ``texts`` is emptied: ``most`` bytes, or one text, are cut at once.
     """
-    column = pa.array(texts, pa.string())
-    texts.clear()
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(column))  # ASCII letters and ASCII white space only
-    del column
-    words = lists.flatten()
-    real = pc.greater(pc.binary_length(words), 0)  # white space at an end of a text leaves an empty word
-    before = segments(real.to_numpy(zero_copy_only=False))
-    sizes = np.diff(before[lists.offsets.to_numpy()])
-    del lists
-    found = words.filter(real).dictionary_encode()
-    return found.indices.to_numpy().astype(np.uint32), sizes, found.dictionary
+    sizes, parts = [], []
+    texts.reverse()
+    while texts or not parts:
+        own, room = [], most
+        while texts and (not own or len(texts[-1]) <= room):
+            room -= len(texts[-1])
+            own.append(texts.pop())
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(own, pa.string())))  # ASCII letters and ASCII white space only
+        words = lists.flatten()
+        real = pc.greater(pc.binary_length(words), 0)  # white space at an end of a text leaves an empty word
+        sizes.append(np.diff(segments(real.to_numpy(zero_copy_only=False))[lists.offsets.to_numpy()]))
+        del lists
+        parts.append(words.filter(real).dictionary_encode())
+        del words
+    parts = pa.chunked_array(parts).unify_dictionaries().chunks
+    codes = np.concatenate([p.indices.to_numpy() for p in parts])
+    return codes.view(np.uint32), np.concatenate(sizes), parts[-1].dictionary
+
+
+def stretches(ends: np.ndarray, most: int):
+    """``(low, high)`` of neighbouring segments that hold ``most`` together, or one."""
+    low = 0
+    while low < len(ends) - 1:
+        high = max(low + 1, int(np.searchsorted(ends, ends[low] + most, side="right")) - 1)
+        yield low, high
+        low = high
+
+
+def entries_of(codes: np.ndarray, sizes: np.ndarray, most: int = ENTRIES) -> np.ndarray:
+    """``word << 32 | text << 16 | times`` in order; a time that takes more than 16 bits fills several."""
+    ends, found, n = segments(sizes), np.empty(len(codes), dtype=np.uint64), 0
+    for low, high in stretches(ends, most):
+        pair = codes[ends[low] : ends[high]].astype(np.uint64) << 32
+        pair |= np.repeat(np.arange(low, high, dtype=np.uint64) << 16, sizes[low:high])
+        pair, times = np.unique(pair, return_counts=True)
+        more = -(-times // 0xFFFF)
+        pair, left = np.repeat(pair, more), np.minimum(np.repeat(times, more), 0xFFFF)
+        left[np.cumsum(more) - 1] = times - 0xFFFF * (more - 1)
+        found[n : n + len(pair)] = pair | left.astype(np.uint64)
+        n += len(pair)
+    found = found[:n]
+    found.sort()
+    return found
 
 
 POSTINGS = "piece long, word string, n_train long, entries binary, doc_ids array<bigint>, held array<boolean>, sizes array<bigint>, words binary, codes binary"
@@ -562,32 +595,25 @@ def postings(rows: DataFrame) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for part, keys, marks in gathered(batches):
             flat, sizes, listed = coded(part)
-            held = np.asarray(marks, dtype=bool)
-            pair = flat.astype(np.int64) << 15 | np.repeat(np.arange(len(sizes)), sizes)
-            pair, times = np.unique(pair, return_counts=True)
-            more = -(-times // 0xFFFF)  # a time that takes more than 16 bits fills several entries
-            pair, left = np.repeat(pair, more), np.minimum(np.repeat(times, more), 0xFFFF)
-            last = np.cumsum(more) - 1
-            left[last] = times - 0xFFFF * (more - 1)
-            word, text_no = pair >> 15, pair & 0x7FFF
             n = len(listed)
-            train = np.bincount(word, weights=np.where(held[text_no], 0, left), minlength=n).astype(np.int64)
-            entries = (text_no << 16 | left).astype("<u4")
-            offsets = 4 * np.searchsorted(word, np.arange(n + 1))
-            del pair, times, more, last
             joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), listed), " ")[0].as_buffer().to_pybytes()
             lists = [keys, marks, (sizes + 1).tolist(), packed(joined), packed_numbers(flat)]
-            del flat, joined
             first = [pa.array([number]), *[pa.nulls(1, k) for k in kinds[1:4]]]
             yield pa.RecordBatch.from_arrays([*first, *[pa.array([v], k) for v, k in zip(lists, kinds[4:])]], names=names)
-            for low in range(0, n, 1 << 16):
-                high = min(n, low + (1 << 16))
-                own = entries[offsets[low] // 4 : offsets[high] // 4]
-                cuts = (offsets[low : high + 1] - offsets[low]).astype(np.int32)
-                binary = pa.Array.from_buffers(pa.binary(), high - low, [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(own.tobytes())])
+            del joined, lists
+            found = entries_of(flat, sizes)
+            del flat
+            held = np.asarray(marks, dtype=bool)
+            starts = np.searchsorted(found, np.arange(n + 1, dtype=np.uint64) << 32)
+            for low, high in stretches(starts, ENTRIES):
+                cuts = starts[low : high + 1] - starts[low]
+                own = found[starts[low] : starts[high]].astype("<u4")
+                train = np.add.reduceat(np.where(held[own >> 16], 0, own & 0xFFFF).astype(np.int64), cuts[:-1])
+                binary = pa.Array.from_buffers(pa.binary(), high - low, [None, pa.py_buffer((4 * cuts).astype(np.int32).tobytes()), pa.py_buffer(own.tobytes())])
                 piece = pa.array(np.full(high - low, number, dtype=np.int64))
                 nulls = [pa.nulls(high - low, k) for k in kinds[4:]]
-                yield pa.RecordBatch.from_arrays([piece, listed[low:high], pa.array(train[low:high]), binary, *nulls], names=names)
+                yield pa.RecordBatch.from_arrays([piece, listed[low:high], pa.array(train), binary, *nulls], names=names)
+            del found
             number += 1
 
     return rows.mapInArrow(run, POSTINGS)
@@ -598,10 +624,13 @@ def ids_of_pieces(batches, ids: Ids):
     for batch in batches:
         for r in range(batch.num_rows):
             piece, words, codes, held, sizes = (batch.column(c)[r].as_py() for c in range(5))
-            end = np.int32(ids.first - 1)
-            flat = np.append(ids.of(unpacked(words).split()), end)[unpacked_numbers(codes)]
-            cuts = segments(np.array(sizes, dtype=np.int64) - 1)
-            yield piece, [np.append(flat[a:b], end) for a, b in zip(cuts, cuts[1:])], held
+            cuts = segments(np.array(sizes, dtype=np.int64))
+            word = np.ones(cuts[-1], dtype=bool)
+            word[cuts[1:] - 1] = False
+            flat = np.full(cuts[-1], ids.first - 1, dtype=np.int32)  # the end, where no word is
+            flat[word] = ids.of(unpacked(words).split())[unpacked_numbers(codes)]
+            del words, codes, word
+            yield piece, [flat[a:b] for a, b in zip(cuts, cuts[1:])], held
 
 
 def sums_row(piece: int, names: list[str], at: np.ndarray, values) -> pa.RecordBatch:
@@ -761,7 +790,8 @@ def run_network(texts: DataFrame, network: Network, frequent: list[bytes], base:
         bases, lifts = np.concatenate([base, none, np.zeros(RARE * network.per)]), np.concatenate([0 * base, none, np.repeat(lift, network.per)])
         for piece, own, _ in ids_of_pieces(batches, ids):
             flat, starts = np.concatenate(own), segments(np.array([len(i) for i in own]))[:-1]
-            sums = [np.add.reduceat(x, starts) for x in (bases[flat], (flat < network.frequent).astype(np.float64), lifts[flat])]
+            columns = (bases.take, lambda i: (i < network.frequent).astype(np.float64), lifts.take)
+            sums = [np.add.reduceat(column(flat), starts) for column in columns]
             del flat
             sums[2] += score_ids(network, own)
             yield sums_row(piece, names, np.arange(len(own)), sums)

@@ -1,8 +1,11 @@
 """Words beyond the smallest model's frequent ones: buckets with vectors of their own."""
 
 import math
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from text_cases import make_docs  # noqa: F401 (fixture)
 
@@ -153,3 +156,40 @@ def test_unseen_words_have_their_part_of_a_class(make_docs):  # noqa: F811
     ids = [np.append(g.Ids([], g.FREQUENT, 8 * g.RARE).of([b"aa"]), network.end), np.array([network.end])]
     found = g.score_ids(network, ids)
     assert math.isclose(out[2], found[1], rel_tol=1e-5) and math.isclose(out[1], found[0] + math.log10(1 / 8), rel_tol=1e-5)
+
+
+def test_words_and_entries_of_a_piece_are_counted_in_parts():
+    texts = ["b a b", "", "c " * 70_000 + "a", "a d", " ", "d b"]
+    data = [t.encode() for t in texts]
+    whole, parts = g.coded(list(data)), g.coded(list(data), most=4)
+    assert parts[0].tolist() == whole[0].tolist() and parts[1].tolist() == whole[1].tolist() == [3, 0, 70_001, 2, 0, 2]
+    assert parts[2].to_pylist() == whole[2].to_pylist() == ["b", "a", "c", "d"]
+    triples = [(0, 0, 2), (0, 5, 1), (1, 0, 1), (1, 2, 1), (1, 3, 1), (2, 2, 70_000 - 0xFFFF), (2, 2, 0xFFFF), (3, 3, 1), (3, 5, 1)]
+    for most in (1, 3, 10**6):
+        found = g.entries_of(parts[0], parts[1], most=most).tolist()
+        assert [(x >> 32, x >> 16 & 0xFFFF, x & 0xFFFF) for x in found] == triples
+    assert g.entries_of(*g.coded([b"", b" "])[:2]).tolist() == []
+
+
+def test_memory_of_a_piece_is_a_few_times_its_bytes(monkeypatch):
+    """Arrays and lists that a task makes beside its rows, Arrow's and numpy's peaks added."""
+    rng = np.random.default_rng(4)
+    words = [f"{c}{i}" for i in range(30_000) for c in "uvwxyz"]
+    texts = [" ".join(words[i] for i in (rng.pareto(0.7, 600) * 20).astype(int) % len(words)) for _ in range(6000)]
+    rows = pa.record_batch([pa.array(texts), pa.array(range(6000)), pa.array([False, True] * 3000)], ["text", "doc_id", "held_out"])
+    size = sum(map(len, texts))
+    del texts, words
+    assert size < g.PIECE
+    monkeypatch.setattr(g, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    run = g.postings(SimpleNamespace(mapInArrow=lambda function, schema: function))
+    before, pool = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    pa.set_memory_pool(pool)
+    tracemalloc.start()
+    try:
+        n = sum(sum(batch.column(2).drop_null().to_pylist()) for batch in run(iter([rows])))
+        peak = pool.max_memory() + tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        pa.set_memory_pool(before)
+    assert n == 3000 * 600
+    assert peak < 10 * size, peak / size
