@@ -419,15 +419,14 @@ class Streams:
 def score_ids(network: Network, ids: list[np.ndarray]) -> np.ndarray:
     """log10 probability per text, without the rare words' own parts of their classes."""
     streams = Streams(ids, STREAMS, network.end)
-    found = np.empty(len(streams.target), dtype=np.float32)
+    total = np.zeros(len(ids))
     h = np.zeros((HIDDEN, streams.widths[0] if len(ids) else 0), dtype=np.float32)
     vectors = network.inputs(np.arange(network.end + 1 + RARE * network.per))
     for own, widths in streams.windows(SCORED):
         states, h, _ = network.forward(streams.before[own], h, widths, keep=False, vectors=vectors)
-        found[own] = network.outputs(states, streams.target[own], grad=False)
-    owner = streams.owner
-    del streams, vectors
-    return np.bincount(owner, weights=found, minlength=len(ids)) / np.log(10)
+        found = network.outputs(states, streams.target[own], grad=False)
+        np.add.at(total, streams.owner[own].astype(np.int64), found.astype(np.float64))
+    return total / np.log(10)
 
 
 class Trainer:
